@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,23 +13,45 @@ SLICE_BITS = 20
 SLICE_MASK = (1 << SLICE_BITS) - 1
 
 
+# Doubles from here on do not fit a bigint once they are scaled.
+_BIGINT_EDGE = 9.2e18
+
+
 def scaled(col: Column, digits: int = 2) -> Column:
-    """A number as a whole count of its ``digits``-th decimal place."""
-    return F.round(col.cast("double") * float(10**digits)).cast("bigint")
+    """A number as a whole count of its ``digits``-th decimal place, halves away from zero.
+
+    Null for NaN, infinities and numbers that do not fit a bigint.
+    """
+    y = col.cast("double") * float(10**digits)
+    whole = F.when(y >= 0, F.floor(y + 0.5)).otherwise(F.ceil(y - 0.5))
+    return F.when(F.abs(y) < _BIGINT_EDGE, whole)
+
+
+def scaled_field(field: T.StructField, digits: int = 2) -> Column:
+    """``scaled`` for fractional columns, the plain value for integer columns."""
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DecimalType):
+        return F.round(col * F.lit(Decimal(10**digits))).try_cast("bigint")
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return scaled(col, digits)
+    return col.cast("bigint")
 
 
 def canonical_text(field: T.StructField, digits: int = 2) -> Column:
-    """Text of a column that is the same wherever the same value is stored."""
+    """Text of a column that is the same wherever the same value is stored.
+
+    Times are counts of microseconds or days, so the session zone plays no part.
+    """
     col, kind = F.col(f"`{field.name}`"), field.dataType
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        wide = col.cast("double")
-        text = F.coalesce(
-            F.round(wide * float(10**digits)).try_cast("bigint").cast("string"), wide.cast("string")
-        )
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        text = F.coalesce(scaled(col, digits).cast("string"), col.cast("double").cast("string"))
+    elif isinstance(kind, T.TimestampNTZType):
+        start = F.lit("1970-01-01").cast("timestamp_ntz")
+        text = F.timestamp_diff("MICROSECOND", start, col).cast("string")
+    elif isinstance(kind, T.TimestampType):
+        text = F.unix_micros(col).cast("string")
     elif isinstance(kind, T.DateType):
-        text = F.date_format(col, "yyyy-MM-dd")
+        text = F.unix_date(col).cast("string")
     elif isinstance(kind, T.BinaryType):
         text = F.hex(col)
     elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):

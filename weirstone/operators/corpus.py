@@ -48,13 +48,17 @@ def words(text: Column) -> Column:
 
 def _counts(tokens: Column, wanted: Sequence[str], kinds: Mapping[str, str] | None = None) -> Column:
     def entry(word: str) -> Column:
-        n = F.size(F.filter(tokens, lambda t: t == word)).cast("bigint")
+        n = F.size(F.filter(tokens, _equals(word))).cast("bigint")
         kind = (kinds or {}).get(word, "")
         return F.struct(F.lit(word).alias("token"), F.lit(kind).alias("action"), n.alias("n"))
 
     return F.filter(F.array(*[entry(w) for w in wanted]), lambda e: e["n"] > 0)
 
 
+def _equals(word: str):
+    return lambda x: x == word
+
+
 def token_usage(texts: DataFrame, key: str, text: str, wanted: Sequence[str]) -> DataFrame:
     """Occurrences of given words per text, words that occur only."""
     tokens = F.filter(words(F.col(text)), lambda t: t.isin(*wanted))
@@ -185,5 +189,5 @@ def statement_kinds(scripts: DataFrame, keys: Sequence[str], text: str) -> DataF
     names = [name for name, _ in STATEMENT_KINDS] + ["query"]
     return staged.select(
         *keys,
-        *[F.size(F.filter("k", lambda x, n=n: x == n)).cast("bigint").alias(f"n_{n}") for n in names],
+        *[F.size(F.filter("k", _equals(name))).cast("bigint").alias(f"n_{name}") for name in names],
     )

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirstone.operators.ordering import global_rank
 from weirstone.session import fresh_path, materialise
@@ -54,9 +55,12 @@ def topological_levels(
     (one upstream at most) are solved by pointer doubling in a logarithmic
     number of rounds, other graphs level by level.
     """
-    group = list(group)
     ids = nodes.select(*group, "node").distinct()
     known = materialise(prune_edges(ids, edges, group), "edges")
+    return _levels(ids, known, list(group), max_rounds)
+
+
+def _levels(ids: DataFrame, known: DataFrame, group: list[str], max_rounds: int) -> DataFrame:
     widest = known.groupBy(*group, "node").count().agg(F.max("count")).first()[0]
     if widest is None or widest <= 1:
         return _forest_levels(ids, known, group)
@@ -65,23 +69,18 @@ def topological_levels(
 
 def _forest_levels(ids: DataFrame, edges: DataFrame, group: list[str]) -> DataFrame:
     # pointer: an ancestor `dist` steps up; null once the root is passed
-    state = materialise(
+    state, n_open = _store_forest(
         ids.join(edges, [*group, "node"], "left").select(
             *group,
             "node",
             F.col("upstream").alias("pointer"),
             F.when(F.col("upstream").isNull(), 0).otherwise(1).cast("bigint").alias("dist"),
-        ),
-        "forest",
+        )
     )
-    steps, bound = 1, None
-    while True:
-        n_open = state.where(F.col("pointer").isNotNull()).count()
-        # An open node at depth d has d - steps open ancestors of depth >= steps,
-        # so no acyclic depth exceeds steps + n_open - 1.
-        bound = min(bound, steps + n_open - 1) if bound is not None else steps + n_open - 1
-        if n_open == 0 or steps > bound:
-            break
+    # An open node at depth d has d - steps open ancestors of depth >= steps,
+    # so no acyclic depth exceeds steps + n_open - 1.
+    steps, bound = 1, n_open
+    while n_open > 0 and steps <= bound:
         there = state.select(
             *group, F.col("node").alias("pointer"), F.col("pointer").alias("_p"), F.col("dist").alias("_d")
         )
@@ -90,39 +89,52 @@ def _forest_levels(ids: DataFrame, edges: DataFrame, group: list[str]) -> DataFr
             .join(there, [*group, "pointer"], "inner")
             .select(*group, "node", F.col("_p").alias("pointer"), (F.col("dist") + F.col("_d")).alias("dist"))
         )
-        state = materialise(state.where(F.col("pointer").isNull()).unionByName(moved), "forest")
+        state, n_open = _store_forest(state.where(F.col("pointer").isNull()).unionByName(moved))
         steps *= 2
+        bound = min(bound, steps + n_open - 1)
     level = F.when(F.col("pointer").isNull(), F.col("dist"))
     return state.select(*group, "node", level.alias("level"))
 
 
+def _store_forest(state: DataFrame) -> tuple[DataFrame, int]:
+    seen = Observation()
+    stored = materialise(state.observe(seen, F.count("pointer").alias("n_open")), "forest")
+    return stored, int(seen.get["n_open"])
+
+
 def _peel_levels(ids: DataFrame, edges: DataFrame, group: list[str], max_rounds: int) -> DataFrame:
+    # Each round writes the edges that are left and marks those whose upstream
+    # became free.  A node is free once all its edges are marked, so its level
+    # is one more than the last round it still had an edge in.
     spark = ids.sparkSession
     base = fresh_path(spark, "levels")
     key = [*group, "node"]
-
-    def store(frontier: DataFrame, level: int) -> DataFrame:
-        frontier.write.parquet(f"{base}/level={level}")
-        return spark.read.schema(ids.schema).parquet(f"{base}/level={level}")
-
-    frontier = store(ids.join(edges.select(*key).distinct(), key, "left_anti"), 0)
-    rest, level = edges, 0
-    while not frontier.isEmpty():
-        if level >= max_rounds:
+    schema = T.StructType([*edges.schema.fields, T.StructField("_done", T.BooleanType())])
+    free = ids.join(edges.select(*key).distinct(), key, "left_anti")
+    rest, n_rest, last = edges, None, 0
+    while True:
+        if last >= max_rounds:
             raise RuntimeError(f"the graph is deeper than {max_rounds} levels")
-        done = frontier.withColumnRenamed("node", "upstream").withColumn("_done", F.lit(True))
-        marked = materialise(
-            rest.join(done, [*group, "upstream"], "left").select(
-                *key, "upstream", F.coalesce(F.col("_done"), F.lit(False)).alias("_done")
-            ),
-            "peel",
+        seen = Observation()
+        done = free.withColumnRenamed("node", "upstream").withColumn("_done", F.lit(True))
+        marked = rest.join(done, [*group, "upstream"], "left").select(
+            *edges.columns, F.coalesce(F.col("_done"), F.lit(False)).alias("_done")
         )
-        level += 1
-        free = marked.groupBy(*key).agg(F.bool_and("_done").alias("_free")).where("_free").select(*key)
-        frontier = store(free, level)
-        rest = marked.where(~F.col("_done")).drop("_done")
-    levelled = spark.read.schema(ids.schema.add("level", "bigint")).parquet(base)
-    return ids.join(levelled, key, "left")
+        path = f"{base}/round={last}"
+        marked.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("_done")).alias("n_done")).write.parquet(path)
+        n_rest, n_done = int(seen.get["n"]), int(seen.get["n_done"])
+        if n_done == 0 or n_done == n_rest:
+            break
+        stored = spark.read.schema(schema).parquet(path)
+        free = stored.groupBy(*key).agg(F.bool_and("_done").alias("_free")).where("_free").select(*key)
+        rest = stored.where(~F.col("_done")).drop("_done")
+        last += 1
+    # Without progress the nodes of the last round are stuck.
+    stuck_from = last if n_done == 0 and n_rest > 0 else last + 1
+    rounds = spark.read.schema(T.StructType([*schema.fields, T.StructField("round", T.LongType())])).parquet(base)
+    reached = rounds.groupBy(*key).agg(F.max("round").alias("_last"))
+    level = F.when(F.col("_last").isNull(), F.lit(0)).when(F.col("_last") < stuck_from, F.col("_last") + 1)
+    return ids.join(reached, key, "left").select(*key, level.cast("bigint").alias("level"))
 
 
 def topological_order(
@@ -146,13 +158,16 @@ def cyclic_nodes(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = (),
     """
     group = list(group)
     key = [*group, "node"]
-    levels = topological_levels(nodes, edges, group, max_rounds)
+    ids = nodes.select(*key).distinct()
+    known = materialise(prune_edges(ids, edges, group), "edges")
+    levels = _levels(ids, known, group, max_rounds)
     stuck = materialise(levels.where(F.col("level").isNull()).select(*key), "stuck")
     if stuck.isEmpty():
         return stuck.withColumn("on_cycle", F.lit(True))
-    inner = prune_edges(stuck, edges, group)
-    back = inner.select(*group, F.col("upstream").alias("node"), F.col("node").alias("upstream"))
-    tail = topological_levels(stuck, back, group, max_rounds)
+    back = prune_edges(stuck, known, group).select(
+        *group, F.col("upstream").alias("node"), F.col("node").alias("upstream")
+    )
+    tail = _levels(stuck, materialise(back, "edges"), group, max_rounds)
     return tail.select(*key, F.col("level").isNull().alias("on_cycle"))
 
 

@@ -9,20 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirstone.functions.canonical import checksum, row_hash, scaled, wide_sum
-
-_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+from weirstone.functions.canonical import checksum, row_hash, scaled_field, wide_sum
 
 
 def numeric_fields(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _scaled(field: T.StructField, digits: int) -> Column:
-    col = F.col(f"`{field.name}`")
-    return scaled(col, digits) if isinstance(field.dataType, _FRACTIONAL) else col.cast("bigint")
-
-
 def table_checksum(df: DataFrame, digits: int = 2) -> DataFrame:
     """Row count and checksum, independent of row order."""
     hashed = df.select(row_hash(df.schema.fields, digits).alias("h"))
@@ -36,7 +29,7 @@ def numeric_profile(df: DataFrame, digits: int = 2) -> DataFrame:
     plain (integers), so sums do not depend on the order of addition.
     """
     fields = numeric_fields(df)
-    values = df.select(*[_scaled(f, digits).alias(f.name) for f in fields])
+    values = df.select(*[scaled_field(f, digits).alias(f.name) for f in fields])
     return _profile_rows(values.agg(*_profile_aggs(fields)), fields)
 
 
@@ -71,7 +64,7 @@ def check_table(df: DataFrame, name: str, digits: int = 2) -> DataFrame:
     """
     fields = numeric_fields(df)
     values = df.select(
-        row_hash(df.schema.fields, digits).alias("__h"), *[_scaled(f, digits).alias(f.name) for f in fields]
+        row_hash(df.schema.fields, digits).alias("__h"), *[scaled_field(f, digits).alias(f.name) for f in fields]
     )
     row = values.agg(
         F.count(F.lit(1)).alias("row_count"), checksum(F.col("__h")).alias("checksum"), *_profile_aggs(fields)

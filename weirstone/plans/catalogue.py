@@ -322,7 +322,8 @@ def workflow_parity(spark, sf):
     back = rows.where("conv_id % 14 = 0 AND turn = 0").select(
         "workflow_id", F.col("node_id").alias("node"), F.concat("workflow_id", F.lit("_1")).alias("upstream")
     )
-    cyclic = graph.cyclic_nodes(nodes, edges.unionByName(back), ["workflow_id"])
+    levels = graph.topological_levels(nodes, edges.unionByName(back), ["workflow_id"])
+    cyclic = levels.where(F.col("level").isNull())
     result = catalogue.workflow_parity(source, built, outputs, kept.unionByName(added), cyclic)
     return result.select("workflow_id", "n_nodes", "n_missing", "n_extra", "cyclic", "ok", "detail")
 

@@ -59,14 +59,10 @@ def topo_order(spark, sf):
 
 @query(
     "cycle_nodes",
-    """WITH m AS (SELECT MAX(p_partkey) AS k FROM part)
-       SELECT p_partkey AS node, p_partkey IN (k // 4, k // 8) AS on_cycle FROM part, m
-       WHERE p_partkey = k // 8 OR p_partkey IN (
-         WITH RECURSIVE r AS (SELECT m.k // 8 AS node FROM m
-           UNION SELECT p.p_partkey FROM part p JOIN r ON (p.p_partkey - 1) // 2 = r.node WHERE p.p_partkey > 0
-           UNION SELECT m.k // 4 FROM m)
-         SELECT node FROM r)
-       """,
+    """WITH RECURSIVE m AS (SELECT MAX(p_partkey) AS k FROM part),
+         r AS (SELECT unnest([k // 8, k // 4]) AS node FROM m
+           UNION SELECT p.p_partkey FROM part p JOIN r ON (p.p_partkey - 1) // 2 = r.node WHERE p.p_partkey > 0)
+       SELECT node, node IN (SELECT unnest([k // 8, k // 4]) FROM m) AS on_cycle FROM r""",
 )
 def cycle_nodes(spark, sf):
     # Two inner nodes of the tree depend on each other; all below them is stuck as well.

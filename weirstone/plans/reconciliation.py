@@ -26,7 +26,7 @@ _COLUMNS = {
 _TEXT = {
     "i": "CAST({c} AS VARCHAR)",
     "d": "CAST(CAST(ROUND({c} * 100) AS BIGINT) AS VARCHAR)",
-    "t": "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')",
+    "t": "CAST(epoch_us({c}) AS VARCHAR)",
     "s": "replace(replace(replace({c}, '\\', '\\\\'), '|', '\\p'), '~', '\\t')",
 }
 

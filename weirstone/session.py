@@ -29,6 +29,7 @@ def local_session(cores: str | int = "*", app: str = "weirstone") -> SparkSessio
         builder.config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

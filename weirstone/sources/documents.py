@@ -8,6 +8,8 @@ job ever needs a whole workflow in one row.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,7 @@ def document_schema() -> T.StructType:
     return _parse(f"struct<{fields}>")
 
 
+@lru_cache(maxsize=None)
 def _parse(ddl: str) -> T.StructType:
     return T.DataType.fromDDL(ddl)
 
