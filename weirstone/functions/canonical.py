@@ -54,13 +54,15 @@ def canonical_text(field: T.StructField, digits: int = 2) -> Column:
         text = F.unix_date(col).cast("string")
     elif isinstance(kind, T.BinaryType):
         text = F.hex(col)
-    elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+    elif isinstance(kind, T.MapType):
+        text = _escape(F.to_json(F.struct(F.array_sort(F.map_entries(col)).alias("v"))))
+    elif isinstance(kind, (T.ArrayType, T.StructType)):
         text = _escape(F.to_json(F.struct(col.alias("v"))))
     elif isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
         text = _escape(col)
     else:
         text = col.cast("string")
-    return F.coalesce(text, F.lit("~"))
+    return F.when(col.isNull(), F.lit("~")).otherwise(text)
 
 
 def _escape(col: Column) -> Column:

@@ -30,6 +30,7 @@ from weirstone.operators import corpus
 from weirstone.operators.keyed import first_per_key, repeated_keys
 from weirstone.operators.ordering import ordered_parts
 from weirstone.operators.setops import membership
+from weirstone.session import materialise
 from weirstone.sources.documents import FLOW, NODE, normalise
 
 
@@ -42,6 +43,15 @@ class Catalogue:
     edges: DataFrame
     variables: DataFrame
 
+    def stored(self) -> Catalogue:
+        """The same tables, written once; jobs that read them often parse no document again."""
+        return Catalogue(
+            materialise(self.workflows, "workflows"),
+            materialise(self.nodes, "nodes"),
+            materialise(self.edges, "edges"),
+            materialise(self.variables, "variables"),
+        )
+
     @property
     def table_io(self) -> DataFrame:
         return table_io(self.nodes)
@@ -278,81 +288,99 @@ def cross_workflow_deps(nodes: DataFrame) -> DataFrame:
 def review_items(cat: Catalogue, overrides: DataFrame | None = None, scope: Sequence[str] = ("workflow_id",)) -> DataFrame:
     """Everything a person must look at: workflow, node, kind, detail; one row per finding.
 
-    Findings that need only the node come from one pass over the nodes.
+    One pass over the documents routes the nodes and writes them as columns;
+    each kind of finding then reads only the columns it needs.
     """
-    routed = routed_nodes(cat.nodes, overrides)
-    past = cross_cycle_nodes(cat).withColumn("_past", F.lit(True))
-    body = corpus.insert_body(F.col("content"))
-    produced = (
-        routed.where(body != "")
-        .select(*scope, F.explode("output_guids").alias("g"))
-        .select(*scope, last_part(F.col("g")).alias("_created"))
-        .distinct()
-        .withColumn("_absorbed", F.lit(True))
+    facts = _node_facts(materialise(_routed_columns(routed_nodes(cat.nodes, overrides)), "review"))
+    extra = [] if "workflow_id" in scope else ["workflow_id"]
+    outputs = facts.where("has_body").select(*scope, F.explode("outputs").alias("detail"))
+    no_body = facts.where("ddl_only").select(
+        *scope, *extra, "node_id", F.lit("ddl_only").alias("kind"), F.coalesce("created", F.lit("?")).alias("detail")
+    )
+    ddl = no_body.join(outputs.distinct(), [*scope, "detail"], "left_anti")
+    past = (
+        facts.where("live")
+        .select("workflow_id", "node_id", F.lit("cross_cycle").alias("kind"), F.col("command").alias("detail"))
+        .join(cross_cycle_nodes(cat), ["workflow_id", "node_id"], "left_semi")
+    )
+    uses = facts.select("workflow_id", "node_id", F.inline("uses"))
+    variables = corpus.variable_status(uses, cat.variables.select("workflow_id", "name"), ["workflow_id"])
+    variables = variables.where(F.col("status") != "resolved").select(
+        "workflow_id", "node_id", F.col("status").alias("kind"), F.col("name").alias("detail")
+    )
+    writers = facts.where("model").select("workflow_id", *ORDER, F.explode("outputs").alias("detail"))
+    repeated = repeated_keys(writers, [*scope, "detail"], [*ORDER, *extra])
+    owner = F.col("winner_workflow_id") if extra else F.col("workflow_id")
+    duplicates = repeated.select(
+        owner.alias("workflow_id"), F.col("winner_node_id").alias("node_id"), F.lit("duplicate").alias("kind"), "detail"
     )
-    created = F.nullif(last_part(F.regexp_extract("content", corpus.CREATED_TABLE, 1)), F.lit(""))
-    rows = routed.join(past, ["workflow_id", "node_id"], "left").withColumns({"_body": body, "_created": created})
-    rows = rows.join(produced, [*scope, "_created"], "left")
+    outside = facts.select("workflow_id", F.explode("externals").alias("detail")).distinct()
+    externals = outside.select("workflow_id", F.lit("").alias("node_id"), F.lit("cross_workflow").alias("kind"), "detail")
+    found = facts.select("workflow_id", "node_id", F.inline("items")).where(F.col("detail").isNotNull())
+    for part in (ddl, past, variables, duplicates, externals):
+        found = found.unionByName(part.select("workflow_id", "node_id", "kind", "detail"))
+    return found
+
+
+def _routed_columns(routed: DataFrame) -> DataFrame:
+    outside = F.transform("refs", lambda r: r["externalWorkflowId"])
+    return routed.select(
+        "workflow_id",
+        *ORDER,
+        "command",
+        "target",
+        "reason",
+        "note",
+        (~F.col("skipped")).alias("live"),
+        corpus.insert_body(F.col("content")).alias("body"),
+        corpus.partition_column(F.col("content")).alias("partition_column"),
+        F.nullif(last_part(F.regexp_extract("content", corpus.CREATED_TABLE, 1)), F.lit("")).alias("created"),
+        F.transform("output_guids", lambda g: last_part(g)).alias("outputs"),
+        F.filter(outside, lambda x: F.coalesce(x, F.lit("")) != "").alias("externals"),
+    )
+
 
-    live = ~F.col("skipped")
+def _node_facts(routed: DataFrame) -> DataFrame:
+    """What each node alone tells: marks, variable uses and findings."""
+    live, body = F.col("live"), F.col("body")
     virtual = F.col("command") == "VIRTUAL"
     triage = F.col("target") == REVIEW_TARGET
     sql = (F.col("target") == SQL_TARGET) & ~virtual
-    has_body = F.col("_body") != ""
-    has_output = F.size("output_guids") > 0
+    has_body = body != ""
+    has_output = F.size("outputs") > 0
     model = live & sql & has_body & has_output
+    identifiers = F.regexp_extract_all(body, F.lit(r"\b([A-Za-z_][A-Za-z0-9_]*)\b"), F.lit(1))
 
-    def item(condition: Column, kind: str, detail: Column) -> Column:
-        entry = F.struct(F.lit(kind).alias("kind"), detail.alias("detail"))
-        return F.when(F.coalesce(condition, F.lit(False)), F.array(entry)).otherwise(_no_items())
+    def listed(words: Sequence[str]) -> Column:
+        return F.array(*[F.lit(w) for w in words])
 
     def items(condition: Column, kind: str, details: Column) -> Column:
         entry = F.transform(details, lambda d: F.struct(F.lit(kind).alias("kind"), d.alias("detail")))
         return F.when(F.coalesce(condition, F.lit(False)), entry).otherwise(_no_items())
 
-    names = corpus.called_names(F.col("_body"))
-    reviewed = F.array_intersect(names, F.array(*[F.lit(f) for f in REVIEWED_FUNCTIONS]))
-    reserved = F.array_intersect(
-        F.regexp_extract_all(F.col("_body"), F.lit(r"\b([A-Za-z_][A-Za-z0-9_]*)\b"), F.lit(1)),
-        F.array(*[F.lit(w) for w in RESERVED_WORDS]),
-    )
+    def item(condition: Column, kind: str, detail: Column) -> Column:
+        entry = F.array(F.struct(F.lit(kind).alias("kind"), detail.alias("detail")))
+        return F.when(F.coalesce(condition, F.lit(False)), entry).otherwise(_no_items())
+
     found = F.concat(
         item(~live, "skipped", F.col("command")),
-        item(live & F.col("_past"), "cross_cycle", F.col("command")),
         item(live & ~virtual & triage, "triage", F.col("reason")),
         item(live & ~virtual & ~triage & ~sql, "not_auto", F.col("target")),
-        item(live & sql & ~has_body & F.col("_absorbed").isNull(), "ddl_only", F.coalesce(F.col("_created"), F.lit("?"))),
         item(live & sql & has_body & ~has_output, "no_output", F.lit("")),
-        item(model, "partition", corpus.partition_column(F.col("content"))),
-        items(model, "function", reviewed),
-        items(model, "reserved", reserved),
+        item(model, "partition", F.col("partition_column")),
+        items(model, "function", F.array_intersect(corpus.called_names(body), listed(REVIEWED_FUNCTIONS))),
+        items(model, "reserved", F.array_intersect(identifiers, listed(RESERVED_WORDS))),
         item(live & F.col("note").isNotNull(), "note", F.col("note")),
     )
-    per_node = rows.select("workflow_id", "node_id", F.inline(found)).where(F.col("detail").isNotNull())
-    declared = cat.variables.select("workflow_id", "name")
-    scripts = rows.where(model).select("workflow_id", "node_id", "_body")
-    variables = corpus.variable_findings(
-        scripts, ["workflow_id", "node_id"], "_body", declared, ["workflow_id"]
-    ).where(F.col("status") != "resolved")
-    duplicates = duplicate_models(routed, scope)
-    externals = cross_workflow_deps(cat.nodes).select("workflow_id", "external_workflow_id").distinct()
-    blank = F.lit("")
-    return (
-        per_node.unionByName(variables.select("workflow_id", "node_id", F.col("status").alias("kind"), F.col("name").alias("detail")))
-        .unionByName(
-            duplicates.select(
-                *( ["workflow_id"] if "workflow_id" in scope else [blank.alias("workflow_id")] ),
-                F.col("winner_node_id").alias("node_id"),
-                F.lit("duplicate").alias("kind"),
-                F.col("table_name").alias("detail"),
-            )
-        )
-        .unionByName(
-            externals.select(
-                "workflow_id", blank.alias("node_id"), F.lit("cross_workflow").alias("kind"),
-                F.col("external_workflow_id").alias("detail"),
-            )
-        )
+    no_uses = F.array().cast("array<struct<form:string,name:string,day_offset:int>>")
+    return routed.withColumns(
+        {
+            "model": model,
+            "has_body": has_body,
+            "ddl_only": live & sql & ~has_body,
+            "uses": F.when(model, corpus.variable_use_list(body)).otherwise(no_uses),
+            "items": found,
+        }
     )
 
 

@@ -79,40 +79,43 @@ def function_usage(scripts: DataFrame, key: str, text: str, case_sensitive: bool
     return hits.select(key, F.inline(_counts(F.col("t"), list(kinds), kinds)))
 
 
-def variable_uses(scripts: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """Variables per script with form and day offset, each use once."""
-    brace = F.transform(
-        F.regexp_extract_all(F.col(text), F.lit(BRACE_VARIABLE), F.lit(1)),
-        lambda n: F.struct(F.lit("brace").alias("form"), n.alias("use")),
-    )
-    bracket = F.transform(
-        F.regexp_extract_all(F.col(text), F.lit(BRACKET_VARIABLE), F.lit(1)),
-        lambda n: F.struct(F.lit("bracket").alias("form"), n.alias("use")),
-    )
-    uses = scripts.select(*keys, F.inline(F.array_distinct(F.concat(brace, bracket))))
-    return uses.select(
-        *keys,
-        "form",
-        F.regexp_extract("use", r"^(\w+)", 1).alias("name"),
-        F.regexp_replace(F.regexp_extract("use", r"([+-]\d+)$", 1), r"\+", "").try_cast("int").alias("day_offset"),
-    )
+def variable_use_list(text: Column) -> Column:
+    """Distinct variable uses in a text: form (brace or bracket), name, day offset."""
 
+    def uses(pattern: str, form: str) -> Column:
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+        return F.transform(
+            found,
+            lambda u: F.struct(
+                F.lit(form).alias("form"),
+                F.regexp_extract(u, r"^(\w+)", 1).alias("name"),
+                F.replace(F.regexp_extract(u, r"([+-]\d+)$", 1), F.lit("+"), F.lit("")).try_cast("int").alias("day_offset"),
+            ),
+        )
 
-def variable_findings(
-    scripts: DataFrame, keys: Sequence[str], text: str, declared: DataFrame, scope: Sequence[str] = ()
-) -> DataFrame:
+    return F.array_distinct(F.concat(uses(BRACE_VARIABLE, "brace"), uses(BRACKET_VARIABLE, "bracket")))
+
+
+def variable_status(uses: DataFrame, declared: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Status per variable use: resolved, unresolved, or offset_not_allowed.
 
-    ``declared`` holds ``name`` per ``scope`` (columns of ``keys``).
+    ``uses`` has ``name`` and ``day_offset``; ``declared`` has ``name`` per ``scope``.
     """
     known = declared.select(*scope, "name").distinct().withColumn("_known", F.lit(True))
-    uses = variable_uses(scripts, keys, text).join(known, [*scope, "name"], "left")
     status = (
         F.when(F.col("_known").isNull(), "unresolved")
         .when(F.col("day_offset").isNotNull() & ~F.col("name").isin(*DATE_VARIABLES), "offset_not_allowed")
         .otherwise("resolved")
     )
-    return uses.select(*keys, "form", "name", "day_offset", status.alias("status"))
+    return uses.join(known, [*scope, "name"], "left").withColumn("status", status).drop("_known")
+
+
+def variable_findings(
+    scripts: DataFrame, keys: Sequence[str], text: str, declared: DataFrame, scope: Sequence[str] = ()
+) -> DataFrame:
+    """Variables of each script with their status; ``scope`` are columns of ``keys``."""
+    uses = scripts.select(*keys, F.inline(variable_use_list(F.col(text))))
+    return variable_status(uses, declared, scope).select(*keys, "form", "name", "day_offset", "status")
 
 
 def unresolved_references(refs: DataFrame, declared: DataFrame, name: str) -> DataFrame:

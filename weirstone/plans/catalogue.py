@@ -119,7 +119,7 @@ _OVERRIDES = """SELECT CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) AS
     CASE WHEN conv_id % 23 = 0 AND turn % 3 = 2 THEN 'TRIAGE' ELSE '' END AS gcp_target,
     CASE WHEN conv_id % 19 = 0 THEN 'check' ELSE ' ' END AS review_notes,
     CASE WHEN conv_id % 17 = 0 AND turn % 3 = 1 THEN ' TRUE' ELSE '' END AS skip
-    FROM {conversations} WHERE conv_id % 23 = 0 OR conv_id % 19 = 0 OR conv_id % 17 = 0"""
+    FROM {conversations}"""
 
 
 def _overrides(spark, sf):

@@ -80,12 +80,10 @@ def substitute_params(spark, sf):
 @query(
     "table_refs",
     f"""{_TURNS} SELECT DISTINCT node_id, split_part(replace(n, '`', ''), '.', -1) AS table_name
-        FROM (SELECT node_id, unnest(regexp_extract_all(content, '(?i)\\b(?:from|join|into)\\s+([`a-zA-Z_][\\w.$]*)', 1)) AS n
-              FROM t WHERE role = 'user')""",
+        FROM (SELECT node_id, unnest(regexp_extract_all(content, '(?i)\\b(?:from|join|into)\\s+([`a-zA-Z_][\\w.$]*)', 1)) AS n FROM t)""",
 )
 def table_refs(spark, sf):
-    scripts = turns(spark, sf).where("role = 'user'")
-    return corpus.table_references(scripts, ["node_id"], F.col("content"))
+    return corpus.table_references(turns(spark, sf), ["node_id"], F.col("content"))
 
 
 @query(
@@ -119,13 +117,27 @@ def drop_lines(spark, sf):
     return rows.select("doc_id", "n_kept", "n_dropped", F.md5("kept_text").alias("kept_md5"))
 
 
+_KINDS = r"""CASE WHEN regexp_matches(s, '^CREATE\s+TABLE\b') THEN 'create'
+       WHEN regexp_matches(s, '^INSERT\s+(OVERWRITE\s+TABLE|INTO)\b') THEN 'insert'
+       WHEN regexp_matches(s, '^DROP\s+TABLE\b') THEN 'drop_table'
+       WHEN regexp_matches(s, '^TRUNCATE\s+TABLE\b') THEN 'truncate_table'
+       WHEN regexp_matches(s, '^(CREATE\s+EXTERNAL|ALTER)\s+TABLE\b') THEN 'other' ELSE 'query' END"""
+_BARE = r"""regexp_replace(content || chr(10) || 'SELECT '';'' FROM t;' || chr(10) || ';', '''[^'']*''|"[^"]*"', '''''', 'g')"""
+
+
 @query(
     "statement_kinds",
-    f"""{_TURNS} SELECT node_id, CAST(content LIKE 'CREATE%' AS BIGINT) AS n_create, CAST(content LIKE 'INSERT%' AS BIGINT) AS n_insert,
-            0::BIGINT AS n_drop_table, 0::BIGINT AS n_truncate_table, 0::BIGINT AS n_other, 1::BIGINT AS n_query
-        FROM t WHERE role = 'user'""",
+    f"""{_TURNS}, p AS (SELECT node_id, upper(trim(s, chr(32) || chr(10) || chr(9) || chr(13))) AS s FROM (
+           SELECT node_id, unnest(string_split({_BARE}, ';')) AS s FROM t)),
+         k AS (SELECT node_id, {_KINDS} AS kind FROM p WHERE s <> '')
+       SELECT node_id, """
+    + ", ".join(
+        f"CAST(COUNT(*) FILTER (WHERE kind = '{n}') AS BIGINT) AS n_{n}"
+        for n in ("create", "insert", "drop_table", "truncate_table", "other", "query")
+    )
+    + " FROM k GROUP BY node_id",
 )
 def statement_kinds(spark, sf):
-    scripts = turns(spark, sf).where("role = 'user'")
-    more = F.concat("content", F.lit("\nSELECT ';', \"a;b\" FROM t;\n;"))
-    return corpus.statement_kinds(scripts.withColumn("content", more), ["node_id"], "content")
+    # A quoted semicolon and an empty statement follow every script.
+    more = F.concat("content", F.lit("\nSELECT ';' FROM t;\n;"))
+    return corpus.statement_kinds(turns(spark, sf).withColumn("content", more), ["node_id"], "content")

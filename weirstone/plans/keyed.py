@@ -223,13 +223,13 @@ def last_row_wins(spark, sf):
 
 @query(
     "merge_priority",
-    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment || '_B' ELSE c_mktsegment END AS segment
-       FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0""",
+    """SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_mktsegment || '_B' ELSE c_mktsegment END AS segment
+       FROM customer WHERE c_nationkey < 15 OR c_acctbal > 0""",
 )
 def merge_priority(spark, sf):
     customer = table(spark, sf, "customer")
-    first = customer.where("c_custkey % 2 = 0").select("c_custkey", F.col("c_mktsegment").alias("segment"))
-    second = customer.where("c_custkey % 3 = 0").select(
+    first = customer.where("c_nationkey < 15").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    second = customer.where("c_acctbal > 0").select(
         "c_custkey", F.concat("c_mktsegment", F.lit("_B")).alias("segment")
     )
     return keyed.merge_priority([first, second], "c_custkey")
@@ -258,24 +258,23 @@ def first_of_class(spark, sf):
     )
 
 
-@query("pending_items", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 <> 0")
+@query("pending_items", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'F'")
 def pending_items(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return keyed.pending(orders, orders.where("o_orderkey % 2 = 0"), ["o_orderkey"])
+    orders = table(spark, sf, "orders")
+    stored = orders.where("o_orderstatus = 'F'")
+    return keyed.pending(orders.select("o_orderkey", "o_custkey"), stored, ["o_orderkey"])
 
 
 @query(
     "insert_ignore",
-    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE 'new_' || c_name END AS c_name FROM customer
-       WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0""",
+    """SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_name ELSE 'new_' || c_name END AS c_name FROM customer""",
 )
 def insert_ignore(spark, sf):
-    # Stored: keys divisible by three.  The batch has the even keys, each of them twice.
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
-    stored = customer.where("c_custkey % 3 = 0")
-    even = customer.where("c_custkey % 2 = 0")
-    batch = even.select("c_custkey", F.concat(F.lit("new_"), "c_name").alias("c_name"), F.lit(0).alias("line")).unionByName(
-        even.select("c_custkey", F.lit("late").alias("c_name"), F.lit(1).alias("line"))
+    # Stored: customers with a balance.  The batch has every customer, each of them twice.
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    stored = customer.where("c_acctbal > 0").select("c_custkey", "c_name")
+    batch = customer.select("c_custkey", F.concat(F.lit("new_"), "c_name").alias("c_name"), F.lit(0).alias("line")).unionByName(
+        customer.select("c_custkey", F.lit("late").alias("c_name"), F.lit(1).alias("line"))
     )
     fresh = keyed.insert_ignore(stored, batch, ["c_custkey"], ["line"])
     return stored.unionByName(fresh.select("c_custkey", "c_name"))

@@ -157,8 +157,8 @@ def sink_partition_overwrite(spark, sf):
 def sink_append(spark, sf):
     path = fresh_path(spark, "append")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    tables.append_table(orders.where("o_orderkey % 2 = 0"), path)
-    tables.append_table(orders.where("o_orderkey % 2 <> 0"), path)
+    tables.append_table(orders.where("o_orderstatus = 'F'"), path)
+    tables.append_table(orders.where("o_orderstatus <> 'F'"), path)
     return spark.read.schema(orders.schema).parquet(path)
 
 

@@ -79,19 +79,6 @@ def parse_documents(texts: DataFrame, text: str, source_file: str) -> DataFrame:
     return parsed.select("d.*", "source_file")
 
 
-def _labelled(nodes: Column, workflow_id: Column, workflow_name: Column, part: Column) -> Column:
-    return F.transform(
-        nodes,
-        lambda node, i: F.struct(
-            workflow_id.alias("workflow_id"),
-            workflow_name.alias("workflow_name"),
-            part.alias("workflow_pos"),
-            i.cast("int").alias("node_pos"),
-            node.alias("node"),
-        ),
-    )
-
-
 def normalise(docs: DataFrame, union_shapes: bool = False) -> DataFrame:
     """One row per node, whatever the shape of its document.
 
@@ -99,66 +86,58 @@ def normalise(docs: DataFrame, union_shapes: bool = False) -> DataFrame:
     nodes of all workflows of a document are both taken.  Nodes without an id
     are dropped.
     """
-    none = F.lit(None).cast(f"array<{NODE}>")
-    landed = F.col("workflow_id").isNotNull()
     # A landed node file wraps its document once more than a workflow file.
-    body_nodes = F.coalesce(F.col("spec.spec.nodes"), F.col("spec.nodes"), F.col("nodes"))
-    body_flows = F.coalesce(F.col("spec.spec.workflows"), F.col("spec.workflows"), F.col("workflows"))
+    listed = F.coalesce(F.col("spec.spec.nodes"), F.col("spec.nodes"), F.col("nodes"))
+    flows = F.coalesce(F.col("spec.spec.workflows"), F.col("spec.workflows"), F.col("workflows"))
+    landed = F.col("workflow_id").isNotNull()
+    bare = listed.isNull() & flows.isNull()
+    single = F.when(bare & F.col("script").isNotNull(), F.array(_node_at(""))).when(
+        bare & F.col("spec.script").isNotNull(), F.array(_node_at("spec."))
+    )
     own_id = F.coalesce(
-        F.col("workflow_id"), F.col("spec.id"), F.col("metadata.uuid"), F.when(body_nodes.isNotNull(), F.col("id"))
+        F.col("workflow_id"), F.col("spec.id"), F.col("metadata.uuid"), F.when(listed.isNotNull(), F.col("id"))
     )
     own_name = F.when(landed, F.concat(F.lit("workflow_"), F.col("workflow_id"))).otherwise(
-        F.coalesce(F.col("spec.name"), F.when(body_nodes.isNotNull(), F.col("name")))
+        F.coalesce(F.col("spec.name"), F.when(listed.isNotNull(), F.col("name")))
     )
-
-    def node_of(prefix: str) -> Column:
-        names = [f.name for f in _parse(NODE).fields]
-        return F.struct(*[F.col(prefix + n).alias(n) for n in names])
-
-    single = F.when(
-        F.col("script").isNotNull() & body_nodes.isNull() & body_flows.isNull(), F.array(node_of(""))
-    ).when(
-        F.col("spec.script").isNotNull() & body_nodes.isNull() & body_flows.isNull(), F.array(node_of("spec."))
-    ).otherwise(none)
-
-    listed = F.coalesce(single, body_nodes)
-    from_list = _labelled(listed, own_id, own_name, F.lit(0))
-    from_workflows = F.flatten(
-        F.transform(
-            body_flows,
-            lambda wf, i: F.coalesce(
-                _labelled(
-                    wf["nodes"],
-                    F.coalesce(F.when(landed, own_id), wf["id"], own_id),
-                    F.coalesce(F.when(landed, own_name), wf["name"]),
-                    i.cast("int"),
-                ),
-                F.array().cast(_labelled_type()),
+    source = F.col("source_file") if "source_file" in docs.columns else F.lit(None).cast("string").alias("source_file")
+    staged = docs.select(
+        source,
+        landed.alias("landed"),
+        own_id.alias("own_id"),
+        own_name.alias("own_name"),
+        F.coalesce(single, listed).alias("listed"),
+        F.filter(
+            F.transform(
+                flows,
+                lambda wf, i: F.struct(i.cast("int").alias("pos"), wf["id"].alias("id"), wf["name"].alias("name"), wf["nodes"].alias("nodes")),
             ),
-        )
+            lambda part: part["nodes"].isNotNull(),
+        ).alias("flows"),
     )
-    empty = F.array().cast(_labelled_type())
+    part_type = f"array<struct<pos:int,id:string,name:string,nodes:array<{NODE}>>>"
+    none = F.lit(None).cast("string")
+    as_list = F.array(
+        F.struct(F.lit(0).alias("pos"), none.alias("id"), none.alias("name"), F.col("listed").alias("nodes"))
+    ).cast(part_type)
+    in_flows = F.coalesce(F.col("flows"), F.array().cast(part_type))
+    has_list = F.col("listed").isNotNull()
     if union_shapes:
-        rows = F.concat(F.coalesce(from_list, empty), F.coalesce(from_workflows, empty))
+        parts = F.when(has_list, F.concat(as_list, in_flows)).otherwise(in_flows)
     else:
-        first_workflow = F.filter(
-            from_workflows,
-            lambda r: r["workflow_pos"] == F.array_min(F.transform(from_workflows, lambda x: x["workflow_pos"])),
-        )
-        rows = F.coalesce(from_list, first_workflow, empty)
-    source = F.col("source_file") if "source_file" in docs.columns else F.lit(None).cast("string").alias("source_file")
-    return (
-        docs.select(source, F.explode(rows).alias("r"))
-        .select("source_file", "r.workflow_id", "r.workflow_name", "r.workflow_pos", "r.node_pos", "r.node")
-        .where(F.coalesce(F.col("node.id"), F.lit("")) != "")
-    )
-
-
-def _labelled_type() -> str:
-    return (
-        "array<struct<workflow_id:string,workflow_name:string,workflow_pos:int,node_pos:int,"
-        f"node:{NODE}>>"
-    )
+        parts = F.when(has_list, as_list).otherwise(F.slice(in_flows, 1, 1))
+    by_part = staged.select("source_file", "landed", "own_id", "own_name", F.explode(parts).alias("part"))
+    return by_part.select(
+        "source_file",
+        F.when(F.col("landed"), F.col("own_id")).otherwise(F.coalesce("part.id", "own_id")).alias("workflow_id"),
+        F.when(F.col("landed"), F.col("own_name")).otherwise(F.coalesce("part.name", "own_name")).alias("workflow_name"),
+        F.col("part.pos").alias("workflow_pos"),
+        F.posexplode("part.nodes").alias("node_pos", "node"),
+    ).where(F.coalesce(F.col("node.id"), F.lit("")) != "")
+
+
+def _node_at(prefix: str) -> Column:
+    return F.struct(*[F.col(prefix + f.name).alias(f.name) for f in _parse(NODE).fields])
 
 
 def prefer_then_fallback(preferred: DataFrame, fallback: DataFrame, key: str) -> DataFrame:
