@@ -31,7 +31,7 @@ from weirstone.operators.keyed import first_per_key, repeated_keys
 from weirstone.operators.ordering import ordered_parts
 from weirstone.operators.setops import membership
 from weirstone.session import materialise
-from weirstone.sources.documents import FLOW, NODE, normalise
+from weirstone.sources.documents import FLOW, NODE, normalise, workflow_headers
 
 
 @dataclass(frozen=True)
@@ -62,14 +62,15 @@ def _guids(tables: Column) -> Column:
     return F.filter(names, lambda g: F.coalesce(g, F.lit("")) != "")
 
 
-def flat_nodes(docs: DataFrame, union_shapes: bool = False) -> DataFrame:
+def flat_nodes(docs: DataFrame, shapes: str = "workflows") -> DataFrame:
     """One row per node with its fields side by side."""
-    n = normalise(docs, union_shapes)
+    n = normalise(docs, shapes)
     refs = F.coalesce(F.col("node.inputs.nodeOutputs"), F.array().cast(f"array<{_ref_type()}>"))
     return n.select(
         "source_file",
         "workflow_id",
         "workflow_name",
+        "landed",
         "workflow_pos",
         "node_pos",
         F.col("node.id").alias("node_id"),
@@ -94,20 +95,17 @@ def _ref_type() -> str:
     )
 
 
-def _workflow_rows(docs: DataFrame) -> DataFrame:
-    flows = F.coalesce(F.col("spec.workflows"), F.col("workflows"))
-    source = F.col("source_file") if "source_file" in docs.columns else F.lit(None).cast("string").alias("source_file")
-    return docs.select(source, F.posexplode(flows).alias("workflow_pos", "wf"))
-
-
-def build_catalogue(docs: DataFrame, union_shapes: bool = False) -> Catalogue:
+def build_catalogue(docs: DataFrame, shapes: str = "workflows") -> Catalogue:
     """Flatten documents of any shape.
 
-    A workflow that arrives in several documents keeps its first header.
+    A workflow that arrives in several documents keeps its first header, and a
+    workflow file comes before landed node files.  The edges of landed nodes
+    come from their references.
     """
-    wf = _workflow_rows(docs)
+    wf = workflow_headers(docs)
     headers = wf.select(
         F.col("wf.id").alias("workflow_id"),
+        "landed",
         "source_file",
         "workflow_pos",
         F.coalesce(F.col("wf.name"), F.lit("")).alias("workflow_name"),
@@ -115,8 +113,8 @@ def build_catalogue(docs: DataFrame, union_shapes: bool = False) -> Catalogue:
         F.coalesce(F.col("wf.trigger.timezone"), F.lit("UTC")).alias("timezone"),
         F.col("wf.strategy.rerunTimes").alias("rerun_times"),
     )
-    workflows = first_per_key(headers, ["workflow_id"], ["source_file", "workflow_pos"])
-    nodes = flat_nodes(docs, union_shapes)
+    workflows = first_per_key(headers, ["workflow_id"], ["landed", "source_file", "workflow_pos"]).drop("landed")
+    nodes = flat_nodes(docs, shapes)
     entries = wf.select(F.col("wf.id").alias("workflow_id"), F.explode("wf.flow").alias("f"))
     deps = entries.select("workflow_id", F.col("f.nodeId").alias("node_id"), F.explode("f.depends").alias("d"))
     upstream = F.coalesce(F.nullif(F.col("d.nodeId"), F.lit("")), F.col("d.data"))
@@ -130,6 +128,9 @@ def build_catalogue(docs: DataFrame, union_shapes: bool = False) -> Catalogue:
             | F.coalesce(F.col("d.type") == "CrossCycle", F.lit(False))
         ).alias("cross_cycle"),
     ).where(F.coalesce(F.col("upstream_id"), F.lit("")) != "")
+    rebuilt = reference_flow(nodes.where("landed")).select(
+        "workflow_id", "node_id", "upstream_id", F.lit("Normal").alias("type"), F.lit(False).alias("cross_cycle")
+    )
     variables = (
         wf.select(
             "source_file", "workflow_pos", F.col("wf.id").alias("workflow_id"),
@@ -138,7 +139,12 @@ def build_catalogue(docs: DataFrame, union_shapes: bool = False) -> Catalogue:
         .select("source_file", "workflow_pos", "variable_pos", "workflow_id", "v.name", "v.type", "v.value")
         .where(F.coalesce(F.col("name"), F.lit("")) != "")
     )
-    return Catalogue(workflows, nodes, edges, variables)
+    return Catalogue(workflows, nodes, edges.unionByName(rebuilt), variables)
+
+
+def unique_nodes(nodes: DataFrame) -> DataFrame:
+    """One row per workflow and node id: the first in document order."""
+    return first_per_key(nodes, ["workflow_id", "node_id"], ["source_file", "workflow_pos", "node_pos"])
 
 
 def table_io(nodes: DataFrame) -> DataFrame:

@@ -79,16 +79,17 @@ def parse_documents(texts: DataFrame, text: str, source_file: str) -> DataFrame:
     return parsed.select("d.*", "source_file")
 
 
-def normalise(docs: DataFrame, union_shapes: bool = False) -> DataFrame:
+def normalise(docs: DataFrame, shapes: str = "first") -> DataFrame:
     """One row per node, whatever the shape of its document.
 
-    The first shape that fits wins; with ``union_shapes`` the node list and the
-    nodes of all workflows of a document are both taken.  Nodes without an id
-    are dropped.
+    ``first`` takes the first shape that fits: a node, a node list, the first
+    workflow.  ``workflows`` takes all workflows of a document, or its node or
+    node list if it has none.  ``union`` takes node list and workflows.  Nodes
+    without an id are dropped.
     """
     # A landed node file wraps its document once more than a workflow file.
-    listed = F.coalesce(F.col("spec.spec.nodes"), F.col("spec.nodes"), F.col("nodes"))
-    flows = F.coalesce(F.col("spec.spec.workflows"), F.col("spec.workflows"), F.col("workflows"))
+    listed = _either("nodes")
+    flows = _either("workflows")
     landed = F.col("workflow_id").isNotNull()
     bare = listed.isNull() & flows.isNull()
     single = F.when(bare & F.col("script").isNotNull(), F.array(_node_at(""))).when(
@@ -121,21 +122,71 @@ def normalise(docs: DataFrame, union_shapes: bool = False) -> DataFrame:
         F.struct(F.lit(0).alias("pos"), none.alias("id"), none.alias("name"), F.col("listed").alias("nodes"))
     ).cast(part_type)
     in_flows = F.coalesce(F.col("flows"), F.array().cast(part_type))
-    has_list = F.col("listed").isNotNull()
-    if union_shapes:
-        parts = F.when(has_list, F.concat(as_list, in_flows)).otherwise(in_flows)
-    else:
-        parts = F.when(has_list, as_list).otherwise(F.slice(in_flows, 1, 1))
+    has_list, has_flows = F.col("listed").isNotNull(), F.size(in_flows) > 0
+    parts = {
+        "first": F.when(has_list, as_list).otherwise(F.slice(in_flows, 1, 1)),
+        "workflows": F.when(has_flows | ~has_list, in_flows).otherwise(as_list),
+        "union": F.when(has_list, F.concat(as_list, in_flows)).otherwise(in_flows),
+    }[shapes]
     by_part = staged.select("source_file", "landed", "own_id", "own_name", F.explode(parts).alias("part"))
     return by_part.select(
         "source_file",
         F.when(F.col("landed"), F.col("own_id")).otherwise(F.coalesce("part.id", "own_id")).alias("workflow_id"),
         F.when(F.col("landed"), F.col("own_name")).otherwise(F.coalesce("part.name", "own_name")).alias("workflow_name"),
+        "landed",
         F.col("part.pos").alias("workflow_pos"),
         F.posexplode("part.nodes").alias("node_pos", "node"),
     ).where(F.coalesce(F.col("node.id"), F.lit("")) != "")
 
 
+def _either(field: str) -> Column:
+    return F.coalesce(F.col(f"spec.spec.{field}"), F.col(f"spec.{field}"), F.col(field))
+
+
+def workflow_headers(docs: DataFrame) -> DataFrame:
+    """One row per workflow of a document: header, variables and flow, without nodes.
+
+    A node list counts as one workflow; a landed node file names its workflow only.
+    """
+    header_type = f"array<struct<id:string,name:string,trigger:{TRIGGER},strategy:{STRATEGY},variables:array<{VARIABLE}>,flow:array<{FLOW}>>>"
+    flows = F.transform(
+        _either("workflows"),
+        lambda wf: F.struct(
+            F.coalesce(wf["id"], F.col("spec.id"), F.col("metadata.uuid")).alias("id"),
+            F.coalesce(wf["name"], F.col("spec.name")).alias("name"),
+            *[wf[f].alias(f) for f in ("trigger", "strategy", "variables", "flow")],
+        ),
+    ).cast(header_type)
+    none = F.lit(None)
+    own = F.array(
+        F.struct(
+            F.coalesce("spec.id", "metadata.uuid", "id").alias("id"),
+            F.coalesce("spec.name", "name").alias("name"),
+            F.coalesce("spec.trigger", "trigger").alias("trigger"),
+            none.alias("strategy"),
+            none.alias("variables"),
+            F.coalesce("spec.flow", "flow").alias("flow"),
+        )
+    ).cast(header_type)
+    name_only = F.array(
+        F.struct(
+            F.col("workflow_id").alias("id"),
+            F.concat(F.lit("workflow_"), "workflow_id").alias("name"),
+            *[none.alias(f) for f in ("trigger", "strategy", "variables", "flow")],
+        )
+    ).cast(header_type)
+    landed = F.col("workflow_id").isNotNull()
+    headers = (
+        F.when(landed, name_only)
+        .when(F.coalesce(F.size(flows), F.lit(0)) > 0, flows)
+        .when(_either("nodes").isNotNull(), own)
+    )
+    source = F.col("source_file") if "source_file" in docs.columns else F.lit(None).cast("string").alias("source_file")
+    return docs.select(source, landed.alias("landed"), F.posexplode(headers).alias("workflow_pos", "wf")).where(
+        F.col("wf.id").isNotNull()
+    )
+
+
 def _node_at(prefix: str) -> Column:
     return F.struct(*[F.col(prefix + f.name).alias(f.name) for f in _parse(NODE).fields])
 
