@@ -55,7 +55,7 @@ def canonical_text(field: T.StructField, digits: int = 2) -> Column:
     elif isinstance(kind, T.BinaryType):
         text = F.hex(col)
     elif isinstance(kind, T.MapType):
-        text = _escape(F.to_json(F.struct(F.array_sort(F.map_entries(col)).alias("v"))))
+        text = _escape(F.to_json(F.struct(F.sort_array(F.map_entries(col)).alias("v"))))
     elif isinstance(kind, (T.ArrayType, T.StructType)):
         text = _escape(F.to_json(F.struct(col.alias("v"))))
     elif isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):

@@ -30,7 +30,7 @@ def json_field(text: Column, path: str, default: str = "") -> Column:
 
 def entries(map_col: Column) -> Column:
     """A map as a list of key/value pairs, ordered by key."""
-    return F.array_sort(F.map_entries(map_col))
+    return F.sort_array(F.map_entries(map_col))
 
 
 def from_entries(list_col: Column) -> Column:

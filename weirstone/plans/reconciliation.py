@@ -54,7 +54,7 @@ def _check_sql(name: str, source: str | None = None) -> str:
 
 
 def _aggregate_text(col="aggregates"):
-    pairs = F.transform(F.array_sort(F.map_entries(col)), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    pairs = F.transform(F.sort_array(F.map_entries(col)), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return F.array_join(pairs, ";")
 
 
