@@ -59,11 +59,25 @@ def test_insert_ignore_is_idempotent(spark, frame):
 
 
 def test_global_rank(frame, skewed):
-    ranked = ordering.global_rank(frame, [F.col("k").desc(), F.col("pos")])
+    ranked = ordering.global_rank(frame, [F.col("k").desc(), F.col("pos")], "n")
     want = [(k, p, v, i + 1) for i, (k, p, v) in enumerate(sorted(skewed, key=lambda r: (-r[0], r[1])))]
-    assert sorted((r.k, r["pos"], r.v) for r in ranked.select("k", F.lit(0).alias("pos"), "v").collect())
-    found = sorted(tuple(r) for r in ordering.global_rank(frame.withColumnRenamed("pos", "p"), [F.col("k").desc(), F.col("p")], "n").select("k", "p", "v", "n").collect())
-    assert found == sorted(want)
+    assert sorted(tuple(r) for r in ranked.select("k", "pos", "v", "n").collect()) == sorted(want)
+
+
+def test_copies_are_ranked_in_many_ranges(spark):
+    # every second row is the same row
+    df = spark.range(8000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("x"))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")  # keep small ranges apart
+    try:
+        stored = ordering._sorted_ranges(df, [F.col("x")], unique=False)
+    finally:
+        spark.conf.set(merge, "true")
+    sizes = [r["count"] for r in stored.groupBy(F.shiftright("_mid", 33)).count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) < 2500
+    ranked = ordering.global_rank(df, [F.col("x")], "n").collect()
+    assert sorted(r.n for r in ranked) == list(range(1, 8001))
+    assert all(r.n <= 4000 for r in ranked if r.x == -1)
 
 
 def test_parts_are_bounded_and_whole(frame, skewed):

@@ -16,6 +16,9 @@ def test_query_matches_sql(spark, sf, duck, name):
     df = queries()[name](spark, sf)
     assert name in oracle_sql()
     assert compare(duck, df, oracle_sql()[name]) == ""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython"):
+        assert slow not in plan
 
 
 def test_entry(spark):

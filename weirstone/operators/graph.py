@@ -142,12 +142,14 @@ def topological_order(
 ) -> DataFrame:
     """Nodes with ``order_pos``: by level, then input position; cyclic nodes last.
 
+    ``positions`` has one row per node.
+
     ``order_pos`` counts through all groups; within a group it ascends in a
     valid execution order.
     """
     rows = levels.join(positions.select(*group, "node", position), [*group, "node"])
     order = [*[F.col(g) for g in group], F.col("level").asc_nulls_last(), F.col(position), F.col("node")]
-    return global_rank(rows, order, "order_pos")
+    return global_rank(rows, order, "order_pos", unique=True)
 
 
 def cyclic_nodes(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 10_000) -> DataFrame:

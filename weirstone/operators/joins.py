@@ -15,20 +15,16 @@ from pyspark.sql import functions as F
 from weirstone.functions.names import blank_to_null
 from weirstone.operators.keyed import last_per_key
 
-BROADCAST_ROWS = 1_000_000
-
-
-def at_most(df: DataFrame, rows: int) -> bool:
-    """True if ``df`` holds no more than ``rows`` rows; stops reading once it knows."""
-    return df.select(F.lit(1).alias("one")).limit(rows + 1).count() <= rows
+# Rows that a side sent to every task may have.
+BROADCAST_ROWS = 200_000
 
 
 def map_side_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Join with the small side sent to every task if its size allows that;
-    beyond ``max_rows`` it is an ordinary shuffle join."""
-    side = F.broadcast(small) if at_most(small, max_rows) else small
+    """Join with the small side sent to every task if it has no more than
+    ``max_rows`` rows by count; beyond that it is an ordinary shuffle join."""
+    side = F.broadcast(small) if small.count() <= max_rows else small
     return big.join(side, list(on), how)
 
 

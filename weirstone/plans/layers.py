@@ -111,7 +111,7 @@ def mart_segment_count(spark, sf):
 @query("mart_sorted", f"SELECT *, row_number() OVER (ORDER BY num DESC, c_mktsegment) AS pos FROM ({MART_SQL})")
 def mart_sorted(spark, sf):
     mart = mart_segment_count(spark, sf)
-    return ordering.global_rank(mart, [F.col("num").desc(), F.col("c_mktsegment")]).orderBy("pos")
+    return ordering.global_rank(mart, [F.col("num").desc(), F.col("c_mktsegment")], unique=True).orderBy("pos")
 
 
 @query(
