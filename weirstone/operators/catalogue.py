@@ -27,7 +27,7 @@ from weirstone.functions.rundate import (
     last_five_fields,
 )
 from weirstone.operators import corpus
-from weirstone.operators.keyed import first_per_key, repeated_keys
+from weirstone.operators.keyed import first_non_blank, first_per_key, repeated_keys
 from weirstone.operators.ordering import ordered_parts
 from weirstone.operators.setops import membership
 from weirstone.session import materialise
@@ -220,6 +220,17 @@ def routed_nodes(nodes: DataFrame, overrides: DataFrame | None = None) -> DataFr
     ).drop("_t", "_s", "auto_target", "auto_reason")
 
 
+def workflow_schedules(cat: Catalogue, overrides: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Five-field schedule per workflow: the first non-blank override of any of its
+    nodes in the order of the override file, else its own."""
+    owners = cat.nodes.select("workflow_id", "node_id").distinct()
+    given = owners.join(overrides.select("node_id", *order, "schedule"), "node_id")
+    chosen = first_non_blank(given, ["workflow_id"], order, "schedule", "_given")
+    own = five_field_schedule(F.col("cron"))
+    rows = cat.workflows.select("workflow_id", own.alias("_own")).join(chosen, "workflow_id", "left")
+    return rows.select("workflow_id", F.coalesce(F.trim("_given"), F.col("_own")).alias("schedule"))
+
+
 ORDER = ("source_file", "workflow_pos", "node_pos", "node_id")
 
 

@@ -75,10 +75,11 @@ def _forest_levels(ids: DataFrame, edges: DataFrame, group: list[str]) -> DataFr
             "node",
             F.col("upstream").alias("pointer"),
             F.when(F.col("upstream").isNull(), 0).otherwise(1).cast("bigint").alias("dist"),
-        )
+        ),
+        group,
     )
-    # An open node at depth d has d - steps open ancestors of depth >= steps,
-    # so no acyclic depth exceeds steps + n_open - 1.
+    # An open node at depth d has d - steps open ancestors of depth >= steps in
+    # its group, so no acyclic depth exceeds steps + n_open - 1.
     steps, bound = 1, n_open
     while n_open > 0 and steps <= bound:
         there = state.select(
@@ -89,17 +90,18 @@ def _forest_levels(ids: DataFrame, edges: DataFrame, group: list[str]) -> DataFr
             .join(there, [*group, "pointer"], "inner")
             .select(*group, "node", F.col("_p").alias("pointer"), (F.col("dist") + F.col("_d")).alias("dist"))
         )
-        state, n_open = _store_forest(state.where(F.col("pointer").isNull()).unionByName(moved))
+        state, n_open = _store_forest(state.where(F.col("pointer").isNull()).unionByName(moved), group)
         steps *= 2
         bound = min(bound, steps + n_open - 1)
     level = F.when(F.col("pointer").isNull(), F.col("dist"))
     return state.select(*group, "node", level.alias("level"))
 
 
-def _store_forest(state: DataFrame) -> tuple[DataFrame, int]:
-    seen = Observation()
-    stored = materialise(state.observe(seen, F.count("pointer").alias("n_open")), "forest")
-    return stored, int(seen.get["n_open"])
+def _store_forest(state: DataFrame, group: list[str]) -> tuple[DataFrame, int]:
+    """The written state, and the number of open nodes in the group that has most."""
+    stored = materialise(state, "forest")
+    widest = stored.where(F.col("pointer").isNotNull()).groupBy(*group).count().agg(F.max("count")).first()[0]
+    return stored, int(widest or 0)
 
 
 def _peel_levels(ids: DataFrame, edges: DataFrame, group: list[str], max_rounds: int) -> DataFrame:

@@ -143,6 +143,24 @@ def routed_nodes(spark, sf):
     return catalogue.routed_nodes(nodes, _overrides(spark, sf)).select("workflow_id", "node_id", "target", "skipped", "note")
 
 
+# Test overrides of the schedule, in file order.
+_SCHEDULES = """SELECT CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) AS node_id, conv_id, turn,
+    CASE WHEN conv_id % 8 = 0 AND turn > 0 THEN ' ' || CAST(turn AS STRING) || ' 5 * * *' ELSE ' ' END AS schedule
+    FROM {conversations}"""
+
+
+@query(
+    "workflow_schedules",
+    f"""{_TURNS}, o AS ({_SCHEDULES.replace('{conversations}', 'conversations')}),
+        g AS (SELECT t.workflow_id, arg_min(trim(o.schedule), o.turn) AS given FROM t JOIN o ON t.node_id = o.node_id
+              WHERE trim(o.schedule) <> '' GROUP BY t.workflow_id)
+        SELECT DISTINCT t.workflow_id, COALESCE(given, {_FIVE}) AS schedule FROM t LEFT JOIN g ON t.workflow_id = g.workflow_id""",
+)
+def workflow_schedules(spark, sf):
+    overrides = spark.sql(_SCHEDULES, conversations=table(spark, sf, "conversations"))
+    return catalogue.workflow_schedules(_catalogue(spark, sf), overrides, ["conv_id", "turn"])
+
+
 @query(
     "deployable_models",
     f"""{_ROUTED} SELECT workflow_id, table_name, node_id, body FROM (

@@ -100,9 +100,8 @@ def fn_date_arith(spark, sf):
     """SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS seconds, strftime(ts, '%Y-%m-%d %H:%M:%S') AS text_time FROM events""",
 )
 def fn_epoch(spark, sf):
-    # The session zone may be any zone; the wall clock of the event is read as UTC.
-    utc = F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
-    seconds = F.unix_timestamp(F.from_utc_timestamp(utc, F.current_timezone()))
+    # Reading and writing the wall clock in the same zone cancels the session zone out.
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
     return table(spark, sf, "events").select(
         "event_id",
         F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")).alias("seconds"),
