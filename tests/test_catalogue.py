@@ -118,6 +118,19 @@ def test_overrides(spark):
     assert ("s1", "partition") not in items
 
 
+def test_last_override_row_counts(spark):
+    cat = built(spark, houses())
+    given = [(1, "load", "TRIAGE", "", "true"), (2, "load", "", "kept", "")]
+    overrides = spark.createDataFrame(given, "line int, node_id string, gcp_target string, review_notes string, skip string")
+    routed = catalogue.routed_nodes(cat.nodes, overrides, ["line"])
+    assert routed.count() == 3
+    row = routed.where("node_id = 'load'").first()
+    assert (row.target, row.note, row.skipped) == ("Dataform .sqlx", "kept", False)
+    schedules = spark.createDataFrame([(1, "define", " "), (2, "load", " 1 2 * * * "), (3, "begin", "9 9 * * *")], "line int, node_id string, schedule string")
+    assert rows(catalogue.workflow_schedules(cat, schedules, ["line"])) == [("houses", "1 2 * * *")]
+    assert rows(catalogue.workflow_schedules(cat, schedules.limit(1), ["line"])) == [("houses", "02 00 * * *")]
+
+
 def test_review_kinds(spark):
     insert = "INSERT INTO TABLE t SELECT NVL(a, 0), DATEADD(b, 1), rank FROM x WHERE c = '${gone}' AND d = '$[cyctime-1]';"
     wf = workflow("w", [

@@ -254,3 +254,27 @@ def test_degrees(spark):
     df = spark.createDataFrame([("a",), ("b",), ("z",)], "node string")
     ed = spark.createDataFrame([("b", "a"), ("c", "a")], "node string, upstream string")
     assert rows(graph.degrees(df, ed, [])) == [("a", 0, 2), ("b", 1, 0), ("z", 0, 0)]
+
+
+def test_graphs_without_edges_or_nodes(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "node string")
+    none = spark.createDataFrame([], "node string, upstream string")
+    assert rows(graph.topological_levels(df, none)) == [("a", 0), ("b", 0)]
+    assert graph.topological_levels(df.limit(0), none).count() == 0
+    assert graph.cyclic_nodes(df, none).count() == 0
+    loop = spark.createDataFrame([("a", "a")], "node string, upstream string")
+    assert rows(graph.cyclic_nodes(df, loop)) == [("a", True)]
+
+
+def test_value_parity_with_hot_key(spark, frame):
+    changed = frame.withColumn("v", F.when(F.col("pos") % 10 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    found = {r.column_name: (r.mismatches, r.compared) for r in reconcile.value_parity(frame, changed, "pos", ["k", "v"]).collect()}
+    assert found == {"k": (0, 6000), "v": (600, 6000)}
+    part = reconcile.value_parity(frame, changed, "pos", ["v"], "4").first()
+    assert 1000 < part.compared < 2000 and part.mismatches > 0
+
+
+def test_empty_tables_rank(spark):
+    none = spark.createDataFrame([], "k long, p long")
+    assert ordering.global_rank(none, [F.col("p")], "n").count() == 0
+    assert ordering.collect_children(none, "k", ["p"], F.col("p"), 5).count() == 0

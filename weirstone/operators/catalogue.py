@@ -27,7 +27,7 @@ from weirstone.functions.rundate import (
     last_five_fields,
 )
 from weirstone.operators import corpus
-from weirstone.operators.keyed import first_non_blank, first_per_key, repeated_keys
+from weirstone.operators.keyed import first_non_blank, first_per_key, last_per_key, repeated_keys
 from weirstone.operators.ordering import ordered_parts
 from weirstone.operators.setops import membership
 from weirstone.session import materialise
@@ -191,11 +191,15 @@ def migration_matrix(cat: Catalogue) -> DataFrame:
     )
 
 
-def routed_nodes(nodes: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+def routed_nodes(
+    nodes: DataFrame, overrides: DataFrame | None = None, override_order: Sequence[str] = ()
+) -> DataFrame:
     """Nodes with target, reason, note and skip mark; a human target wins.
 
-    ``overrides`` has one row per node id: ``gcp_target``, ``review_notes``,
-    ``skip``.  A target that repeats the automatic one is no override.
+    ``overrides`` has ``gcp_target``, ``review_notes`` and ``skip`` per node id;
+    with ``override_order`` (file order) the last row of a node id counts, and
+    without it node ids must be unique.  A target that repeats the automatic
+    one is no override.
     """
     auto_target, auto_reason = route_for_build(F.col("command"), F.col("content"))
     rows = nodes.withColumns({"auto_target": auto_target, "auto_reason": auto_reason})
@@ -203,6 +207,9 @@ def routed_nodes(nodes: DataFrame, overrides: DataFrame | None = None) -> DataFr
         empty = F.lit(None).cast("string")
         rows = rows.withColumns({"_t": empty, "note": empty, "_s": empty})
     else:
+        if override_order:
+            columns = ["node_id", *override_order, "gcp_target", "review_notes", "skip"]
+            overrides = last_per_key(overrides, ["node_id"], override_order, columns)
         marks = overrides.select(
             "node_id",
             blank_to_null(F.col("gcp_target")).alias("_t"),
