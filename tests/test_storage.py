@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirstone import session
@@ -46,6 +47,8 @@ def test_quarantine(spark, tmp_path):
     assert (good.count(), bad.count()) == (2, 3)
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ"):
         delimited.scan_delimited(spark, str(tmp_path), schema).collect()
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ"):
+        delimited.scan_delimited(spark, str(tmp_path), schema).select("s").collect()
 
 
 def test_standardise(spark):
@@ -141,3 +144,13 @@ def test_shared_root(spark):
     assert session.shared_root(spark) == root
     assert session.materialise(spark.range(3), "probe").count() == 3
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
+
+
+def test_rollup_exact_and_approximate(spark):
+    from weirstone.operators.layers import daily_rollup
+
+    rows_in = spark.range(3000).select((F.col("id") % 2).alias("k"), (F.col("id") % 100).alias("u"), F.lit(2).alias("m"))
+    exact = daily_rollup(rows_in, ["k"], {"users": "u"}, {"total": F.col("m")})
+    assert rows(exact) == [(0, 50, 3000), (1, 50, 3000)]
+    near = daily_rollup(rows_in, ["k"], {"users": "u"}, {"total": F.col("m")}, approximate=True)
+    assert all(45 <= r.users <= 55 and r.total == 3000 for r in near.collect())

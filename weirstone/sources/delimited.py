@@ -23,12 +23,16 @@ MATRIX_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in MA
 def scan_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ";", header: bool = False
 ) -> DataFrame:
-    """Scan delimited text with a fixed schema; a malformed row fails the scan."""
+    """Scan delimited text with a fixed schema; a malformed row fails the scan.
+
+    All fields are parsed even if few are read, so that no malformed field is overlooked.
+    """
     return (
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", header)
         .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )
