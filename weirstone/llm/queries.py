@@ -6,12 +6,54 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import bpe
+from weirstone.llm import bpe, chat, mixing
 from weirstone.llm.common import table
 from weirstone.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
+CHAT_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')) AS n_text,
+         length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), chr(10), '&#10;')) AS n_role
+  FROM c
+)
+SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(12 + n_role + 1 + n_text + 11)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op3_chat_format", CHAT_SQL)
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    own = spark.sql(
+        "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+    )
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    chats = chat.format_chats(turns.withColumn("parts", chat.text_part(F.col("text"))))
+    read = chats.select(
+        "conv_id",
+        "formatted",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
 
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
@@ -23,3 +65,38 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+  FROM d GROUP BY source
+), l AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER f, 0))::DOUBLE
+            / (sum(w) OVER () - coalesce(sum(w) OVER f, 0))::DOUBLE AS x
+  FROM s WINDOW f AS (ORDER BY 3 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT source, source_size, least((3 * source_size)::DOUBLE, max(x) OVER () * w) AS target,
+         ('0x' || substr(md5('mix' || coalesce(':' || source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+  FROM l
+), r AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.u,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS i
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       (size * least(floor(i * rate + u) - floor((i - 1) * rate + u), 3))::BIGINT AS taken
+FROM r
+"""
+
+
+@query("op9_source_mixing", MIX_SQL)
+def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    rows = mixing.allot(table(spark, sf, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
