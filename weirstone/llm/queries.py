@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import bpe, chat, mixing
+from weirstone.llm import bpe, chat, mixing, quality_rules
 from weirstone.llm.common import table
 from weirstone.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
@@ -55,6 +55,16 @@ def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    rows = quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return rows.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        *("base_failed", "kept", "score"),
+    )
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
