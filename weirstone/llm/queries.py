@@ -6,11 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import bpe, chat, mixing, quality_rules
+from weirstone.llm import bpe, chat, cnn, mixing, quality_rules, surrogates
 from weirstone.llm.common import table
 from weirstone.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
+SURROGATE_KEY = b"key of the test tables"
+
+
+@query("op1_surrogates")
+def op1_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = surrogates.pseudonymise(docs, SURROGATE_KEY)
+    return done.select(F.col("row.doc_id").alias("doc_id"), "text", "n_entities")
+
 
 CHAT_SQL = r"""
 WITH c AS (
@@ -65,6 +74,19 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op6_byte_cnn")
+def op6_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    weights = cnn.fit(docs, table(spark, sf, "labels"), ~held_out)
+    return cnn.score(docs, weights).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
