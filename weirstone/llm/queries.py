@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import bpe, chat, cnn, mixing, quality_rules, surrogates
+from weirstone.llm import bpe, chat, cnn, jaccard, mixing, quality_rules, surrogates
 from weirstone.llm.common import table
 from weirstone.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
@@ -132,3 +132,9 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
