@@ -8,6 +8,7 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,3 +82,27 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
 def bytes_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 bytes of a text column; null is empty."""
     return [v or b"" for v in batch.column(column).cast(pa.binary()).to_pylist()]
+
+
+def with_company(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of rows sorted by a column of whole numbers, with a mask of rows whose value another row has.
+
+    Equal values are neighbours, so one row is held back from batch to batch.
+    """
+    held, before = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([*([held] if held else []), batch]).combine_chunks().to_batches()[0]
+        values = rows.column(column).to_numpy()
+        same = values[1:] == values[:-1]
+        mask = np.append(same, False)
+        mask[1:] |= same
+        mask[0] |= before is not None and values[0] == before
+        last = len(values) - 1
+        if last:
+            yield rows.slice(0, last), mask[:last]
+            before = values[last - 1]
+        held = rows.slice(last)
+    if held is not None:
+        yield held, np.array([before is not None and held.column(column)[0].as_py() == before])

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirstone.llm.common import bytes_of, ship, slices, stored
+from weirstone.llm.common import bytes_of, ship, slices, stored, with_company
 from weirstone.llm.links import components
 
 SHINGLE = 5
@@ -121,26 +121,12 @@ def sketched(docs: DataFrame, table: np.ndarray) -> DataFrame:
 def regions(classes: DataFrame) -> DataFrame:
     """Members of all regions with two members or more: ``h``, ``cid``, ``n``, ``rare_n``.
 
-    The rows come sorted by region, so a row is kept if the row before or after
-    it is of the same region; only one row is held from batch to batch.
+    The rows come sorted by region, so nothing but one row is held in memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, before = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([*([held] if held else []), batch]).combine_chunks().to_batches()[0]
-            h = rows.column("h").to_numpy()
-            same = h[1:] == h[:-1]
-            keep = np.append(same, False)
-            keep[1:] |= same
-            keep[0] |= before is not None and h[0] == before
-            yield rows.slice(0, len(h) - 1).filter(pa.array(keep[:-1]))
-            held = rows.slice(len(h) - 1)
-            before = h[-2] if len(h) > 1 else before
-        if held is not None:
-            yield held.filter(pa.array([before is not None and held.column("h")[0].as_py() == before]))
+        for batch, mask in with_company(batches, "h"):
+            yield batch.filter(pa.array(mask))
 
     rows = classes.select(F.explode("rare").alias("h"), "cid", "n")
     return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, rows.schema)

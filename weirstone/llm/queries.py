@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import bpe, chat, cnn, jaccard, mixing, quality_rules, surrogates
+from weirstone.llm import bpe, chat, cnn, jaccard, mixing, quality_rules, suffixes, surrogates
 from weirstone.llm.common import table
 from weirstone.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
@@ -99,6 +99,14 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    done = suffixes.remove_repeats(table(spark, sf, "documents"))
+    return done.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
