@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import bpe, chat, cnn, jaccard, mixing, quality_rules, suffixes, surrogates
+from weirstone.llm import bpe, chat, cnn, crosspoly, jaccard, mixing, quality_rules, suffixes, surrogates
 from weirstone.llm.common import table
 from weirstone.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
@@ -64,6 +64,14 @@ def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op4_cross_polytope")
+def op4_cross_polytope(spark: SparkSession, sf: str) -> DataFrame:
+    found = crosspoly.link(table(spark, sf, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
+    )
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     rows = quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
