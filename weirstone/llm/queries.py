@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import bpe, chat, cnn, crosspoly, jaccard, mixing, quality_rules, suffixes, surrogates
+from weirstone.llm import bpe, chat, cnn, crosspoly, jaccard, mixing, quality_rules, suffixes, surrogates, templates
 from weirstone.llm.common import table
 from weirstone.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
@@ -21,6 +21,48 @@ def op1_surrogates(spark: SparkSession, sf: str) -> DataFrame:
     return done.select(F.col("row.doc_id").alias("doc_id"), "text", "n_entities")
 
 
+TEMPLATE_SQL = r"""
+WITH l AS (
+  SELECT doc_id, md5(text) AS m, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT doc_id, m, pos, words, len(words) AS k, words[1:3] AS lead FROM (
+    SELECT doc_id, m, pos, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+           lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS words
+    FROM l) WHERE len(words) > 0
+), d AS (
+  SELECT words, k, lead, count(DISTINCT (doc_id, m)) AS n FROM w GROUP BY ALL
+), s AS (
+  SELECT words, k, lead, n, unnest(words) AS word, unnest(range(k)) AS place FROM d
+), c AS (
+  SELECT k, lead, place, word FROM s GROUP BY ALL HAVING sum(n) >= 10
+), t AS (
+  SELECT s.words, list(c.word ORDER BY s.place) AS template,
+         count(*) FILTER (c.word IS NOT NULL AND s.word <> '<*>') AS constants, count(*) FILTER (s.word <> '<*>') AS plain
+  FROM s LEFT JOIN c ON s.k = c.k AND s.lead = c.lead AND s.place = c.place AND s.word = c.word
+  GROUP BY s.words
+), p AS (
+  SELECT doc_id, m, pos, k, lead, template FROM w JOIN t USING (words) WHERE plain > 0 AND 100 * constants >= 75 * plain
+), r AS (
+  SELECT k, lead, template, min((doc_id, pos)) AS head FROM p GROUP BY ALL HAVING count(DISTINCT (doc_id, m)) >= 10
+), x AS (
+  SELECT doc_id, m, list(pos) AS gone FROM p JOIN r USING (k, lead, template) WHERE (doc_id, pos) <> head GROUP BY ALL
+)
+SELECT a.doc_id,
+       CASE WHEN gone IS NULL THEN text ELSE coalesce(array_to_string(list_filter(string_split(text, chr(10)),
+            lambda line, i: NOT list_contains(gone, i - 1)), chr(10)), '') END AS text,
+       coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped
+FROM documents a LEFT JOIN x ON a.doc_id = x.doc_id AND md5(a.text) = x.m
+"""
+
+
+@query("op2_line_templates", TEMPLATE_SQL)
+def op2_line_templates(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return templates.drop_templates(docs).select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_dropped")
+
+
 CHAT_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
