@@ -15,7 +15,8 @@ Jaccard distance is a metric, and the join divides its space by pivots, twice.
   so to each other, without any pair among them.  What is not in one component
   afterwards is divided again: two members are measured against each other only
   if they are in different components, their sizes allow a link, and the
-  triangle inequality does, ``|d(x, p) - d(y, p)| <= 0.2``.
+  triangle inequality does, ``|d(x, p) - d(y, p)| <= 0.2``,
+  and they have as many regions in common as a link of their sizes takes.
 
 Every distance is computed on the whole sets, so links are exact.  Equal sets
 are one class from the start; a large group of copies is one row.  Rare means
@@ -47,7 +48,7 @@ from weirstone.llm.links import components
 
 SHINGLE = 5
 PERCENT = 80
-COUNT_BITS = 16
+COUNT_BITS = 18
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (1 << 64) - 1 | 1 for i in range(SHINGLE + 1)], np.uint64)
 
 
@@ -118,8 +119,8 @@ def sketched(docs: DataFrame, table: np.ndarray) -> DataFrame:
     return docs.select("_id", "_text").mapInArrow(run, "_id bigint, n bigint, digest binary, rare array<bigint>")
 
 
-def regions(classes: DataFrame) -> DataFrame:
-    """Members of all regions with two members or more: ``h``, ``cid``, ``n``, ``rare_n``.
+def regions(sketches: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of all regions with two members or more: ``h``, ``cid``, ``n``, ``c`` (regions a class is in).
 
     The rows come sorted by region, so nothing but one row is held in memory.
     """
@@ -128,8 +129,11 @@ def regions(classes: DataFrame) -> DataFrame:
         for batch, mask in with_company(batches, "h"):
             yield batch.filter(pa.array(mask))
 
-    rows = classes.select(F.explode("rare").alias("h"), "cid", "n")
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, rows.schema)
+    own = sketches.join(classes.select("digest", "_id", "cid"), ["digest", "_id"])
+    rows = own.select(F.explode("rare").alias("h"), "cid")
+    kept = stored(rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, rows.schema), "regions").distinct()
+    shared = kept.groupBy("cid").agg(F.count(F.lit(1)).alias("c")).join(classes.select("cid", "n"), "cid")
+    return kept.join(shared, "cid").select("h", "cid", "n", "c")
 
 
 def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -146,16 +150,31 @@ def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield rows.filter(pa.array(keep, pa.bool_()))
 
     joined = docs.join(wanted.select("cid", "_id", "digest"), "_id").select("cid", "digest", "_text")
-    # a repeated id may bring its set twice
-    return joined.mapInArrow(run, "cid bigint, s array<bigint>").dropDuplicates(["cid"])
+    return joined.mapInArrow(run, "cid bigint, s array<bigint>")
 
 
-def _sizes_allow(a: str, b: str) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _may_link(a: str, b: str) -> Column:
+    """Whether sizes allow a link, and each is in as many shared regions as that takes."""
+    sizes = 100 * F.least(f"{a}_n", f"{b}_n") >= PERCENT * F.greatest(f"{a}_n", f"{b}_n")
+    return sizes & (F.least(f"{a}_c", f"{b}_c") >= _common(f"{a}_n", f"{b}_n"))
+
+
+def _common(a: str, b: str) -> Column:
+    """Regions that two sets of these sizes have in common at least if they link.
+
+    They share ``ceil(0.8 / 1.8 (a + b))`` shingles at least.  Of the window of
+    the larger, only as many are not shared as its size is above that, and the
+    shared ones among the rarest of one are among the rarest of the other.
+    """
+    both = F.ceil(PERCENT * (F.col(a) + F.col(b)) / (100 + PERCENT))
+    return 1 + both - F.ceil(PERCENT * F.greatest(a, b) / 100)
 
 
 def measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a``, ``b``, distance ``d`` and ``linked`` of distinct pairs (``a``, ``b``, ``a_n``, ``b_n``)."""
+    """``a``, ``b``, distance ``d`` and ``linked`` of distinct pairs (``a``, ``b``, ``a_n``, ``b_n``).
+
+    A repeated id may bring a set twice, so the rows are made distinct at the end.
+    """
     named = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
     found = stored(sets(docs, classes.join(named, "cid", "left_semi")), "sets")
     own, other = (found.select(F.col("cid").alias(c), F.col("s").alias(f"{c}_s")) for c in ("a", "b"))
@@ -166,23 +185,24 @@ def measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
         "b",
         (1 - F.col("i") / (F.col("all") - F.col("i"))).alias("d"),
         (100 * F.col("i") >= PERCENT * (F.col("all") - F.col("i"))).alias("linked"),
-    )
+    ).distinct()
 
 
 def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The pivot of each region, and the distinct pairs of members with their pivots."""
-    shared = members.groupBy("cid").agg(F.count(F.lit(1)).alias("in_regions"))
-    rank = F.struct(F.col("in_regions") / F.col("n"), F.xxhash64("cid"), "cid", "n")
-    weighed = members.join(shared, "cid")
-    pivots = weighed.groupBy("h").agg(F.max(rank).alias("p")).select("h", F.col("p.cid").alias("b"), F.col("p.n").alias("b_n"))
-    pairs = (
-        members.select("h", F.col("cid").alias("a"), F.col("n").alias("a_n"))
+    """The pivot of each region, and the distinct pairs of members with their pivots.
+
+    Pairs that have few regions with this pivot in common are left to the second step.
+    """
+    rank = F.struct(F.col("c") / F.col("n"), F.xxhash64("cid"), "cid", "n", "c")
+    best = members.groupBy("h").agg(F.max(rank).alias("p"))
+    pivots = best.select("h", F.col("p.cid").alias("b"), F.col("p.n").alias("b_n"), F.col("p.c").alias("b_c"))
+    met = (
+        members.select("h", F.col("cid").alias("a"), F.col("n").alias("a_n"), F.col("c").alias("a_c"))
         .join(pivots, "h")
-        .where((F.col("a") != F.col("b")) & _sizes_allow("a_n", "b_n"))
-        .select("a", "b", "a_n", "b_n")
-        .distinct()
+        .where((F.col("a") != F.col("b")) & _may_link("a", "b"))
     )
-    return pivots, pairs
+    pairs = met.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("k"))
+    return pivots, pairs.where(4 * F.col("k") >= _common("a_n", "b_n")).drop("k")
 
 
 def _second_pairs(members: DataFrame, pivots: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
@@ -190,27 +210,34 @@ def _second_pairs(members: DataFrame, pivots: DataFrame, known: DataFrame, roots
     placed = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
         "root", F.coalesce("root", "cid")
     )
-    mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
-    # two members are the pivot and one that was measured
-    open_ = mixed.where("lo <> hi AND size > 2").select("h")
+    mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    distances = known.select(F.col("a").alias("cid"), "b", "d").union(
+        known.select(F.col("b").alias("cid"), "b", F.lit(0.0).alias("d")).distinct()
+    )
     away = (
-        placed.join(open_, "h", "left_semi")
+        placed.join(mixed.where("lo <> hi").select("h"), "h", "left_semi")
         .join(pivots, "h")
-        .where(F.col("cid") != F.col("b"))
-        .join(known.select(F.col("a").alias("cid"), "b", "d"), ["cid", "b"], "left")
-        .withColumn("low", F.coalesce("d", 1 - F.least("n", "b_n") / F.greatest("n", "b_n")))
-        .withColumn("high", F.coalesce("d", F.lit(1.0)))
-        .select("h", "cid", "n", "root", "low", "high")
+        .join(distances, ["cid", "b"], "left")
+        .select(
+            *("h", "cid", "n", "c", "root"),
+            F.coalesce("d", 1 - F.least("n", "b_n") / F.greatest("n", "b_n")).alias("low"),
+            F.coalesce("d", F.lit(1.0)).alias("high"),
+        )
     )
-    x, y = away.alias("x"), away.alias("y")
+    own = members.groupBy("cid").agg(F.sort_array(F.collect_list("h")).alias("all"))
+    sided = away.join(own, "cid")
+    sides = ("cid", "n", "c", "root", "low", "high", "all")
+    x, y = (sided.select(F.col("h").alias(f"{s}_h"), *(F.col(c).alias(f"{s}_{c}") for c in sides)) for s in "ab")
     reach = F.lit(1 - PERCENT / 100 + 1e-9)
-    near = (F.col("x.low") - F.col("y.high") <= reach) & (F.col("y.low") - F.col("x.high") <= reach)
-    fits = near & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.root") != F.col("y.root")) & _sizes_allow("x.n", "y.n")
-    return (
-        x.join(y, (F.col("x.h") == F.col("y.h")) & fits)
-        .select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), F.col("x.n").alias("a_n"), F.col("y.n").alias("b_n"))
-        .distinct()
-    )
+    near = (F.col("a_low") - F.col("b_high") <= reach) & (F.col("b_low") - F.col("a_high") <= reach)
+    fits = near & (F.col("a_cid") < F.col("b_cid")) & (F.col("a_root") != F.col("b_root")) & _may_link("a", "b")
+    # a pair comes from the first region that both are in, and only if they have enough in common
+    common = F.array_intersect("a_all", "b_all")
+    once = (F.array_min(common) == F.col("a_h")) & (F.size(common) >= _common("a_n", "b_n"))
+    met = x.join(y, (F.col("a_h") == F.col("b_h")) & fits & once)
+    enough = met.select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b"), "a_n", "b_n")
+    done = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return enough.join(done, ["a", "b"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,17 +246,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     sketches = stored(sketched(rows, counts(rows)), "sketches")
     own = sketches.where("n > 0 AND _id IS NOT NULL")
-    grouped = own.groupBy("digest").agg(F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("rare").alias("rare"))
+    grouped = own.groupBy("digest", "n").agg(F.min("_id").alias("_id"))
     classes = stored(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = stored(regions(classes), "regions")
+    members = stored(regions(own, classes), "members")
     pivots, pairs = _first_pairs(members)
     pivots, pairs = stored(pivots, "pivots"), stored(pairs, "pairs")
     known = stored(measured(pairs, rows, classes), "distances")
     links = known.where("linked").select("a", "b")
     roots = stored(components(links), "roots")
     pairs = stored(_second_pairs(members, pivots, known, roots), "pairs")
-    later = stored(measured(pairs, rows, classes), "distances").where("linked").select("a", "b")
-    if not later.isEmpty():
+    if not pairs.isEmpty():
+        later = stored(measured(pairs, rows, classes), "distances").where("linked").select("a", "b")
         # the stars found so far stand for the links that made them
         roots = stored(components(roots.select("node", "root").where("node <> root").union(later)), "roots")
     named = classes.join(roots, classes.cid == roots.node, "left").select("digest", "_id", F.coalesce("root", "cid").alias("root"))
