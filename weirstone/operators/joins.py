@@ -15,16 +15,25 @@ from pyspark.sql import functions as F
 from weirstone.functions.names import blank_to_null
 from weirstone.operators.keyed import last_per_key
 
-# Rows that a side sent to every task may have.
-BROADCAST_ROWS = 200_000
+# Bytes that a side sent to every task may have, by the optimizer's estimate.
+BROADCAST_BYTES = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a result as the optimizer sees it; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def map_side_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
+    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Join with the small side sent to every task if it has no more than
-    ``max_rows`` rows by count; beyond that it is an ordinary shuffle join."""
-    side = F.broadcast(small) if small.count() <= max_rows else small
+    """Join with the small side sent to every task if it is estimated at ``max_bytes`` at most.
+
+    The estimate is an upper bound for scans and filters and grows with the
+    width of the rows; beyond it this is an ordinary join that Spark plans by
+    its own threshold and at run time.
+    """
+    side = F.broadcast(small) if estimated_bytes(small) <= max_bytes else small
     return big.join(side, list(on), how)
 
 
@@ -55,16 +64,17 @@ def split_skipped(df: DataFrame, overrides: DataFrame, key: str, flag: str = "sk
 
 
 def keep_selected(df: DataFrame, entries: DataFrame, entry: str, name: str, ident: str) -> DataFrame:
-    """Rows whose name or id is listed.
+    """Rows whose name or id is listed; a row that matches both ways is taken once.
 
-    Two equi joins instead of one join on ``or``; a row that matches both ways
-    is taken once.
+    The listed rows are found by their (name, id) pairs, so the table itself is
+    read for the pairs and once more for the rows.
     """
     listed = entries.where(F.coalesce(F.col(entry), F.lit("")) != "").select(F.col(entry).alias("_e")).distinct()
-    by_name = df.join(listed, F.col(name) == F.col("_e"), "left_semi")
-    rest = df.join(listed, F.col(name) == F.col("_e"), "left_anti")
-    by_id = rest.join(listed, F.col(ident) == F.col("_e"), "left_semi")
-    return by_name.unionByName(by_id)
+    ends = df.select(F.col(name).alias("_n"), F.col(ident).alias("_i")).distinct()
+    either = ends.select("_n", "_i", F.explode(F.array_distinct(F.array("_n", "_i"))).alias("_e"))
+    wanted = either.join(listed, "_e", "left_semi").select("_n", "_i").distinct()
+    same = F.col(name).eqNullSafe(F.col("_n")) & F.col(ident).eqNullSafe(F.col("_i"))
+    return df.join(wanted, same, "left_semi")
 
 
 def unmatched_entries(df: DataFrame, entries: DataFrame, entry: str, name: str, ident: str) -> DataFrame:

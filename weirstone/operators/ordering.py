@@ -52,11 +52,15 @@ def ordered_parts(
 ) -> DataFrame:
     """Give each row a part number so that no (parent, part) has more than ``size`` rows.
 
-    Parts of a parent follow its order and are contiguous; a parent of any size
-    is held by many parts instead of one row.
+    Parts are numbered from 0 within each parent, follow its order and are
+    contiguous; only a parent of more than ``size`` rows has several.  The first
+    rank of each parent, one row per parent, is joined back.
     """
     ranked = global_rank(df, [F.col(parent), *[F.col(c) for c in order]], "_rank", unique)
-    return ranked.withColumn(name, F.floor((F.col("_rank") - 1) / size).cast("bigint"))
+    first = ranked.groupBy(F.col(parent).alias("_parent")).agg(F.min("_rank").alias("_first"))
+    placed = ranked.join(first, F.col(parent).eqNullSafe(F.col("_parent")))
+    part = F.floor((F.col("_rank") - F.col("_first")) / size).cast("bigint")
+    return placed.withColumn(name, part).drop("_parent", "_first")
 
 
 def collect_children(

@@ -159,9 +159,9 @@ def class_counts(spark, sf):
 @query(
     "ordered_concat",
     """SELECT n_regionkey, part, string_agg(n_name, ',' ORDER BY n_name) AS joined
-       FROM (SELECT *, (row_number() OVER (ORDER BY n_regionkey, n_name) - 1) // 10000 AS part
+       FROM (SELECT *, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) - 1) // 3 AS part
              FROM (SELECT DISTINCT n_regionkey, n_name FROM nation))
        GROUP BY n_regionkey, part""",
 )
 def ordered_concat(spark, sf):
-    return ordering.ordered_concat(table(spark, sf, "nation"), "n_regionkey", "n_name", 10_000)
+    return ordering.ordered_concat(table(spark, sf, "nation"), "n_regionkey", "n_name", 3)

@@ -124,10 +124,10 @@ def fn_split_part(spark, sf):
 @query(
     "fn_explode",
     """SELECT vec_id, CAST(i - 1 AS BIGINT) AS pos, CAST(ROUND(CAST(embedding[i] AS DOUBLE) * 1000000) AS BIGINT) AS value
-       FROM embeddings, range(1, 5) r(i) WHERE i <= len(embedding)""",
+       FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""",
 )
 def fn_explode(spark, sf):
-    rows = table(spark, sf, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 4)).alias("pos", "x"))
+    rows = table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "x"))
     value = F.round(F.col("x").cast("double") * 1000000).cast("bigint")
     return rows.select("vec_id", F.col("pos").cast("bigint").alias("pos"), value.alias("value"))
 

@@ -6,14 +6,17 @@ taken, so a restart goes on where the last run ended and writes nothing twice.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from weirstone.operators.keyed import first_per_key, insert_ignore
 
+# Seconds to wait for the events of a run that has ended.
+EVENT_WAIT = 60
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -25,22 +28,45 @@ def landed(spark: SparkSession, path: str, schema: T.StructType, files_per_batch
     return reader.parquet(path)
 
 
-def _finish(query: StreamingQuery) -> int:
-    """Wait for a run to end; the number of input rows it took."""
-    query.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in query.recentProgress)
+class _Rows(StreamingQueryListener):
+    """Adds up the input rows of every batch of one run; the progress a query keeps is cut to its last batches."""
+
+    def __init__(self) -> None:
+        self.by_run: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.by_run.setdefault(str(event.runId), 0)
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        run = str(event.progress.runId)
+        self.by_run[run] = self.by_run.get(run, 0) + int(event.progress.numInputRows)
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended.add(str(event.runId))
+
+
+def _run(writer: DataStreamWriter, spark: SparkSession) -> int:
+    """Start a run and wait for its end; the number of input rows it took."""
+    rows = _Rows()
+    spark.streams.addListener(rows)
+    try:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        run, waited = str(query.runId), time.monotonic()
+        while run not in rows.ended:  # events come in order, the end last
+            if time.monotonic() - waited > EVENT_WAIT:
+                raise RuntimeError("the end of the run was not reported")
+            time.sleep(0.02)
+        return rows.by_run.get(run, 0)
+    finally:
+        spark.streams.removeListener(rows)
 
 
 def run_append(stream: DataFrame, path: str, checkpoint: str) -> int:
     """Append what is new to a table and stop; each input file is taken once."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    return _finish(query)
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return _run(writer, stream.sparkSession)
 
 
 def run_insert_ignore(
@@ -65,13 +91,7 @@ def run_insert_ignore(
             fresh = first_per_key(batch, keys, order)
         fresh.write.mode("append").parquet(path)
 
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    return _finish(query)
+    return _run(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), stream.sparkSession)
 
 
 def run_dedupe(
