@@ -7,13 +7,13 @@ identified by the group columns and its node column.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weirstone.operators.ordering import global_rank
-from weirstone.session import fresh_path, materialise
+from weirstone.session import materialise
 
 
 def edges_from_refs(nodes: DataFrame, group: Sequence[str], node: str, refs: Column) -> DataFrame:
@@ -46,97 +46,102 @@ def degrees(nodes: DataFrame, edges: DataFrame, group: Sequence[str]) -> DataFra
     return total.where("known").drop("known")
 
 
-def topological_levels(
-    nodes: DataFrame, edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 10_000
-) -> DataFrame:
+def topological_levels(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Level of every node: 0 without upstream, else one more than its highest upstream.
 
-    The level is null for a node on a cycle or downstream of one.  Forests
-    (one upstream at most) are solved by pointer doubling in a logarithmic
-    number of rounds, other graphs level by level.
+    The level is null for a node on a cycle or downstream of one.  Runs of
+    nodes with one upstream are contracted by pointer doubling, in a number of
+    rounds that grows with the logarithm of the longest run; what is left are
+    the nodes with several upstreams, which are peeled off layer by layer.  One
+    group's shape does not change how another is solved.
     """
     ids = nodes.select(*group, "node").distinct()
     known = materialise(prune_edges(ids, edges, group), "edges")
-    return _levels(ids, known, list(group), max_rounds)
-
-
-def _levels(ids: DataFrame, known: DataFrame, group: list[str], max_rounds: int) -> DataFrame:
-    widest = known.groupBy(*group, "node").count().agg(F.max("count")).first()[0]
-    if widest is None or widest <= 1:
-        return _forest_levels(ids, known, group)
-    return _peel_levels(ids, known, group, max_rounds)
-
-
-def _forest_levels(ids: DataFrame, edges: DataFrame, group: list[str]) -> DataFrame:
-    # pointer: an ancestor `dist` steps up; null once the root is passed
-    state, n_open = _store_forest(
-        ids.join(edges, [*group, "node"], "left").select(
-            *group,
-            "node",
-            F.col("upstream").alias("pointer"),
-            F.when(F.col("upstream").isNull(), 0).otherwise(1).cast("bigint").alias("dist"),
-        ),
-        group,
+    return _levels(ids, known, list(group))
+
+
+def _levels(ids: DataFrame, known: DataFrame, group: list[str]) -> DataFrame:
+    key = [*group, "node"]
+    shape = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("upstream").alias("_up"))
+    anchored = _anchors(ids.join(shape, key, "left"), group)
+    many = shape.where("_n > 1").select(*key)
+    ends = anchored.select(*group, F.col("node").alias("upstream"), "anchor", "dist", "lost")
+    # an edge of a node with several upstreams reaches the anchor of each
+    links = known.join(many, key, "left_semi").join(ends, [*group, "upstream"]).select(
+        *key, F.col("anchor").alias("upstream"), (F.col("dist") + 1).alias("weight"), "lost"
+    )
+    solved = _peel(anchored.where("node = anchor").join(many, key, "left_anti").select(*key), links, group)
+    tops = solved.select(*group, F.col("node").alias("anchor"), F.col("level").alias("_top"))
+    placed = anchored.join(tops, [*group, "anchor"], "left")
+    level = F.when(~F.col("lost"), F.col("_top") + F.col("dist"))
+    return placed.select(*key, level.alias("level"))
+
+
+def _anchors(shaped: DataFrame, group: list[str]) -> DataFrame:
+    """For each node the nearest node at or above it that has not exactly one upstream.
+
+    ``dist`` steps lie between; a node whose run ends in a cycle has no such
+    node and is ``lost``.  Settled nodes are written once; only open ones are
+    carried from round to round, and they look up in what is settled and open.
+    """
+    single = F.coalesce(F.col("_n") == 1, F.lit(False))
+    start = shaped.select(
+        *group,
+        "node",
+        F.when(single, F.col("_up")).otherwise(F.col("node")).alias("anchor"),
+        F.when(single, 1).otherwise(0).cast("bigint").alias("dist"),
+        single.alias("open"),
     )
-    # An open node at depth d has d - steps open ancestors of depth >= steps in
-    # its group, so no acyclic depth exceeds steps + n_open - 1.
-    steps, bound = 1, n_open
-    while n_open > 0 and steps <= bound:
-        there = state.select(
-            *group, F.col("node").alias("pointer"), F.col("pointer").alias("_p"), F.col("dist").alias("_d")
+    state = materialise(start, "anchors")
+    done, open_ = [state.where("NOT open")], state.where("open")
+    steps, bound = 1, _widest(open_, group)
+    while bound and steps <= bound:
+        there = reduce(DataFrame.unionByName, [*done, open_]).select(
+            *group, F.col("node").alias("anchor"), F.col("anchor").alias("_a"), F.col("dist").alias("_d"), F.col("open").alias("_o")
         )
-        moved = (
-            state.where(F.col("pointer").isNotNull())
-            .join(there, [*group, "pointer"], "inner")
-            .select(*group, "node", F.col("_p").alias("pointer"), (F.col("dist") + F.col("_d")).alias("dist"))
+        moved = open_.join(there, [*group, "anchor"]).select(
+            *group, "node", F.col("_a").alias("anchor"), (F.col("dist") + F.col("_d")).alias("dist"), F.col("_o").alias("open")
         )
-        state, n_open = _store_forest(state.where(F.col("pointer").isNull()).unionByName(moved), group)
+        state = materialise(moved, "anchors")
+        done.append(state.where("NOT open"))
+        open_ = state.where("open")
         steps *= 2
-        bound = min(bound, steps + n_open - 1)
-    level = F.when(F.col("pointer").isNull(), F.col("dist"))
-    return state.select(*group, "node", level.alias("level"))
+        # an open node outside cycles has fewer steps to go than its group has open nodes
+        left = _widest(open_, group)
+        bound = min(bound, steps + left - 1) if left else 0
+    every = reduce(DataFrame.unionByName, done).withColumn("lost", F.lit(False))
+    lost = open_.withColumn("lost", F.lit(True))
+    return every.unionByName(lost).drop("open")
 
 
-def _store_forest(state: DataFrame, group: list[str]) -> tuple[DataFrame, int]:
-    """The written state, and the number of open nodes in the group that has most."""
-    stored = materialise(state, "forest")
-    widest = stored.where(F.col("pointer").isNotNull()).groupBy(*group).count().agg(F.max("count")).first()[0]
-    return stored, int(widest or 0)
+def _widest(rows: DataFrame, group: list[str]) -> int:
+    """Rows of the group that has most."""
+    return int(rows.groupBy(*group).count().agg(F.max("count")).first()[0] or 0)
 
 
-def _peel_levels(ids: DataFrame, edges: DataFrame, group: list[str], max_rounds: int) -> DataFrame:
-    # Each round writes the edges that are left and marks those whose upstream
-    # became free.  A node is free once all its edges are marked, so its level
-    # is one more than the last round it still had an edge in.
-    spark = ids.sparkSession
-    base = fresh_path(spark, "levels")
+def _peel(roots: DataFrame, links: DataFrame, group: list[str]) -> DataFrame:
+    """Levels of roots and of the nodes of weighted links that hang on no cycle.
+
+    A round marks the links whose upper end was solved in the round before and
+    writes the links of nodes that are not solved yet; solved nodes are written
+    once and not carried on.
+    """
     key = [*group, "node"]
-    schema = T.StructType([*edges.schema.fields, T.StructField("_done", T.BooleanType())])
-    free = ids.join(edges.select(*key).distinct(), key, "left_anti")
-    rest, n_rest, last = edges, None, 0
+    level = F.lit(0).cast("bigint").alias("level")
+    solved = [roots.select(*key, level)]
+    rest = materialise(links.withColumn("value", F.lit(None).cast("bigint")), "links")
+    fresh = solved[0]
     while True:
-        if last >= max_rounds:
-            raise RuntimeError(f"the graph is deeper than {max_rounds} levels")
-        seen = Observation()
-        done = free.withColumnRenamed("node", "upstream").withColumn("_done", F.lit(True))
-        marked = rest.join(done, [*group, "upstream"], "left").select(
-            *edges.columns, F.coalesce(F.col("_done"), F.lit(False)).alias("_done")
-        )
-        path = f"{base}/round={last}"
-        marked.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("_done")).alias("n_done")).write.parquet(path)
-        n_rest, n_done = int(seen.get["n"]), int(seen.get["n_done"])
-        if n_done == 0 or n_done == n_rest:
-            break
-        stored = spark.read.schema(schema).parquet(path)
-        free = stored.groupBy(*key).agg(F.bool_and("_done").alias("_free")).where("_free").select(*key)
-        rest = stored.where(~F.col("_done")).drop("_done")
-        last += 1
-    # Without progress the nodes of the last round are stuck.
-    stuck_from = last if n_done == 0 and n_rest > 0 else last + 1
-    rounds = spark.read.schema(T.StructType([*schema.fields, T.StructField("round", T.LongType())])).parquet(base)
-    reached = rounds.groupBy(*key).agg(F.max("round").alias("_last"))
-    level = F.when(F.col("_last").isNull(), F.lit(0)).when(F.col("_last") < stuck_from, F.col("_last") + 1)
-    return ids.join(reached, key, "left").select(*key, level.cast("bigint").alias("level"))
+        upper = fresh.select(*group, F.col("node").alias("upstream"), F.col("level").alias("_l"))
+        joined = rest.join(upper, [*group, "upstream"], "left")
+        marked = joined.withColumn("value", F.coalesce("value", F.when(~F.col("lost"), F.col("_l") + F.col("weight")))).drop("_l")
+        marked = materialise(marked, "links")
+        total = marked.groupBy(*key).agg(F.bool_and(F.col("value").isNotNull()).alias("_free"), F.max("value").alias("level"))
+        fresh = materialise(total.where("_free").select(*key, "level"), "solved")
+        if fresh.isEmpty():
+            return reduce(DataFrame.unionByName, solved)
+        solved.append(fresh)
+        rest = marked.join(fresh.select(*key), key, "left_anti")
 
 
 def topological_order(
@@ -154,7 +159,7 @@ def topological_order(
     return global_rank(rows, order, "order_pos", unique=True)
 
 
-def cyclic_nodes(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 10_000) -> DataFrame:
+def cyclic_nodes(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Nodes that never become free, with ``on_cycle``.
 
     The others of them lie only downstream of a cycle: peeling again against
@@ -164,14 +169,14 @@ def cyclic_nodes(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = (),
     key = [*group, "node"]
     ids = nodes.select(*key).distinct()
     known = materialise(prune_edges(ids, edges, group), "edges")
-    levels = _levels(ids, known, group, max_rounds)
+    levels = _levels(ids, known, group)
     stuck = materialise(levels.where(F.col("level").isNull()).select(*key), "stuck")
     if stuck.isEmpty():
         return stuck.withColumn("on_cycle", F.lit(True))
     back = prune_edges(stuck, known, group).select(
         *group, F.col("upstream").alias("node"), F.col("node").alias("upstream")
     )
-    tail = _levels(stuck, materialise(back, "edges"), group, max_rounds)
+    tail = _levels(stuck, materialise(back, "edges"), group)
     return tail.select(*key, F.col("level").isNull().alias("on_cycle"))
 
 

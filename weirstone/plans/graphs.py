@@ -43,6 +43,26 @@ def topo_levels_dag(spark, sf):
     return graph.topological_levels(nodes, edges.unionByName(more))
 
 
+@query(
+    "topo_levels_mixed",
+    """SELECT 'chain' AS part, p_partkey AS node, p_partkey - MIN(p_partkey) OVER () AS level FROM part
+       UNION ALL SELECT 'diamond', n, l FROM (VALUES (1, 0), (2, 1), (3, 1), (4, 2)) v(n, l)
+       UNION ALL SELECT 'loop', n, NULL FROM (VALUES (1), (2), (3)) v(n)""",
+)
+def topo_levels_mixed(spark, sf):
+    # One chain through all keys beside a diamond and a cycle with a node below: the chain is solved by doubling.
+    part = table(spark, sf, "part").select(F.lit("chain").alias("part"), F.col("p_partkey").alias("node"))
+    least = part.agg(F.min("node").alias("least"))
+    chain = part.join(F.broadcast(least)).where("node > least").select("part", "node", (F.col("node") - 1).alias("upstream"))
+    small = spark.sql(
+        """SELECT part, CAST(node AS BIGINT) AS node, CAST(upstream AS BIGINT) AS upstream FROM VALUES
+           ('diamond', 2, 1), ('diamond', 3, 1), ('diamond', 4, 2), ('diamond', 4, 3),
+           ('loop', 1, 2), ('loop', 2, 1), ('loop', 3, 2) AS t(part, node, upstream)"""
+    )
+    ends = small.select("part", F.explode(F.array("node", "upstream")).alias("node")).distinct()
+    return graph.topological_levels(part.unionByName(ends), chain.unionByName(small), ["part"])
+
+
 @query(
     "topo_order",
     """WITH RECURSIVE r AS (SELECT p_partkey AS node, 0::BIGINT AS level FROM part WHERE p_partkey = 0
