@@ -27,24 +27,41 @@ def scaled(col: Column, digits: int = 2) -> Column:
     return F.when(F.abs(y) < _BIGINT_EDGE, whole)
 
 
-def scaled_field(field: T.StructField, digits: int = 2) -> Column:
-    """``scaled`` for fractional columns, the plain value for integer columns."""
-    col = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.DecimalType):
-        return F.round(col * F.lit(Decimal(10**digits))).try_cast("bigint")
-    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-        return scaled(col, digits)
-    return col.cast("bigint")
+# Beyond this a scaled number is counted but not summed.
+_DECIMAL_EDGE = 1e28
 
 
-def canonical_text(field: T.StructField, digits: int = 2) -> Column:
+def summands(field: T.StructField, digits: int) -> tuple[Column, Column | None, Column | None]:
+    """What sums of a numeric column are made of.
+
+    The number as a whole count of its ``digits``-th decimal place if that fits
+    a bigint, the same as decimal(28,0) for larger ones, and whether it can be
+    neither (NaN, infinities, 1e28 and more).  Integer columns have only the first.
+    """
+    col, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.DecimalType):
+        whole = F.round(col * F.lit(Decimal(10**digits)))
+        small = whole.try_cast("bigint")
+        large = F.when(small.isNull(), whole.try_cast("decimal(28,0)"))
+        return small, large, col.isNotNull() & small.isNull() & large.isNull()
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        y = col.cast("double") * float(10**digits)
+        inside = F.abs(y) < _DECIMAL_EDGE
+        large = F.when(inside & (F.abs(y) >= _BIGINT_EDGE), y.try_cast("decimal(28,0)"))
+        return scaled(col, digits), large, col.isNotNull() & ~inside
+    return col.cast("bigint"), None, None
+
+
+def canonical_text(field: T.StructField, digits: int | None = None) -> Column:
     """Text of a column that is the same wherever the same value is stored.
 
+    Fractions are exact, or whole counts of their ``digits``-th decimal place.
     Times are counts of microseconds or days, so the session zone plays no part.
     """
     col, kind = F.col(f"`{field.name}`"), field.dataType
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        text = F.coalesce(scaled(col, digits).cast("string"), col.cast("double").cast("string"))
+        exact = F.when(col == 0, F.lit(0.0)).otherwise(col.cast("double")).cast("string")
+        text = exact if digits is None else F.coalesce(scaled(col, digits).cast("string"), exact)
     elif isinstance(kind, T.TimestampNTZType):
         start = F.lit("1970-01-01").cast("timestamp_ntz")
         text = F.timestamp_diff("MICROSECOND", start, col).cast("string")
@@ -72,7 +89,7 @@ def _escape(col: Column) -> Column:
     return F.replace(col, F.lit("~"), F.lit("\\t"))
 
 
-def row_hash(fields: Sequence[T.StructField], digits: int = 2) -> Column:
+def row_hash(fields: Sequence[T.StructField], digits: int | None = None) -> Column:
     """60-bit hash of a row: the first 15 hex digits of the MD5 of its text."""
     text = F.concat_ws("|", *[canonical_text(f, digits) for f in fields])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")

@@ -9,35 +9,62 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirstone.functions.canonical import checksum, row_hash, scaled_field, wide_sum
+from weirstone.functions.canonical import checksum, row_hash, summands, wide_sum
 
 
 def numeric_fields(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def table_checksum(df: DataFrame, digits: int = 2) -> DataFrame:
-    """Row count and checksum, independent of row order."""
+def table_checksum(df: DataFrame, digits: int | None = None) -> DataFrame:
+    """Row count and checksum, independent of row order; fractions exact unless ``digits`` says otherwise."""
     hashed = df.select(row_hash(df.schema.fields, digits).alias("h"))
     return hashed.agg(F.count(F.lit(1)).alias("row_count"), checksum(F.col("h")).alias("checksum"))
 
 
-def numeric_profile(df: DataFrame, digits: int = 2) -> DataFrame:
+def numeric_profile(df: DataFrame, sum_digits: int = 2) -> DataFrame:
     """Sum, minimum and maximum of every numeric column, in one scan.
 
-    Values are whole counts of the ``digits``-th decimal place (fractions) or
-    plain (integers), so sums do not depend on the order of addition.
+    Sums of fractions are whole counts of the ``sum_digits``-th decimal place,
+    so they do not depend on the order of addition; minimum and maximum are of
+    the values as they are, NaN above all.  ``n_not_summed`` counts what a sum
+    cannot hold: NaN, infinities and numbers of 1e28 counts or more.
     """
     fields = numeric_fields(df)
-    values = df.select(*[scaled_field(f, digits).alias(f.name) for f in fields])
-    return _profile_rows(values.agg(*_profile_aggs(fields)), fields)
+    values = df.select(*_profile_columns(fields, sum_digits))
+    row = values.agg(*_profile_aggs(fields))
+    return row.select(F.explode(F.array(*_profile_structs(fields))).alias("r")).select("r.*")
+
+
+def _profile_columns(fields: Sequence[T.StructField], digits: int) -> list[Column]:
+    columns = []
+    for i, f in enumerate(fields):
+        small, large, lost = summands(f, digits)
+        columns += [F.col(f"`{f.name}`").alias(f"v{i}"), small.alias(f"w{i}")]
+        if large is not None:
+            columns += [large.alias(f"x{i}"), lost.alias(f"y{i}")]
+    return columns
+
+
+def _fractional(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.FractionalType)
 
 
 def _profile_aggs(fields: Sequence[T.StructField]) -> list[Column]:
     aggs = []
     for i, f in enumerate(fields):
-        col = F.col(f"`{f.name}`")
-        aggs += [wide_sum(col).alias(f"s{i}"), F.min(col).alias(f"lo{i}"), F.max(col).alias(f"hi{i}")]
+        total = wide_sum(F.col(f"w{i}"))
+        lost = F.lit(0).cast("bigint")
+        if _fractional(f):
+            large = F.sum(f"x{i}")
+            total = F.when(large.isNull(), total).otherwise(F.coalesce(total, F.lit(0)) + large)
+            lost = F.count_if(f"y{i}")
+        aggs += [
+            total.cast("decimal(38,0)").cast("string").alias(f"s{i}"),
+            F.min(f"v{i}").cast("string").alias(f"lo{i}"),
+            F.max(f"v{i}").cast("string").alias(f"hi{i}"),
+            lost.alias(f"n{i}"),
+        ]
     return aggs
 
 
@@ -45,35 +72,31 @@ def _profile_structs(fields: Sequence[T.StructField]) -> list[Column]:
     return [
         F.struct(
             F.lit(f.name).alias("column_name"),
-            F.col(f"s{i}").cast("decimal(38,0)").cast("string").alias("sum_value"),
+            F.col(f"s{i}").alias("sum_value"),
             F.col(f"lo{i}").alias("min_value"),
             F.col(f"hi{i}").alias("max_value"),
+            F.col(f"n{i}").alias("n_not_summed"),
         )
         for i, f in enumerate(fields)
     ]
 
 
-def _profile_rows(one_row: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
-    return one_row.select(F.explode(F.array(*_profile_structs(fields))).alias("r")).select("r.*")
-
-
-def check_table(df: DataFrame, name: str, digits: int = 2) -> DataFrame:
+def check_table(df: DataFrame, name: str, digits: int | None = None, sum_digits: int = 2) -> DataFrame:
     """Count, checksum and numeric profile of a table in a single scan.
 
-    One row; ``aggregates`` maps ``sum_x``, ``min_x`` and ``max_x`` to text.
+    One row; ``aggregates`` maps ``sum_x``, ``min_x`` and ``max_x`` to text, and
+    ``not_summed_x`` for fractions.
     """
     fields = numeric_fields(df)
-    values = df.select(
-        row_hash(df.schema.fields, digits).alias("__h"), *[scaled_field(f, digits).alias(f.name) for f in fields]
-    )
+    values = df.select(row_hash(df.schema.fields, digits).alias("__h"), *_profile_columns(fields, sum_digits))
     row = values.agg(
         F.count(F.lit(1)).alias("row_count"), checksum(F.col("__h")).alias("checksum"), *_profile_aggs(fields)
     )
     pairs = []
     for i, f in enumerate(fields):
-        for label, col in (("sum", f"s{i}"), ("min", f"lo{i}"), ("max", f"hi{i}")):
-            value = F.col(col).cast("decimal(38,0)").cast("string")
-            pairs.append(F.struct(F.lit(f"{label}_{f.name}").alias("key"), value.alias("value")))
+        labels = [("sum", f"s{i}"), ("min", f"lo{i}"), ("max", f"hi{i}")]
+        for label, col in labels + ([("not_summed", f"n{i}")] if _fractional(f) else []):
+            pairs.append(F.struct(F.lit(f"{label}_{f.name}").alias("key"), F.col(col).cast("string").alias("value")))
     entry_list = F.array(*pairs) if pairs else F.array().cast("array<struct<key:string,value:string>>")
     return row.select(
         F.lit(name).alias("table_name"),
@@ -84,7 +107,7 @@ def check_table(df: DataFrame, name: str, digits: int = 2) -> DataFrame:
     )
 
 
-def check_tables(tables: Mapping[str, DataFrame], digits: int = 2) -> DataFrame:
+def check_tables(tables: Mapping[str, DataFrame], digits: int | None = None) -> DataFrame:
     """One check row per table, all in one job."""
     return reduce(DataFrame.unionByName, [check_table(df, n, digits) for n, df in sorted(tables.items())])
 
@@ -163,16 +186,40 @@ def in_sample(key: Column, hex_bound: str) -> Column:
 def value_parity(
     source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], hex_bound: str | None = None
 ) -> DataFrame:
-    """Per column: keys compared and values that differ, on all keys or a fixed sample."""
+    """Per column: keys compared and values that differ, on all keys or a fixed sample.
+
+    Both sides meet in one aggregation, so keys of one side only and repeated
+    keys are counted too; a key counts as compared if each side has it once.
+    """
     if hex_bound is not None:
         source = source.where(in_sample(F.col(key), hex_bound))
         target = target.where(in_sample(F.col(key), hex_bound))
-    s = source.select(key, *[F.col(c).alias(f"s_{c}") for c in columns])
-    t = target.select(key, *[F.col(c).alias(f"t_{c}") for c in columns])
-    diffs = [F.count_if(~F.col(f"s_{c}").eqNullSafe(F.col(f"t_{c}"))).alias(f"d_{c}") for c in columns]
-    row = s.join(t, key).agg(F.count(F.lit(1)).alias("compared"), *diffs)
-    items = [F.struct(F.lit(c).alias("column_name"), F.col(f"d_{c}").alias("mismatches")) for c in columns]
-    return row.select("compared", F.explode(F.array(*items)).alias("r")).select("r.*", "compared")
+
+    def side(df: DataFrame, own: str, other: str) -> DataFrame:
+        row = F.struct(*[F.col(c) for c in columns])
+        kind = df.select(row.alias("r")).schema["r"].dataType
+        none = F.lit(None).cast(kind)
+        one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+        values = {own: row, other: none, f"n{own}": one, f"n{other}": zero}
+        return df.select(F.col(key), *[values[c].alias(c) for c in ("s", "t", "ns", "nt")])
+
+    rows = side(source, "s", "t").unionByName(side(target, "t", "s")).groupBy(key).agg(
+        F.min("s").alias("s"), F.min("t").alias("t"), F.sum("ns").alias("ns"), F.sum("nt").alias("nt")
+    )
+    both = (F.col("ns") == 1) & (F.col("nt") == 1)
+    diffs = [
+        F.count_if(both & ~F.col(f"s.`{c}`").eqNullSafe(F.col(f"t.`{c}`"))).alias(f"d{i}") for i, c in enumerate(columns)
+    ]
+    row = rows.agg(
+        F.count_if(both).alias("compared"),
+        F.count_if(F.col("nt") == 0).alias("source_only"),
+        F.count_if(F.col("ns") == 0).alias("target_only"),
+        F.count_if((F.col("ns") > 1) | (F.col("nt") > 1)).alias("duplicate_keys"),
+        *diffs,
+    )
+    items = [F.struct(F.lit(c).alias("column_name"), F.col(f"d{i}").alias("mismatches")) for i, c in enumerate(columns)]
+    kept = ("compared", "source_only", "target_only", "duplicate_keys")
+    return row.select(*kept, F.explode(F.array(*items)).alias("r")).select("r.*", *kept)
 
 
 def control_total(mart: DataFrame, measure: str, rows: DataFrame) -> DataFrame:
@@ -206,7 +253,17 @@ def check_summary(checks: DataFrame) -> DataFrame:
     return checks.select(
         "table_name",
         "row_count",
-        F.concat(F.substring("checksum", 1, 12), F.lit("...")).alias("checksum_head"),
+        "checksum",
         F.size("aggregates").cast("bigint").alias("n_aggregates"),
         F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("status"),
     )
+
+
+def check_verdict(checks: DataFrame) -> DataFrame:
+    """One row over all checks: how many, how many failed, and whether all passed."""
+    failed = F.count_if(~F.coalesce("ok", F.lit(False)))
+    return checks.agg(
+        F.count(F.lit(1)).alias("n_checks"),
+        failed.alias("n_failed"),
+        F.when((failed == 0) & (F.count(F.lit(1)) > 0), "PASS").otherwise("FAIL").alias("status"),
+    )
