@@ -42,43 +42,48 @@ def document(*workflows):
     return {"kind": "CycleWorkflow", "spec": {"name": workflows[0]["name"], "id": workflows[0]["id"], "workflows": list(workflows)}}
 
 
-def houses():
-    """Three nodes: start, table definition, load."""
+def weather():
+    """Five nodes listed against their flow: two writers of one table, two outputs of one node, one node without id.
+
+    Flow: fetch, then clean and early, then late; audit stands alone.  Two of
+    them write ``rain``: ``early`` runs first, but ``late`` is listed first.
+    """
     return workflow(
-        "houses",
+        "weather",
         [
-            node("begin", "VIRTUAL"),
-            node("define", "ODPS_SQL", "CREATE TABLE IF NOT EXISTS buyers (level STRING COMMENT 'school', n BIGINT);",
-                 writes=["w.houses.buyers"], after=["begin"]),
-            node("load", "ODPS_SQL", "INSERT OVERWRITE TABLE buyers\nSELECT level, COUNT(status) AS n FROM clients\nWHERE owner = 'yes' GROUP BY level;",
-                 reads=["w.houses.clients"], writes=["w.houses.buyers"], after=["define"]),
+            node("late", "ODPS_SQL", "SET limit = 5\nINSERT INTO TABLE rain SELECT /*+ MAPJOIN(s) */ s.place, s.mm FROM cleaned s;",
+                 reads=["m.w.cleaned"], writes=["m.w.rain"], after=["clean", "early"]),
+            node("early", "ODPS_SQL", "with wet as (select 1) INSERT OVERWRITE TABLE rain SELECT place, mm FROM gauges LATERAL VIEW explode(mms) t AS mm;",
+                 reads=["m.w.gauges"], writes=["m.w.rain"], after=["fetch"]),
+            node("clean", "ODPS_SQL", "# DATEADD( is not called here\nINSERT OVERWRITE TABLE cleaned SELECT place, mm FROM raw WHERE mm >= 0;",
+                 reads=["m.w.raw"], writes=["m.w.cleaned", "m.w.cleaned_copy"], after=["fetch"]),
+            node("fetch", "DIDE_SHELL", "curl http://stations"),
+            node("", "PYODPS", "print('no id')"),
+            node("audit", "PYODPS", "print('seen')"),
         ],
+        cron="00 15 04 * * ?",
+        variables=(("bizdate", "System", "${bizdate}"), ("station", "Custom", "north")),
     )
 
 
-def shop():
-    """Ten nodes in layers with a quality gate and a branch."""
+def library():
+    """Seven nodes: a circle of two, a node below it, and a diamond beside them."""
     day = "PARTITION (pt='${bizdate}')"
     return workflow(
-        "shop",
+        "library",
         [
-            node("s0", "VIRTUAL"),
-            node("s1", "ODPS_SQL", f"INSERT OVERWRITE TABLE orders_in {day}\nSELECT id, buyer, total FROM landed_orders WHERE area = '${{area}}';",
-                 ["w.shop.landed_orders"], ["w.shop.orders_in"], ["s0"]),
-            node("s2", "ODPS_SQL", f"INSERT OVERWRITE TABLE buyers_in {day}\nSELECT id, country FROM landed_buyers WHERE live = 1;",
-                 ["w.shop.landed_buyers"], ["w.shop.buyers_in"], ["s0"]),
-            node("s3", "ODPS_SQL", f"INSERT OVERWRITE TABLE order_facts {day}\nSELECT o.id, b.country, o.total FROM orders_in o JOIN buyers_in b ON o.buyer = b.id;",
-                 ["w.shop.orders_in", "w.shop.buyers_in"], ["w.shop.order_facts"], ["s1", "s2"]),
-            node("s4", "PYODPS", "n = table.count()\nif n < int(${least}): raise SystemExit(1)", ["w.shop.order_facts"], [], ["s3"]),
-            node("s5", "VIRTUAL", after=["s4"]),
-            node("s6", "ODPS_SQL", f"INSERT OVERWRITE TABLE daily {day}\nSELECT country, SUM(total) AS total FROM order_facts GROUP BY country;",
-                 ["w.shop.order_facts"], ["w.shop.daily"], ["s5"]),
-            node("s7", "DIDE_SHELL", "echo failed", after=["s5"]),
-            node("s8", "PYODPS", "print('done')", ["w.shop.log"], [], ["s6"]),
-            node("s9", "VIRTUAL", after=["s8"]),
+            node("top", "VIRTUAL"),
+            node("left", "ODPS_SQL", f"INSERT OVERWRITE TABLE loans {day} SELECT reader, book FROM desk_log WHERE branch = '${{branch}}';",
+                 ["l.desk_log"], ["l.loans"], ["top"]),
+            node("right", "ODPS_SQL", f"INSERT OVERWRITE TABLE returns {day} SELECT book, NVL(days, 0) FROM box_log;",
+                 ["l.box_log"], ["l.returns"], ["top"]),
+            node("bottom", "ODPS_SQL", f"INSERT OVERWRITE TABLE shelf {day} SELECT l.book FROM loans l JOIN returns r ON l.book = r.book;",
+                 ["l.loans", "l.returns"], ["l.shelf"], ["left", "right"]),
+            node("ring_a", "PYODPS", "frame.groupby('k')", after=["ring_b"]),
+            node("ring_b", "PYODPS", "print(1)", after=["ring_a"]),
+            node("below", "VIRTUAL", after=["ring_b"]),
         ],
-        cron="00 03 00 * * ?",
-        variables=(("bizdate", "System", "${bizdate}"), ("area", "Custom", "north"), ("least", "Custom", "100")),
+        variables=(("bizdate", "System", "${bizdate}"), ("branch", "Custom", "east")),
     )
 
 

@@ -2,9 +2,10 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from fixture_documents import document, flow_of, frame, houses, node, shop, workflow
+from fixture_documents import document, flow_of, frame, library, node, weather, workflow
 from weirstone.operators import catalogue, graph, joins
 from weirstone.sources.documents import normalise, parse_documents, prefer_then_fallback, scan_documents
 
@@ -17,27 +18,44 @@ def built(spark, *workflows):
     return catalogue.build_catalogue(frame(spark, [document(*workflows)]))
 
 
-def test_houses(spark):
-    cat = built(spark, houses())
-    routed = catalogue.routed_nodes(cat.nodes)
-    assert cat.nodes.count() == 3
-    assert [r.table_name for r in catalogue.deployable_models(routed).collect()] == ["buyers"]
-    assert rows(catalogue.declarations(routed)) == [("houses", "clients")]
-    assert catalogue.review_items(cat).count() == 0
-    assert {r.schedule for r in catalogue.migration_matrix(cat).collect()} == {"02 00 * * *"}
-
-
-def test_shop(spark):
-    cat = built(spark, shop())
-    routed = catalogue.routed_nodes(cat.nodes)
-    assert cat.nodes.count() == 10
-    assert catalogue.deployable_models(routed).count() == 4
-    assert rows(catalogue.declarations(routed).select("table_name")) == [("landed_buyers",), ("landed_orders",)]
-    items = catalogue.review_items(cat)
-    kinds = {r.kind: r.n for r in items.groupBy("kind").agg(F.count("*").alias("n")).collect()}
-    assert kinds == {"partition": 4, "triage": 1, "not_auto": 2}
+def routed_of(cat, *overrides):
+    return catalogue.routed_nodes(catalogue.in_run_order(cat), *overrides)
+
+
+def test_weather(spark):
+    cat = built(spark, weather())
+    # the node without id is left out
+    assert rows(cat.nodes.select("node_id")) == [("audit",), ("clean",), ("early",), ("fetch",), ("late",)]
+    routed = routed_of(cat)
+    levels = {r.node_id: r.level for r in routed.collect()}
+    assert levels == {"fetch": 0, "audit": 0, "clean": 1, "early": 1, "late": 2}
+    # both write rain: the one that runs first is deployed, though it is listed later
+    models = {r.table_name: (r.node_id, r.body) for r in catalogue.deployable_models(routed).collect()}
+    assert {t: n for t, (n, _) in models.items()} == {"rain": "early", "cleaned": "clean", "cleaned_copy": "clean"}
+    assert models["rain"][1].startswith("SELECT place, mm FROM gauges")
+    assert rows(catalogue.left_out_writers(routed)) == [("weather", "late", "rain", "early")]
+    assert rows(catalogue.declarations(routed).select("table_name")) == [("gauges",), ("raw",)]
+    found = {(r.node_id, r.kind, r.detail) for r in catalogue.review_items(cat).collect()}
+    assert found == {
+        ("late", "directive", "SET"), ("late", "duplicate", "rain has early"), ("early", "function", "LATERAL"),
+        ("early", "function", "EXPLODE"),
+        ("fetch", "triage", "Shell script -> BashOperator or PythonOperator; audit each"),
+        ("audit", "not_auto", "PythonOperator"),
+    }
+    assert {r.schedule for r in catalogue.migration_matrix(cat).collect()} == {"15 04 * * *"}
+
+
+def test_library(spark):
+    cat = built(spark, library())
+    routed = routed_of(cat)
+    assert rows(catalogue.deployable_models(routed).select("table_name")) == [("loans",), ("returns",), ("shelf",)]
+    assert rows(catalogue.declarations(routed).select("table_name")) == [("box_log",), ("desk_log",)]
+    kinds = {r.kind: r.n for r in catalogue.review_items(cat).groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds == {"partition": 3, "not_auto": 2}
+    stuck = routed.where("level > 100").select("node_id")
+    assert rows(stuck) == [("below",), ("ring_a",), ("ring_b",)]
     registry = {r.name: (r.type, r.value) for r in catalogue.variable_registry(cat.variables).collect()}
-    assert registry == {"bizdate": ("System", "19700101"), "area": ("Custom", "north"), "least": ("Custom", "100")}
+    assert registry == {"bizdate": ("System", "19700101"), "branch": ("Custom", "east")}
 
 
 def test_matrix_has_the_classifier_profile(spark):
@@ -94,41 +112,51 @@ def test_flat_shape_and_landed_nodes(spark):
 
 
 def test_scan_files(spark, tmp_path):
-    for wf in (houses(), shop()):
+    for wf in (weather(), library()):
         (tmp_path / f"workflow_{wf['name']}.json").write_text(json.dumps(document(wf), indent=2))
     docs = scan_documents(spark, str(tmp_path / "*.json"))
     found = catalogue.flat_nodes(docs).groupBy("source_file").count()
-    assert rows(found) == [("workflow_houses.json", 3), ("workflow_shop.json", 10)]
+    assert rows(found) == [("workflow_library.json", 7), ("workflow_weather.json", 5)]
+
+
+OVERRIDES = "line int, node_id string, gcp_target string, review_notes string, skip string"
 
 
 def test_overrides(spark):
-    cat = built(spark, shop())
+    cat = built(spark, library())
     given = [
-        ("s1", "", "", "TRUE "), ("s2", "TRIAGE", "look", ""), ("s3", "Dataform .sqlx", "", "no"), ("s4", "PythonOperator", " ", ""),
+        (1, "left", "", "", "TRUE "), (2, "right", "TRIAGE", "look", ""), (3, "bottom", "Dataform .sqlx", "", "no"),
+        (4, "ring_b", "PythonOperator", " ", ""),
     ]
-    overrides = spark.createDataFrame(given, "node_id string, gcp_target string, review_notes string, skip string")
-    routed = {r.node_id: r for r in catalogue.routed_nodes(cat.nodes, overrides).collect()}
-    assert routed["s1"].skipped and not routed["s3"].skipped
-    assert (routed["s2"].target, routed["s2"].reason) == ("TRIAGE", "CSV override: TRIAGE")
+    overrides = spark.createDataFrame(given, OVERRIDES)
+    routed = {r.node_id: r for r in catalogue.routed_nodes(cat.nodes, overrides, ["line"]).collect()}
+    assert routed["left"].skipped and not routed["bottom"].skipped
+    assert (routed["right"].target, routed["right"].reason) == ("TRIAGE", "set by hand to TRIAGE")
     # an override that repeats the automatic value is none
-    assert routed["s3"].reason == "ODPS_SQL"
-    assert routed["s4"].reason == "Lightweight procedural Python in Composer"
-    items = {(r.node_id, r.kind) for r in catalogue.review_items(cat, overrides).collect()}
-    assert {("s1", "skipped"), ("s2", "triage"), ("s2", "note")} <= items
-    assert ("s1", "partition") not in items
+    assert routed["bottom"].reason == "ODPS_SQL"
+    assert routed["ring_b"].reason == "Lightweight procedural Python in Composer"
+    items = {(r.node_id, r.kind) for r in catalogue.review_items(cat, overrides, override_order=["line"]).collect()}
+    assert {("left", "skipped"), ("right", "triage"), ("right", "note")} <= items
+    assert ("left", "partition") not in items
+    with pytest.raises(ValueError):
+        catalogue.routed_nodes(cat.nodes, overrides)
 
 
 def test_last_override_row_counts(spark):
-    cat = built(spark, houses())
-    given = [(1, "load", "TRIAGE", "", "true"), (2, "load", "", "kept", "")]
-    overrides = spark.createDataFrame(given, "line int, node_id string, gcp_target string, review_notes string, skip string")
+    cat = built(spark, weather())
+    given = [(1, "late", "TRIAGE", "", "true"), (2, "late", "", "kept", "")]
+    overrides = spark.createDataFrame(given, OVERRIDES)
     routed = catalogue.routed_nodes(cat.nodes, overrides, ["line"])
-    assert routed.count() == 3
-    row = routed.where("node_id = 'load'").first()
+    assert routed.count() == 5
+    row = routed.where("node_id = 'late'").first()
     assert (row.target, row.note, row.skipped) == ("Dataform .sqlx", "kept", False)
-    schedules = spark.createDataFrame([(1, "define", " "), (2, "load", " 1 2 * * * "), (3, "begin", "9 9 * * *")], "line int, node_id string, schedule string")
-    assert rows(catalogue.workflow_schedules(cat, schedules, ["line"])) == [("houses", "1 2 * * *")]
-    assert rows(catalogue.workflow_schedules(cat, schedules.limit(1), ["line"])) == [("houses", "02 00 * * *")]
+    kind = "line int, node_id string, schedule string"
+    schedules = spark.createDataFrame([(1, "clean", " "), (2, "late", " 1 2 * * * "), (3, "early", "9 9 * * *")], kind)
+    assert rows(catalogue.workflow_schedules(cat, schedules, ["line"])) == [("weather", "1 2 * * *")]
+    assert rows(catalogue.workflow_schedules(cat, schedules.limit(1), ["line"])) == [("weather", "15 04 * * *")]
+    # the last row of a node replaces its first before the first of the workflow is taken
+    again = spark.createDataFrame([(1, "late", "1 1 * * *"), (2, "late", "2 2 * * *")], kind)
+    assert rows(catalogue.workflow_schedules(cat, again, ["line"])) == [("weather", "2 2 * * *")]
 
 
 def test_review_kinds(spark):
@@ -145,7 +173,7 @@ def test_review_kinds(spark):
     found = {(r.node_id, r.kind, r.detail) for r in catalogue.review_items(built(spark, wf)).collect()}
     per_model = {("function", "DATEADD"), ("reserved", "rank"), ("unresolved", "gone"), ("offset_not_allowed", "cyctime")}
     assert found == {
-        ("ddl", "ddl_only", "lonely"), ("none", "no_output", ""), ("one", "duplicate", "t"),
+        ("ddl", "ddl_only", "lonely"), ("none", "no_output", ""), ("one", "duplicate", "t has two"),
         ("one", "cross_cycle", "ODPS_SQL"), ("flag", "cross_cycle", "VIRTUAL"), ("", "cross_workflow", "other"),
     } | {(n, k, d) for n in ("one", "two") for k, d in per_model}
 
@@ -154,11 +182,11 @@ def test_duplicates_across_workflows(spark):
     one = workflow("a", [node("x", "ODPS_SQL", "INSERT INTO TABLE t SELECT 1;", writes=["p.t"])])
     two = workflow("b", [node("y", "ODPS_SQL", "INSERT INTO TABLE t SELECT 2;", writes=["p.t"])])
     both = built(spark, one, two)
-    routed = catalogue.routed_nodes(both.nodes)
+    routed = routed_of(both)
     assert catalogue.deployable_models(routed).count() == 2
     assert rows(catalogue.deployable_models(routed, scope=()).select("node_id")) == [("x",)]
     found = rows(catalogue.review_items(both, scope=()).select("workflow_id", "node_id", "kind"))
-    assert found == [("a", "x", "duplicate")]
+    assert found == [("b", "y", "duplicate")]
 
 
 def test_external_and_past(spark):
@@ -175,10 +203,11 @@ def test_external_and_past(spark):
 
 def test_renest_keeps_every_node_in_bounded_parts(spark):
     nodes = [node(f"n{i:03d}", "VIRTUAL", after=[f"n{i - 1:03d}"] if i else []) for i in range(40)]
-    cat = catalogue.build_catalogue(frame(spark, [document(workflow("big", nodes)), document(houses())]))
+    cat = catalogue.build_catalogue(frame(spark, [document(workflow("big", nodes)), document(weather())]))
     nested = catalogue.renest(cat.nodes, 7)
     texts = nested.select(F.concat_ws("_", "workflow_id", "part").alias("f"), F.to_json(F.struct("kind", "spec")).alias("v"), F.size(F.col("spec.workflows")[0]["nodes"]).alias("n"))
     assert texts.agg(F.max("n")).first()[0] <= 7
+    assert nested.where("workflow_id = 'weather'").count() == 1  # small workflows are never cut
     again = catalogue.build_catalogue(parse_documents(texts, "v", "f"))
     assert rows(again.nodes.select("workflow_id", "node_id")) == rows(cat.nodes.select("workflow_id", "node_id"))
     assert rows(again.edges.select("node_id", "upstream_id")) == rows(cat.edges.select("node_id", "upstream_id"))
@@ -193,10 +222,9 @@ def test_workflow_parity(spark):
     builts = spark.createDataFrame([("same", "a"), ("gap", "b"), ("gap", "x")], out)
     loops = spark.createDataFrame([("gap",)], "workflow_id string")
     found = {r.workflow_id: (r.ok, r.detail) for r in catalogue.workflow_parity(source, made, sources, builts, loops).collect()}
-    assert found["same"] == (True, "all checks passed")
-    assert found["late"][1].startswith("Schedule mismatch")
-    assert found["gap"][1] == ("Missing output tables: 1; Extra output tables (not in source): 1; "
-                               "Cyclic dependency detected among generated models")
+    assert found["same"] == (True, "no difference")
+    assert found["late"][1] == "schedule differs"
+    assert found["gap"][1] == "1 outputs not built, 1 outputs without source, models depend on each other in a circle"
     assert rows(catalogue.output_issues(sources, builts)) == [("gap", "c", "missing"), ("gap", "x", "extra")]
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from weirstone.functions.names import blank_to_null, last_part
 from weirstone.functions.rules import (
     REVIEW_TARGET,
-    REVIEWED_FUNCTIONS,
     RESERVED_WORDS,
     SQL_TARGET,
     route_for_build,
@@ -27,7 +26,8 @@ from weirstone.functions.rundate import (
     last_five_fields,
 )
 from weirstone.operators import corpus
-from weirstone.operators.keyed import first_non_blank, first_per_key, last_per_key, repeated_keys
+from weirstone.operators.graph import topological_levels
+from weirstone.operators.keyed import first_non_blank, first_per_key, last_per_key, later_writers
 from weirstone.operators.ordering import ordered_parts
 from weirstone.operators.setops import membership
 from weirstone.session import materialise
@@ -196,10 +196,9 @@ def routed_nodes(
 ) -> DataFrame:
     """Nodes with target, reason, note and skip mark; a human target wins.
 
-    ``overrides`` has ``gcp_target``, ``review_notes`` and ``skip`` per node id;
-    with ``override_order`` (file order) the last row of a node id counts, and
-    without it node ids must be unique.  A target that repeats the automatic
-    one is no override.
+    ``overrides`` has ``gcp_target``, ``review_notes`` and ``skip`` per node id and
+    the columns of ``override_order``, the order of the file: the last row of a
+    node id counts.  A target that repeats the automatic one is no override.
     """
     auto_target, auto_reason = route_for_build(F.col("command"), F.col("content"))
     rows = nodes.withColumns({"auto_target": auto_target, "auto_reason": auto_reason})
@@ -207,10 +206,10 @@ def routed_nodes(
         empty = F.lit(None).cast("string")
         rows = rows.withColumns({"_t": empty, "note": empty, "_s": empty})
     else:
-        if override_order:
-            columns = ["node_id", *override_order, "gcp_target", "review_notes", "skip"]
-            overrides = last_per_key(overrides, ["node_id"], override_order, columns)
-        marks = overrides.select(
+        if not override_order:
+            raise ValueError("overrides need the order of their file")
+        columns = ["node_id", *override_order, "gcp_target", "review_notes", "skip"]
+        marks = last_per_key(overrides, ["node_id"], override_order, columns).select(
             "node_id",
             blank_to_null(F.col("gcp_target")).alias("_t"),
             blank_to_null(F.col("review_notes")).alias("note"),
@@ -221,7 +220,7 @@ def routed_nodes(
     return rows.withColumns(
         {
             "target": F.coalesce(F.col("_t"), F.col("auto_target")),
-            "reason": F.when(changed, F.concat(F.lit("CSV override: "), F.col("_t"))).otherwise(F.col("auto_reason")),
+            "reason": F.when(changed, F.concat(F.lit("set by hand to "), F.col("_t"))).otherwise(F.col("auto_reason")),
             "skipped": F.coalesce(F.lower(F.trim(F.col("_s"))) == "true", F.lit(False)),
         }
     ).drop("_t", "_s", "auto_target", "auto_reason")
@@ -229,9 +228,9 @@ def routed_nodes(
 
 def workflow_schedules(cat: Catalogue, overrides: DataFrame, order: Sequence[str]) -> DataFrame:
     """Five-field schedule per workflow: the first non-blank override of any of its
-    nodes in the order of the override file, else its own."""
+    nodes in the order of the override file, else its own.  The last row of a node counts."""
     owners = cat.nodes.select("workflow_id", "node_id").distinct()
-    given = owners.join(overrides.select("node_id", *order, "schedule"), "node_id")
+    given = owners.join(last_per_key(overrides, ["node_id"], order, ["node_id", *order, "schedule"]), "node_id")
     chosen = first_non_blank(given, ["workflow_id"], order, "schedule", "_given")
     own = five_field_schedule(F.col("cron"))
     rows = cat.workflows.select("workflow_id", own.alias("_own")).join(chosen, "workflow_id", "left")
@@ -239,36 +238,59 @@ def workflow_schedules(cat: Catalogue, overrides: DataFrame, order: Sequence[str
 
 
 ORDER = ("source_file", "workflow_pos", "node_pos", "node_id")
+# Execution order: workflows as they come, then levels of their flow; ties by document order.
+RUN_ORDER = ("workflow_first", "level", *ORDER)
+_NO_LEVEL = 1 << 62
+
+
+def in_run_order(cat: Catalogue) -> DataFrame:
+    """The nodes with ``workflow_first`` and ``level``, the columns that ``RUN_ORDER`` needs.
+
+    Nodes on or below a cycle have no level and come last.
+    """
+    group = ["workflow_id"]
+    ids = cat.nodes.select("workflow_id", F.col("node_id").alias("node"))
+    edges = cat.edges.select("workflow_id", F.col("node_id").alias("node"), F.col("upstream_id").alias("upstream"))
+    levels = topological_levels(ids, edges, group).withColumnRenamed("node", "node_id")
+    first = cat.nodes.groupBy("workflow_id").agg(F.min("source_file").alias("workflow_first"))
+    rows = cat.nodes.join(levels, ["workflow_id", "node_id"], "left").join(first, "workflow_id", "left")
+    return rows.withColumn("level", F.coalesce("level", F.lit(_NO_LEVEL)))
 
 
 def model_candidates(routed: DataFrame) -> DataFrame:
-    """SQL nodes with a SELECT body and an output: one row per node and output table."""
-    body = corpus.insert_body(F.col("content"))
+    """SQL nodes with a query body and an output: one row per node and output table."""
+    body = corpus.insert_body(corpus.clean_script(F.col("content")))
     sql = routed.where((F.col("target") == SQL_TARGET) & (F.col("command") != "VIRTUAL") & ~F.col("skipped"))
+    placed = [c for c in RUN_ORDER if c in routed.columns]
     rows = sql.select(
-        "workflow_id", "workflow_name", *ORDER, "node_name", body.alias("body"),
+        "workflow_id", "workflow_name", *placed, "node_name", body.alias("body"),
         F.explode("output_guids").alias("guid"),
     ).where(F.col("body") != "")
     return rows.withColumn("table_name", last_part(F.col("guid")))
 
 
 def deployable_models(
-    routed: DataFrame, scope: Sequence[str] = ("workflow_id",), order: Sequence[str] = ORDER
+    routed: DataFrame, scope: Sequence[str] = ("workflow_id",), order: Sequence[str] = RUN_ORDER
 ) -> DataFrame:
-    """One model per output table within a scope: the first writer is deployed."""
+    """One model per output table within a scope: the first writer in execution order is deployed.
+
+    ``routed`` comes from the nodes of ``in_run_order``.
+    """
     return first_per_key(model_candidates(routed), [*scope, "table_name"], order)
 
 
-def duplicate_models(
-    routed: DataFrame, scope: Sequence[str] = ("workflow_id",), order: Sequence[str] = ORDER
+def left_out_writers(
+    routed: DataFrame, scope: Sequence[str] = (), order: Sequence[str] = RUN_ORDER
 ) -> DataFrame:
-    """Output tables with several writers: the winner and the number of writers left out."""
-    return repeated_keys(model_candidates(routed), [*scope, "table_name"], order)
+    """Every writer of an output table but the first, with the id of the winner."""
+    models = model_candidates(routed)
+    rows = models.select(*dict.fromkeys(["workflow_id", *scope, *order, "table_name"]))
+    return later_writers(rows, [*scope, "table_name"], order).select("workflow_id", "node_id", "table_name", "winner_node_id")
 
 
 def declarations(routed: DataFrame, scope: Sequence[str] = ("workflow_id",)) -> DataFrame:
     """Tables that models read and nothing in the scope produces."""
-    body = corpus.insert_body(F.col("content"))
+    body = corpus.insert_body(corpus.clean_script(F.col("content")))
     writers = routed.where(body != "")
     produced = writers.select(*scope, F.explode("output_guids").alias("g")).select(
         *scope, last_part(F.col("g")).alias("table_name")
@@ -309,13 +331,21 @@ def cross_workflow_deps(nodes: DataFrame) -> DataFrame:
     )
 
 
-def review_items(cat: Catalogue, overrides: DataFrame | None = None, scope: Sequence[str] = ("workflow_id",)) -> DataFrame:
+def review_items(
+    cat: Catalogue,
+    overrides: DataFrame | None = None,
+    scope: Sequence[str] = (),
+    override_order: Sequence[str] = (),
+) -> DataFrame:
     """Everything a person must look at: workflow, node, kind, detail; one row per finding.
 
     One pass over the documents routes the nodes and writes them as columns;
-    each kind of finding then reads only the columns it needs.
+    each kind of finding then reads only the columns it needs.  ``scope`` is
+    where one writer per table is allowed: the project, or each workflow.
     """
-    facts = _node_facts(materialise(_routed_columns(routed_nodes(cat.nodes, overrides)), "review"))
+    cat = cat.stored()
+    routed = routed_nodes(in_run_order(cat), overrides, override_order)
+    facts = _node_facts(materialise(_routed_columns(routed), "review"))
     extra = [] if "workflow_id" in scope else ["workflow_id"]
     outputs = facts.where("has_body").select(*scope, F.explode("outputs").alias("detail"))
     no_body = facts.where("ddl_only").select(
@@ -332,11 +362,11 @@ def review_items(cat: Catalogue, overrides: DataFrame | None = None, scope: Sequ
     variables = variables.where(F.col("status") != "resolved").select(
         "workflow_id", "node_id", F.col("status").alias("kind"), F.col("name").alias("detail")
     )
-    writers = facts.where("model").select("workflow_id", *ORDER, F.explode("outputs").alias("detail"))
-    repeated = repeated_keys(writers, [*scope, "detail"], [*ORDER, *extra])
-    owner = F.col("winner_workflow_id") if extra else F.col("workflow_id")
-    duplicates = repeated.select(
-        owner.alias("workflow_id"), F.col("winner_node_id").alias("node_id"), F.lit("duplicate").alias("kind"), "detail"
+    writers = facts.where("model").select("workflow_id", *RUN_ORDER, F.explode("outputs").alias("table_name"))
+    later = later_writers(writers, [*scope, "table_name"], RUN_ORDER)
+    duplicates = later.select(
+        "workflow_id", "node_id", F.lit("duplicate").alias("kind"),
+        F.concat("table_name", F.lit(" has "), "winner_node_id").alias("detail"),
     )
     outside = facts.select("workflow_id", F.explode("externals").alias("detail")).distinct()
     externals = outside.select("workflow_id", F.lit("").alias("node_id"), F.lit("cross_workflow").alias("kind"), "detail")
@@ -348,17 +378,19 @@ def review_items(cat: Catalogue, overrides: DataFrame | None = None, scope: Sequ
 
 def _routed_columns(routed: DataFrame) -> DataFrame:
     outside = F.transform("refs", lambda r: r["externalWorkflowId"])
+    clean = corpus.clean_script(F.col("content"))
     return routed.select(
         "workflow_id",
-        *ORDER,
+        *RUN_ORDER,
         "command",
         "target",
         "reason",
         "note",
         (~F.col("skipped")).alias("live"),
-        corpus.insert_body(F.col("content")).alias("body"),
-        corpus.partition_column(F.col("content")).alias("partition_column"),
-        F.nullif(last_part(F.regexp_extract("content", corpus.CREATED_TABLE, 1)), F.lit("")).alias("created"),
+        corpus.insert_body(clean).alias("body"),
+        corpus.directives(F.col("content")).alias("directives"),
+        corpus.partition_column(clean).alias("partition_column"),
+        last_part(corpus.created_table(clean)).alias("created"),
         F.transform("output_guids", lambda g: last_part(g)).alias("outputs"),
         F.filter(outside, lambda x: F.coalesce(x, F.lit("")) != "").alias("externals"),
     )
@@ -373,7 +405,7 @@ def _node_facts(routed: DataFrame) -> DataFrame:
     has_body = body != ""
     has_output = F.size("outputs") > 0
     model = live & sql & has_body & has_output
-    identifiers = F.regexp_extract_all(body, F.lit(r"\b([A-Za-z_][A-Za-z0-9_]*)\b"), F.lit(1))
+    identifiers = F.regexp_extract_all(F.lower(body), F.lit(r"\b([a-z_][a-z0-9_]*)\b"), F.lit(1))
 
     def listed(words: Sequence[str]) -> Column:
         return F.array(*[F.lit(w) for w in words])
@@ -392,7 +424,8 @@ def _node_facts(routed: DataFrame) -> DataFrame:
         item(live & ~virtual & ~triage & ~sql, "not_auto", F.col("target")),
         item(live & sql & has_body & ~has_output, "no_output", F.lit("")),
         item(model, "partition", F.col("partition_column")),
-        items(model, "function", F.array_intersect(corpus.called_names(body), listed(REVIEWED_FUNCTIONS))),
+        items(model, "function", corpus.reviewed_calls(body)),
+        items(live & sql, "directive", F.col("directives")),
         items(model, "reserved", F.array_intersect(identifiers, listed(RESERVED_WORDS))),
         item(live & F.col("note").isNotNull(), "note", F.col("note")),
     )
@@ -515,17 +548,14 @@ def workflow_parity(
     )
     same = last_five_fields(F.col("source_schedule")).eqNullSafe(last_five_fields(F.col("built_schedule")))
     issues = F.concat_ws(
-        "; ",
-        F.when(~same, F.concat(
-            F.lit("Schedule mismatch: source '"), F.col("source_schedule"), F.lit("' vs generated '"),
-            F.coalesce(F.col("built_schedule"), F.lit("")), F.lit("'"),
-        )),
-        F.when(F.col("n_missing") > 0, F.concat(F.lit("Missing output tables: "), F.col("n_missing"))),
-        F.when(F.col("n_extra") > 0, F.concat(F.lit("Extra output tables (not in source): "), F.col("n_extra"))),
-        F.when(F.col("cyclic"), F.lit("Cyclic dependency detected among generated models")),
+        ", ",
+        F.when(~same, F.lit("schedule differs")),
+        F.when(F.col("n_missing") > 0, F.concat("n_missing", F.lit(" outputs not built"))),
+        F.when(F.col("n_extra") > 0, F.concat("n_extra", F.lit(" outputs without source"))),
+        F.when(F.col("cyclic"), F.lit("models depend on each other in a circle")),
     )
     return rows.withColumn("ok", issues == "").withColumn(
-        "detail", F.when(issues == "", "all checks passed").otherwise(issues)
+        "detail", F.when(issues == "", "no difference").otherwise(issues)
     )
 
 

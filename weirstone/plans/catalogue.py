@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weirstone.functions.rules import HEAVY_MARKERS
 from weirstone.functions.rundate import five_field_schedule
-from weirstone.operators import catalogue, graph, ordering
+from weirstone.operators import catalogue, corpus, graph, ordering
 from weirstone.plans.conversation_documents import TURNS_SQL, document_texts, documents, mixed_shape_texts, turns
 from weirstone.plans.registry import query, table
 from weirstone.session import fresh_path
@@ -26,9 +26,9 @@ _BUILD_TARGET = f"""CASE command WHEN 'ODPS_SQL' THEN 'Dataform .sqlx' WHEN 'VIR
       WHEN 'DIDE_SHELL' THEN 'TRIAGE'
       ELSE CASE WHEN {_SQL_HEAD} THEN 'Dataform .sqlx'
                 WHEN {_HEAVY} THEN 'Dataflow (Beam)' ELSE 'PythonOperator' END END"""
-_BODY = (
-    r"""regexp_replace(regexp_extract(content, '(?is)INSERT\s+(?:OVERWRITE|INTO)\s+TABLE\s+[\w.$]+(?:\s+PARTITION\s*\([^)]*\))?\s*(SELECT.*)', 1), '[\s;]+$', '')"""
-)
+# The query that a write takes its rows from, in two steps.
+_TAIL = rf"regexp_extract(content, '{corpus.WRITE_TAIL}', 1)"
+_BODY = rf"regexp_replace(regexp_extract({_TAIL}, '{corpus.QUERY_TAIL}', 1), '[\s;]+$', '')"
 
 
 def _catalogue(spark, sf):
@@ -115,7 +115,7 @@ def migration_matrix(spark, sf):
 
 
 # Test overrides: skipped turns, notes, and targets set by hand.
-_OVERRIDES = """SELECT CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) AS node_id,
+_OVERRIDES = """SELECT CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) AS node_id, 2 AS line,
     CASE WHEN conv_id % 23 = 0 AND turn % 3 = 2 THEN 'TRIAGE' ELSE '' END AS gcp_target,
     CASE WHEN conv_id % 19 = 0 THEN 'check' ELSE ' ' END AS review_notes,
     CASE WHEN conv_id % 17 = 0 AND turn % 3 = 1 THEN ' TRUE' ELSE '' END AS skip
@@ -123,7 +123,12 @@ _OVERRIDES = """SELECT CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) AS
 
 
 def _overrides(spark, sf):
-    return spark.sql(_OVERRIDES, conversations=table(spark, sf, "conversations"))
+    # every node has an earlier line in the file, which the later one replaces
+    last = spark.sql(_OVERRIDES, conversations=table(spark, sf, "conversations"))
+    early = last.select(
+        "node_id", F.lit(1).alias("line"), F.lit("TRIAGE").alias("gcp_target"), F.lit("old").alias("review_notes"), F.lit("true").alias("skip")
+    )
+    return early.unionByName(last)
 
 
 _ROUTED = f"""{_TURNS}, o AS ({_OVERRIDES.replace('{conversations}', 'conversations')}),
@@ -140,7 +145,7 @@ _ROUTED = f"""{_TURNS}, o AS ({_OVERRIDES.replace('{conversations}', 'conversati
 )
 def routed_nodes(spark, sf):
     nodes = _catalogue(spark, sf).nodes
-    return catalogue.routed_nodes(nodes, _overrides(spark, sf)).select("workflow_id", "node_id", "target", "skipped", "note")
+    return catalogue.routed_nodes(nodes, _overrides(spark, sf), ["line"]).select("workflow_id", "node_id", "target", "skipped", "note")
 
 
 # Test overrides of the schedule, in file order.
@@ -165,22 +170,23 @@ def workflow_schedules(spark, sf):
     "deployable_models",
     f"""{_ROUTED} SELECT workflow_id, table_name, node_id, body FROM (
           SELECT workflow_id, out_table AS table_name, node_id, body,
-                 row_number() OVER (PARTITION BY workflow_id, out_table ORDER BY source_file) AS k FROM n
+                 row_number() OVER (PARTITION BY workflow_id, out_table ORDER BY turn, source_file) AS k FROM n
           WHERE NOT skipped AND target = 'Dataform .sqlx' AND body <> '' AND output_guid IS NOT NULL) WHERE k = 1""",
 )
 def deployable_models(spark, sf):
-    routed = catalogue.routed_nodes(_catalogue(spark, sf).nodes, _overrides(spark, sf))
+    routed = catalogue.routed_nodes(catalogue.in_run_order(_catalogue(spark, sf).stored()), _overrides(spark, sf), ["line"])
     return catalogue.deployable_models(routed).select("workflow_id", "table_name", "node_id", "body")
 
 
 @query(
     "project_models",
     f"""{_ROUTED} SELECT table_name, node_id FROM (
-          SELECT out_table AS table_name, node_id, row_number() OVER (PARTITION BY out_table ORDER BY source_file) AS k FROM n
+          SELECT out_table AS table_name, node_id, row_number() OVER (PARTITION BY out_table ORDER BY first_file, turn, source_file) AS k
+          FROM (SELECT *, MIN(source_file) OVER (PARTITION BY workflow_id) AS first_file FROM n)
           WHERE NOT skipped AND target = 'Dataform .sqlx' AND body <> '' AND output_guid IS NOT NULL) WHERE k = 1""",
 )
 def project_models(spark, sf):
-    routed = catalogue.routed_nodes(_catalogue(spark, sf).nodes, _overrides(spark, sf))
+    routed = catalogue.routed_nodes(catalogue.in_run_order(_catalogue(spark, sf).stored()), _overrides(spark, sf), ["line"])
     return catalogue.deployable_models(routed, scope=()).select("table_name", "node_id")
 
 
@@ -191,7 +197,7 @@ def project_models(spark, sf):
         EXCEPT SELECT workflow_id, out_table FROM n WHERE body <> ''""",
 )
 def declarations(spark, sf):
-    routed = catalogue.routed_nodes(_catalogue(spark, sf).nodes, _overrides(spark, sf))
+    routed = catalogue.routed_nodes(_catalogue(spark, sf).nodes, _overrides(spark, sf), ["line"])
     return catalogue.declarations(routed)
 
 
@@ -229,13 +235,13 @@ _REVIEW = f"""{_ROUTED},
                     regexp_extract(u, '^(\\w+)', 1) AS name FROM (
                SELECT workflow_id, node_id, unnest(regexp_extract_all(body, '\\$\\{{(\\w+)\\}}', 1)) AS u FROM m
                UNION ALL SELECT workflow_id, node_id, unnest(regexp_extract_all(body, '\\$\\[([A-Za-z_]\\w*(?:\\s*[+-]\\d+)?)\\]', 1)) FROM m)),
-    created AS (SELECT *, nullif(regexp_extract(content, '(?i)CREATE\\s+TABLE\\s+(?:IF\\s+NOT\\s+EXISTS\\s+)?([\\w.$]+)', 1), '') AS c
+    created AS (SELECT *, nullif(regexp_extract(content, '{corpus.NEW_TABLE}', 1), '') AS c
                 FROM n WHERE NOT skipped AND command <> 'VIRTUAL' AND target = 'Dataform .sqlx' AND body = ''),
     items AS (
       SELECT workflow_id, node_id, 'skipped' AS kind, command AS detail FROM n WHERE skipped
       UNION ALL SELECT workflow_id, node_id, 'cross_cycle', command FROM n WHERE NOT skipped AND (node_flag OR edge_flag)
       UNION ALL SELECT workflow_id, node_id, 'triage',
-                CASE WHEN changed THEN 'CSV override: TRIAGE' ELSE 'Shell script -> BashOperator or PythonOperator; audit each' END
+                CASE WHEN changed THEN 'set by hand to TRIAGE' ELSE 'Shell script -> BashOperator or PythonOperator; audit each' END
                 FROM n WHERE NOT skipped AND command <> 'VIRTUAL' AND target = 'TRIAGE'
       UNION ALL SELECT workflow_id, node_id, 'not_auto', target FROM n
                 WHERE NOT skipped AND command <> 'VIRTUAL' AND target NOT IN ('TRIAGE', 'Dataform .sqlx')
@@ -250,18 +256,20 @@ _REVIEW = f"""{_ROUTED},
       UNION ALL SELECT u.workflow_id, node_id, CASE WHEN d.name IS NULL THEN 'unresolved' ELSE 'offset_not_allowed' END, u.name
                 FROM uses u LEFT JOIN declared d ON u.workflow_id = d.workflow_id AND u.name = d.name
                 WHERE d.name IS NULL OR (u.u <> u.name AND u.name <> 'bizdate')
-      UNION ALL SELECT workflow_id, arg_min(node_id, source_file), 'duplicate', out_table FROM m GROUP BY workflow_id, out_table HAVING COUNT(*) > 1
+      UNION ALL SELECT workflow_id, node_id, 'duplicate', out_table || ' has ' || winner FROM (
+                  SELECT *, first_value(node_id) OVER (PARTITION BY workflow_id, out_table ORDER BY turn, source_file) AS winner FROM m)
+                WHERE node_id <> winner
       UNION ALL SELECT DISTINCT workflow_id, '', 'cross_workflow', outside FROM t WHERE outside IS NOT NULL)"""
 
 REVIEW_KINDS = (
     "skipped", "cross_cycle", "triage", "not_auto", "ddl_only", "no_output", "partition", "function", "reserved",
-    "note", "unresolved", "offset_not_allowed", "duplicate", "cross_workflow",
+    "note", "unresolved", "offset_not_allowed", "duplicate", "cross_workflow", "directive",
 )
 
 
 @query("review_items", f"{_REVIEW} SELECT * FROM items")
 def review_items(spark, sf):
-    return catalogue.review_items(_catalogue(spark, sf), _overrides(spark, sf))
+    return catalogue.review_items(_catalogue(spark, sf), _overrides(spark, sf), ["workflow_id"], ["line"])
 
 
 @query(
@@ -271,7 +279,7 @@ def review_items(spark, sf):
     + " FROM items GROUP BY workflow_id",
 )
 def review_counts(spark, sf):
-    items = catalogue.review_items(_catalogue(spark, sf), _overrides(spark, sf))
+    items = catalogue.review_items(_catalogue(spark, sf), _overrides(spark, sf), ["workflow_id"], ["line"])
     return catalogue.review_counts(items, REVIEW_KINDS)
 
 
@@ -291,12 +299,12 @@ def renest_documents(spark, sf):
 @query(
     "collect_children",
     """SELECT conv_id, part, COUNT(*) AS n_children, string_agg(text, ' | ' ORDER BY turn) AS children
-       FROM (SELECT *, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 1000 AS part FROM conversations)
+       FROM (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 4 AS part FROM conversations)
        GROUP BY conv_id, part""",
 )
 def collect_children(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "text")
-    nested = ordering.collect_children(rows, "conv_id", ["turn"], F.col("text"), 1000)
+    nested = ordering.collect_children(rows, "conv_id", ["turn"], F.col("text"), 4)
     return nested.withColumn("children", F.array_join("children", " | "))
 
 
@@ -313,12 +321,12 @@ def collect_children(spark, sf):
               FROM t GROUP BY workflow_id),
         j AS (SELECT w.*, CASE WHEN conv_id % 12 = 0 THEN '0 0 * * *' ELSE f END AS b, COALESCE(n_missing, 0) AS n_missing,
                      COALESCE(n_extra, 0) AS n_extra FROM w LEFT JOIN c ON w.workflow_id = c.workflow_id),
-        d AS (SELECT *, concat_ws('; ', CASE WHEN f <> b THEN 'Schedule mismatch: source ''' || f || ''' vs generated ''' || b || '''' END,
-                     CASE WHEN n_missing > 0 THEN 'Missing output tables: ' || n_missing END,
-                     CASE WHEN n_extra > 0 THEN 'Extra output tables (not in source): ' || n_extra END,
-                     CASE WHEN cyclic THEN 'Cyclic dependency detected among generated models' END) AS issues FROM j)
+        d AS (SELECT *, concat_ws(', ', CASE WHEN f <> b THEN 'schedule differs' END,
+                     CASE WHEN n_missing > 0 THEN n_missing || ' outputs not built' END,
+                     CASE WHEN n_extra > 0 THEN n_extra || ' outputs without source' END,
+                     CASE WHEN cyclic THEN 'models depend on each other in a circle' END) AS issues FROM j)
         SELECT workflow_id, n_nodes, n_missing, n_extra, cyclic, issues = '' AS ok,
-               CASE WHEN issues = '' THEN 'all checks passed' ELSE issues END AS detail FROM d""",
+               CASE WHEN issues = '' THEN 'no difference' ELSE issues END AS detail FROM d""",
 )
 def workflow_parity(spark, sf):
     rows = turns(spark, sf)
