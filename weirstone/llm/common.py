@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Iterator
 
@@ -21,6 +22,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 # Text bytes that a Python task works on at a time.
 SLICE_BYTES = 4 << 20
+# Seconds until Spark has heard of dropped handles.
+HANDLES_WAIT = 0.2
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -56,11 +59,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; what led to it can then be forgotten.
 
     The collection lets Spark drop shuffle files that only the finished job
-    used, so a chain of steps holds the disk of one step, not of all.
+    used, so a chain of steps holds the disk of one step, not of all.  The
+    handles that Python drops reach Spark by a thread of their own, hence the
+    short wait.
     """
     out = materialise(df, f"llm-{label}")
     del df
     gc.collect()
+    time.sleep(HANDLES_WAIT)
     out.sparkSession.sparkContext._jvm.System.gc()
     return out
 
