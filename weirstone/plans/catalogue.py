@@ -10,7 +10,7 @@ from weirstone.operators import catalogue, corpus, graph, ordering
 from weirstone.plans.conversation_documents import TURNS_SQL, document_texts, documents, mixed_shape_texts, turns
 from weirstone.plans.registry import query, table
 from weirstone.session import fresh_path
-from weirstone.sources.documents import normalise, parse_documents
+from weirstone.sources.documents import normalise, parse_documents, parse_with_rejects
 from weirstone.sources.documents import scan_documents as scan
 
 _TURNS = f"WITH t AS ({TURNS_SQL})"
@@ -45,6 +45,22 @@ def scan_documents(spark, sf):
     )
 
 
+@query(
+    "document_rejects",
+    f"""{_TURNS} SELECT source_file, (conv_id + turn) % 7 = 1 AS blank FROM t WHERE (conv_id + turn) % 7 < 2""",
+)
+def document_rejects(spark, sf):
+    # Some documents are cut off, some are blank: both come out as rejects, the others as documents.
+    number = F.try_to_number(F.split_part("source_file", F.lit("_"), F.lit(2)), F.lit("999999999999"))
+    turn = F.try_to_number(F.regexp_extract("source_file", r"_(\d+)\.json$", 1), F.lit("999999999999"))
+    kind = (number + turn) % 7
+    texts = document_texts(spark, sf).withColumn(
+        "value",
+        F.when(kind == 0, F.expr("substr(value, 1, length(value) - 5)")).when(kind == 1, F.lit(" \n")).otherwise(F.col("value")),
+    )
+    return parse_with_rejects(texts, "value", "source_file")[1].select("source_file", (F.trim("value", F.lit(" \n")) == "").alias("blank"))
+
+
 @query(
     "normalise_documents",
     f"""{_TURNS} SELECT workflow_id, CASE WHEN turn % 3 = 2 THEN 'workflow_' ELSE 'conv_' END || workflow_id AS workflow_name,

@@ -54,7 +54,10 @@ def quarantine_counts(spark, sf):
         .when(kind == 2, F.concat(F.lit("x"), whole))
         .otherwise(whole)
     )
-    table(spark, sf, "customer").select(line.alias("value")).write.text(path)
+    lines = table(spark, sf, "customer").select(line.alias("value"))
+    # blank lines in between are no rows
+    blank = lines.where(kind == 5).select(F.lit(" ").alias("value"))
+    lines.unionByName(blank).write.text(path)
     good, bad = delimited.scan_with_quarantine(spark, path, CUSTOMER_TEXT)
     counted = good.agg(
         F.lit(True).alias("good"), F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("key_sum")
@@ -105,18 +108,20 @@ def partition_read(spark, sf):
     "override_scan",
     """SELECT CAST(doc_id AS VARCHAR) AS node_id,
               CASE WHEN toxic = 1 THEN 'TRIAGE' END AS gcp_target,
-              CASE WHEN quality = 1 THEN 'good' END AS review_notes
-       FROM labels""",
+              CASE WHEN quality = 1 THEN 'good' || chr(10) || '"note", kept' END AS review_notes
+       FROM labels WHERE doc_id % 7 <> 0""",
 )
 def override_scan(spark, sf):
     path = fresh_path(spark, "overrides")
     cells = {
-        "node_id": F.col("doc_id").cast("string"),
+        "node_id": F.when(F.col("doc_id") % 7 == 0, F.lit(" ")).otherwise(F.col("doc_id").cast("string")),
         "gcp_target": F.when(F.col("toxic") == 1, F.lit(" TRIAGE ")).otherwise(F.lit("  ")),
-        "review_notes": F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("")),
+        "review_notes": F.when(F.col("quality") == 1, F.lit('good\n"note", kept')).otherwise(F.lit("")),
     }
-    columns = [cells.get(c, F.lit("")).alias(c) for c in delimited.MATRIX_FIELDS]
-    tables.write_csv(table(spark, sf, "labels").select(*columns), path, delimited.MATRIX_FIELDS)
+    # the columns of the file stand in another order than usual
+    names = tuple(reversed(delimited.MATRIX_FIELDS))
+    columns = [cells.get(c, F.lit("")).alias(c) for c in names]
+    tables.write_csv(table(spark, sf, "labels").select(*columns), path, names)
     return delimited.scan_overrides(spark, path).select("node_id", "gcp_target", "review_notes")
 
 

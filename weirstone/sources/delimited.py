@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from weirstone.functions.names import blank_to_null
 
 CORRUPT = "_corrupt_line"
+# How both scans of delimited text read times.
+TIMES = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 
 # The columns of the override file, in file order.
 MATRIX_FIELDS = (
@@ -33,7 +35,7 @@ def scan_delimited(
         .option("header", header)
         .option("mode", "FAILFAST")
         .option("columnPruning", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        .options(**TIMES)
         .csv(path)
     )
 
@@ -44,14 +46,15 @@ def scan_with_quarantine(
     """Scan delimited text and separate well-formed rows from malformed lines.
 
     A line with too few or too many fields, or with a value that does not fit
-    its column type, is malformed.
+    its column type, is malformed.  Blank lines are no rows, as in ``scan_delimited``.
     """
     # Lines are parsed one by one as an expression: a scan would prune columns
     # and then not see that a pruned field is malformed.
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **TIMES}
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.fields)
-    parsed = spark.read.text(path).select("value", F.from_csv("value", ddl, options).alias("r"))
+    lines = spark.read.text(path).where(F.trim("value", F.lit(" \t\r")) != "")
+    parsed = lines.select("value", F.from_csv("value", ddl, options).alias("r"))
     good = parsed.where(F.col(f"r.{CORRUPT}").isNull()).select(*[f"r.`{f.name}`" for f in schema.fields])
     bad = parsed.where(F.col(f"r.{CORRUPT}").isNotNull()).select(F.col("value").alias("line"))
     return good, bad
@@ -75,7 +78,24 @@ def standardise(
     return df.withColumns(changes) if changes else df
 
 
-def scan_overrides(spark: SparkSession, path: str, schema: T.StructType = MATRIX_SCHEMA) -> DataFrame:
-    """Scan a hand-edited override file; a blank cell means no override."""
-    raw = spark.read.schema(schema).option("header", True).csv(path)
-    return raw.select(*[blank_to_null(F.col(f.name)).alias(f.name) for f in schema.fields])
+def scan_overrides(spark: SparkSession, path: str, schema: T.StructType = MATRIX_SCHEMA, key: str = "node_id") -> DataFrame:
+    """Scan a hand-edited override file; a blank cell means no override.
+
+    Columns go by the names in the header, in any order; all files of a path
+    must have the same header.  Quoted cells may hold line feeds, a row with a
+    wrong number of cells fails the scan, and rows without a key are left out.
+    """
+    raw = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
+        .option("multiLine", True)
+        .option("escape", '"')
+        .csv(path)
+    )
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"the override file has no column {missing}")
+    cells = raw.select(*[blank_to_null(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return cells.where(F.col(key).isNotNull())

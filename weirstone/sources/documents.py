@@ -58,6 +58,9 @@ def document_schema() -> T.StructType:
     return _parse(f"struct<{fields}>")
 
 
+CORRUPT = "_corrupt_document"
+
+
 @lru_cache(maxsize=None)
 def _parse(ddl: str) -> T.StructType:
     return T.DataType.fromDDL(ddl)
@@ -74,9 +77,30 @@ def scan_documents(spark: SparkSession, path: str, multi_line: bool = True) -> D
 
 
 def parse_documents(texts: DataFrame, text: str, source_file: str) -> DataFrame:
-    """Documents held as JSON text in a table column."""
-    parsed = texts.select(F.col(source_file).alias("source_file"), F.from_json(text, document_schema()).alias("d"))
-    return parsed.select("d.*", "source_file")
+    """Documents held as JSON text in a table column; ``document_rejects`` has those that do not parse."""
+    return parse_with_rejects(texts, text, source_file)[0]
+
+
+def parse_with_rejects(texts: DataFrame, text: str, source_file: str) -> tuple[DataFrame, DataFrame]:
+    """Documents held as JSON text, and the texts that are no such document.
+
+    A text is rejected if it is null or blank, if it is cut off or otherwise no
+    JSON, or if a field has a value of another type than documents have.
+    """
+    schema = T.StructType([*document_schema().fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    own = texts.select(F.col(source_file).alias("source_file"), F.col(text).cast("string").alias("value"))
+    parsed = own.select("source_file", "value", F.from_json("value", schema, options).alias("d"))
+    blank = F.trim(F.coalesce("value", F.lit("")), F.lit(" \n\r\t")) == ""
+    bad = blank | F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()
+    good = parsed.where(~bad).select(*[f"d.`{f.name}`" for f in document_schema().fields], "source_file")
+    return good, parsed.where(bad).select("source_file", "value")
+
+
+def scan_with_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Documents in files of one document each, and the files that hold none, with their text."""
+    files = spark.read.option("wholetext", True).text(path).withColumn("source_file", F.col("_metadata.file_name"))
+    return parse_with_rejects(files, "value", "source_file")
 
 
 def normalise(docs: DataFrame, shapes: str = "first") -> DataFrame:

@@ -56,7 +56,7 @@ def read_partitioned(
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Write text with a header line and columns in a fixed order."""
-    df.select(*columns).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_with_audit(
