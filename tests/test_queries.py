@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from oracle import compare, connect
+from weirstone.plans.registry import CHECKS, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,11 +12,11 @@ def duck(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf, duck, name):
-    df = queries()[name](spark, sf)
-    assert name in oracle_sql()
-    assert compare(duck, df, oracle_sql()[name]) == ""
+    df = QUERIES[name](spark, sf)
+    assert name in CHECKS
+    assert compare(duck, df, CHECKS[name]) == ""
     plan = df._jdf.queryExecution().executedPlan().toString()
     for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython"):
         assert slow not in plan

@@ -154,3 +154,31 @@ def test_rollup_exact_and_approximate(spark):
     assert rows(exact) == [(0, 50, 3000), (1, 50, 3000)]
     near = daily_rollup(rows_in, ["k"], {"users": "u"}, {"total": F.col("m")}, approximate=True)
     assert all(45 <= r.users <= 55 and r.total == 3000 for r in near.collect())
+
+
+def test_dated_pipeline_reads_one_day(spark, tmp_path):
+    from weirstone.operators import dated
+
+    a = dated.land(spark.sql("SELECT id AS k, concat('d', id % 3) AS pt FROM range(30)"), str(tmp_path / "a"))
+    b = dated.land(spark.sql("SELECT id AS k, id * 2 AS v, concat('d', id % 3) AS pt FROM range(30)"), str(tmp_path / "b"))
+    facts = dated.day_facts(spark, a, b, ["k"], "d1")
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(pt") == 2
+    roll = lambda d: d.groupBy("pt").agg(F.sum("v").alias("v"))
+    folders = [str(tmp_path / n) for n in ("facts", "mart", "audit")]
+    run = lambda pt, least: dated.run_day(spark, dated.day_facts(spark, a, b, ["k"], pt), roll, *folders, pt, least)
+    assert [run("d1", 5), run("d1", 5), run("d2", 11), run("none", 1)] == ["PASS", "PASS", "FAIL", "FAIL"]
+    mart = spark.read.schema("v bigint, pt string").parquet(folders[1])
+    assert rows(mart) == [(290, "d1")]
+    audit = rows(spark.read.schema(dated.AUDIT).parquet(folders[2]))
+    assert audit == [("d1", 10, 5, "PASS"), ("d1", 10, 5, "PASS"), ("d2", 10, 11, "FAIL"), ("none", 0, 1, "FAIL")]
+
+
+def test_documents_that_do_not_parse_come_out(spark, tmp_path):
+    from weirstone.sources.documents import scan_with_rejects
+
+    for name, text in {"good": '{"spec": {"id": "a", "nodes": []}}', "cut": '{"spec": {"id": "a", ', "blank": " \n"}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    good, bad = scan_with_rejects(spark, str(tmp_path))
+    assert rows(good.select("source_file", "spec.id")) == [("good.json", "a")]
+    assert sorted(r.source_file for r in bad.collect()) == ["blank.json", "cut.json"]
