@@ -219,23 +219,21 @@ def _second_pairs(members: DataFrame, pivots: DataFrame, known: DataFrame, roots
         .join(pivots, "h")
         .join(distances, ["cid", "b"], "left")
         .select(
-            *("h", "cid", "n", "c", "root"),
+            *("h", "cid", "n", "root"),
             F.coalesce("d", 1 - F.least("n", "b_n") / F.greatest("n", "b_n")).alias("low"),
             F.coalesce("d", F.lit(1.0)).alias("high"),
         )
     )
-    own = members.groupBy("cid").agg(F.sort_array(F.collect_list("h")).alias("all"))
-    sided = away.join(own, "cid")
-    sides = ("cid", "n", "c", "root", "low", "high", "all")
-    x, y = (sided.select(F.col("h").alias(f"{s}_h"), *(F.col(c).alias(f"{s}_{c}") for c in sides)) for s in "ab")
+    away = stored(away, "away")
+    # what two components share lies in regions of several components, so only these count
+    sided = away.join(away.groupBy("cid").agg(F.count(F.lit(1)).alias("c")), "cid")
+    sides = ("cid", "n", "c", "root", "low", "high")
+    x, y = (sided.select("h", *(F.col(c).alias(f"{s}_{c}") for c in sides)) for s in "ab")
     reach = F.lit(1 - PERCENT / 100 + 1e-9)
     near = (F.col("a_low") - F.col("b_high") <= reach) & (F.col("b_low") - F.col("a_high") <= reach)
     fits = near & (F.col("a_cid") < F.col("b_cid")) & (F.col("a_root") != F.col("b_root")) & _may_link("a", "b")
-    # a pair comes from the first region that both are in, and only if they have enough in common
-    common = F.array_intersect("a_all", "b_all")
-    once = (F.array_min(common) == F.col("a_h")) & (F.size(common) >= _common("a_n", "b_n"))
-    met = x.join(y, (F.col("a_h") == F.col("b_h")) & fits & once)
-    enough = met.select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b"), "a_n", "b_n")
+    met = x.join(y, "h").where(fits).groupBy(F.col("a_cid").alias("a"), F.col("b_cid").alias("b"), "a_n", "b_n")
+    enough = met.agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= _common("a_n", "b_n")).drop("k")
     done = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return enough.join(done, ["a", "b"], "left_anti")
 
