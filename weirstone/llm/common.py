@@ -60,14 +60,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     The collection lets Spark drop shuffle files that only the finished job
     used, so a chain of steps holds the disk of one step, not of all.  The
-    handles that Python drops reach Spark by a thread of their own, hence the
-    short wait.
+    handles that Python drops reach Spark by a thread of their own, and what
+    they led to is unreachable only after a first collection, hence two with a
+    short wait before each.
     """
     out = materialise(df, f"llm-{label}")
     del df
     gc.collect()
-    time.sleep(HANDLES_WAIT)
-    out.sparkSession.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        time.sleep(HANDLES_WAIT)
+        out.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 

@@ -4,28 +4,32 @@ Every position of every text would be 16 bytes for each byte of text in each
 sort, so the doubling runs on positions that equal strings are sure to share:
 
 1. *Rank 20.*  Names of strings of 1, 2, 4, 8, 16 and 20 bytes are made by
-   doubling, each from two names at an offset.  Of the 31 strings of 20 bytes
+   doubling, each from names at an offset.  Of the 31 strings of 20 bytes
    inside a string of 50, the one with the smallest name (leftmost of equals) is
    its anchor; equal strings of 50 have the same anchor at the same place.  One
-   position in 16 is an anchor.  Spark sorts the anchors by name; those that no
-   other position shares are unique and leave.
-2. *Rank of the context.*  Neighbouring starts with the same anchor form a run;
-   a run's context is all the bytes that its strings of 50 cover.  Spark sorts
-   the surviving runs by context: where an earlier document has the same
-   context, the whole run is found at once.  This settles all but the first
-   document of each group and the ends of matches.
-3. *Rank 50.*  Only where one anchor is left with several contexts, each start
-   of the runs gets the pair of names of its strings of 32 bytes at offsets 0
-   and 18, and the pairs are ranked: equal pairs are equal strings of 50.
+   position in 16 is an anchor.  Neighbouring starts with one anchor form a run.
+   Spark sorts the runs by the anchor's name and the name of the context, all
+   the bytes that the run's strings of 50 cover.  Runs with an anchor that no
+   other has are unique and leave; where an earlier document has the same
+   context, the whole run is found.  This settles all but the first document of
+   each group and the ends of matches.
+2. *Rank 32.*  A string of 50 whose anchor lies in its right part covers the 32
+   bytes up to the anchor's end, any other the 32 bytes from the anchor on.
+   Spark sorts the runs that are left by the names of these; those that no
+   other has leave.
+3. *Rank 50.*  Each start that is left gets the pair of names of its strings of
+   32 bytes at offsets 0 and 18, and Spark sorts the pairs: equal pairs are
+   equal strings of 50.
 
 The starts found cover the bytes to remove.  All strings are judged on the
 input.  Texts are cut into pieces that overlap by 49 bytes, so no start is lost
 and a task never holds more than a piece.
 
 Repeats inside a task are folded before rows are sorted by a name: one row per
-task stands for them, and the others, which are known to be shared, travel by a
-number of their own.  So a string that a third of all rows hold does not meet
-in one task.
+task stands for them, and the others, of which the result or the sharing is
+known, travel by a number of their own.  So a string that a third of all rows
+hold does not meet in one task.  Rows hold names and places only; the few
+rounds that need bytes again read the texts again.
 
 Defined results: a null text is empty; a text under 50 bytes loses nothing;
 rows that repeat an id take nothing from each other; a row without id neither
@@ -48,12 +52,15 @@ LENGTH = 50
 GRAM = 20
 HALF = 32
 RUN = LENGTH - GRAM + 1
+# A start this far or farther before its anchor has the strings of 32 that end with the anchor's end.
+LEFT = HALF - GRAM
 PIECE = 1 << 20
 _PLACE_BITS = 21
 _NAMES = np.random.default_rng(50).integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-# A run in one number: start, variant of a repeated id, anchor, last start, and whether it is known to be shared.
-_START, _VARIANT, _ANCHOR, _LAST, _KNOWN = 23, 11, 6, 1, 0
+# A run in one number: start, variant of a repeated id, anchor, last start, and what is known: nothing, shared, found.
+_START, _VARIANT, _ANCHOR, _LAST = 24, 12, 7, 2
+SHARED, FOUND = 1, 2
 MAX_VARIANTS = 1 << (_START - _VARIANT)
 
 
@@ -67,28 +74,28 @@ def doubled(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
-def names(data: np.ndarray) -> np.ndarray:
-    """Names of the strings of ``GRAM`` bytes at all positions."""
+def names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the strings of 16, ``GRAM`` and ``HALF`` bytes at all positions."""
     one = _NAMES[data]
     two = doubled(one[:-1], one[1:])
     four = doubled(two[:-2], two[2:])
     eight = doubled(four[:-4], four[4:])
     sixteen = doubled(eight[:-8], eight[8:])
-    return doubled(sixteen[:-4], four[16:])
+    return sixteen, doubled(sixteen[:-4], four[16:]), doubled(sixteen[:-16], sixteen[16:])
 
 
 def runs(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Runs of starts with one anchor: piece, first start, anchor and last start from it, name of the anchor."""
+    """Runs of starts with one anchor.
+
+    Piece, first start, anchor and last start from it, name of the anchor, name of the context.
+    """
     lengths = np.array([len(p) for p in pieces])
     offsets = np.cumsum(lengths) - lengths
     data = np.frombuffer(b"".join(pieces), np.uint8)
-    none = np.empty(0, np.int64)
-    counts = np.maximum(lengths - LENGTH + 1, 0)
-    if not counts.sum():
-        return none, none, none, none, none.astype(np.uint64)
-    name = names(data)
+    counts = lengths - LENGTH + 1
+    _, gram, half = names(data)
     place = np.uint64(_PLACE_BITS)
-    least = ((name >> place) << place) | np.arange(len(name), dtype=np.uint64)
+    least = ((gram >> place) << place) | np.arange(len(gram), dtype=np.uint64)
     for step in (1, 2, 4, 8):
         least = np.minimum(least[:-step], least[step:])
     least = np.minimum(least[: -(RUN - 16)], least[RUN - 16 :])
@@ -99,8 +106,10 @@ def runs(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     last = np.append(first[1:], len(start)) - 1
     low, high, at = start[first], start[last], anchor[first]
     piece = np.searchsorted(offsets, low, "right") - 1
-    # empty pieces share their offset with the next one
-    return piece, low - offsets[piece], at - low, high - low, name[at]
+    # a context of 50 to 80 bytes is the strings of 32 at its start, 18 on, and at its end, and where the anchor is
+    context = doubled(doubled(half[low], half[low + LENGTH - HALF]), half[high + LENGTH - HALF])
+    context = doubled(context, ((at - low) * 64 + high - low).view(np.uint64))
+    return piece, low - offsets[piece], at - low, high - low, gram[at], context
 
 
 def _cut(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -126,129 +135,173 @@ def _numbers(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _folded(
+    key: np.ndarray, doc: np.ndarray, packed: np.ndarray, same: np.ndarray | None = None, last: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys to sort by, and what is known, for rows of one task.
+
+    Of rows with one key the first by document goes by it; the others get a
+    number of their own.  Those are found if they are of a later document and,
+    where ``same`` is given, equal in it too; else they are known to be shared
+    and looked at again, or, in the last round, go by their key as well.
+    """
+    order = np.lexsort((doc, same, key) if same is not None else (doc, key))
+    k, d = key[order], doc[order]
+    part = np.append(False, k[1:] == k[:-1])
+    equal = part if same is None else part & np.append(False, same[order][1:] == same[order][:-1])
+    begin = np.maximum.accumulate(np.where(equal, 0, np.arange(len(k))))
+    found = equal & (d > d[begin])
+    shared = part | np.append(part[1:], False)
+    known, out = np.empty(len(k), np.int64), np.empty(len(k), np.uint64)
+    known[order] = np.where(found, FOUND, np.where(shared, SHARED, 0))
+    out[order] = np.where(found if last else part, doubled(d.view(np.uint64), packed[order].view(np.uint64)), k)
+    return out, known
+
+
+def _sorted(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.repartition("h").sortWithinPartitions("h", *more)
+
+
 def _anchored(docs: DataFrame) -> DataFrame:
-    """All runs: name ``h`` of the anchor, document, packed run."""
+    """All runs by the name ``h`` of the anchor: name ``c`` of the context, document, packed run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_bytes", PIECE):
             ids, variants = _numbers(part, "_id"), _numbers(part, "_variant")
             for group in _cut(_texts(part)):
-                piece, low, at, high, name = runs([p for _, _, p in group])
+                piece, low, at, high, name, context = runs([p for _, _, p in group])
                 owner = np.array([i for i, _, _ in group])[piece]
                 start = low + np.array([o for _, o, _ in group])[piece]
                 packed = (start << _START) | (variants[owner] << _VARIANT) | (at << _ANCHOR) | (high << _LAST)
-                order = np.argsort(name, kind="stable")
-                sorted_ = name[order]
-                same = np.append(False, sorted_[1:] == sorted_[:-1])
-                known = np.empty(len(order), bool)
-                known[order] = same | np.append(same[1:], False)
-                later = np.empty(len(order), bool)
-                later[order] = same
-                doc = ids[owner]
-                # all but one of a shared name go by a number of their own
-                key = np.where(later, doubled(doc.view(np.uint64), packed.view(np.uint64)), name)
+                key, known = _folded(name, ids[owner], packed, context)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(doc), pa.array(packed | known)], names=["h", "_id", "run"]
+                    [pa.array(key.view(np.int64)), pa.array(context.view(np.int64)), pa.array(ids[owner]), pa.array(packed | known)],
+                    names=["h", "c", "_id", "run"],
                 )
 
-    rows = docs.mapInArrow(run, "h bigint, _id bigint, run bigint")
-    return rows.repartition("h").sortWithinPartitions("h")
+    return _sorted(docs.mapInArrow(run, "h bigint, c bigint, _id bigint, run bigint"), "c", "_id")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Runs whose anchor is not unique, by document."""
+    """Runs that are found, and those to look at again: ``_id``, ``run``, ``found``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, mask in with_company(batches, "h"):
-            packed = batch.column("run").to_numpy()
-            yield batch.filter(pa.array(mask | (packed & 1 == 1))).select(["_id", "run"])
+        before = None
+        for batch, company in with_company(batches, "h"):
+            h, c, ids, packed = (batch.column(n).to_numpy() for n in ("h", "c", "_id", "run"))
+            known = packed & 3
+            same_h = np.append(before is not None and h[0] == before[0], h[1:] == h[:-1])
+            same_c = same_h & np.append(before is not None and c[0] == before[1], c[1:] == c[:-1])
+            begin = np.maximum.accumulate(np.where(same_c, -1, np.arange(len(h))))
+            first = np.where(begin < 0, before[2] if before else 0, ids[np.maximum(begin, 0)])
+            found = (known == FOUND) | (same_c & (ids > first))
+            # an anchor with one context only has nothing more to find; groups at the ends of a batch are not told
+            starts = np.flatnonzero(~same_h)
+            group = np.cumsum(~same_h)
+            several = np.ones(len(h), bool)
+            if len(starts) > 1:
+                contexts = np.add.reduceat((~same_c).astype(int) + (known == SHARED), starts)
+                inside = (group > 1 - int(not same_h[0])) & (group < group[-1])
+                several[inside] = (contexts > 1)[group[inside] - 1]
+            keep = found | ((company | (known == SHARED)) & several)
+            before = (h[-1], c[-1], int(first[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(packed), pa.array(found)], names=["_id", "run", "found"]
+            ).filter(pa.array(keep))
 
-    return rows.mapInArrow(run, "_id bigint, run bigint")
+    return rows.mapInArrow(run, "_id bigint, run bigint, found boolean")
 
 
 def _variant() -> Column:
     return F.shiftright("run", _VARIANT).bitwiseAND(F.lit(MAX_VARIANTS - 1)).alias("_variant")
 
 
-def _contexts(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """Context and document of runs; ``runs`` with one context in a task and a document are one row.
+def _with_runs(docs: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+    """Texts with the runs of each document."""
+    by_doc = rows.groupBy("_id", _variant()).agg(F.collect_list("run").alias("runs"))
+    return docs.join(by_doc, ["_id", "_variant"], how).select("_id", "_bytes", "runs")
+
+
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of texts by pieces: document, packed run, place of its start in the names of strings of 32, and these."""
+    for part in slices(batches, "_bytes", PIECE):
+        ids, texts, lists = _numbers(part, "_id"), _texts(part), part.column("runs")
+        packed = [np.sort(lists[i].values.to_numpy()) for i in range(len(texts))]
+        for group in _cut(texts):
+            offset, docs, rows, places = 0, [], [], []
+            for i, begin, piece in group:
+                low, high = np.searchsorted(packed[i] >> _START, [begin, begin + PIECE])
+                own = packed[i][low:high]
+                docs.append(np.full(len(own), ids[i]))
+                rows.append(own)
+                places.append((own >> _START) - begin + offset)
+                offset += len(piece)
+            # runs reach over the end of a piece by less than its overlap only if their strings do, and those are whole
+            half = names(np.frombuffer(b"".join(p for _, _, p in group), np.uint8))[2]
+            yield np.concatenate(docs), np.concatenate(rows), np.concatenate(places), half
 
-    Runs that have an earlier document of the same task with the same context
-    are found already, their context is null.
-    """
+
+def _sided(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The runs again, cut in those left of and at the anchor, by the name of what their strings have in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_bytes", PIECE):
-            ids = _numbers(part, "_id").tolist()
-            found: dict[bytes, dict[int, list[int]]] = {}
-            for doc, text, packed in zip(ids, _texts(part), part.column("runs").to_pylist(), strict=True):
-                for p in packed:
-                    start = p >> _START
-                    context = text[start : start + ((p >> _LAST) & 31) + LENGTH]
-                    found.setdefault(context, {}).setdefault(doc, []).append(p)
-            contexts, docs_, lists = [], [], []
-            for context, by_doc in found.items():
-                first = min(by_doc)
-                for doc, packed in by_doc.items():
-                    contexts.append(context if doc == first else None)
-                    docs_.append(doc)
-                    lists.append(packed)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(contexts, pa.binary()), pa.array(docs_, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                names=["context", "_id", "runs"],
-            )
+        for doc, packed, place, half in _halves(batches):
+            at, last = (packed >> _ANCHOR) & 31, (packed >> _LAST) & 31
+            rest = packed & (MAX_VARIANTS - 1 << _VARIANT)
+            for side, low, high, where in (
+                (1, np.zeros_like(at), np.minimum(last, at - LEFT), place + at - LEFT),
+                (2, np.maximum(0, at - LEFT + 1), last, place + at),
+            ):
+                some = low <= high
+                name = doubled(half[where[some]], np.full(int(some.sum()), side, np.uint64))
+                start = (packed[some] >> _START) + low[some]
+                cut = (start << _START) | rest[some] | ((high - low)[some] << _LAST)
+                key, known = _folded(name, doc[some], cut)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), pa.array(doc[some]), pa.array(cut | (known > 0))], names=["h", "_id", "run"]
+                )
 
-    by_doc = shared.groupBy("_id", _variant()).agg(F.collect_list("run").alias("runs"))
-    joined = docs.join(by_doc, ["_id", "_variant"]).select("_id", "_bytes", "runs")
-    return joined.mapInArrow(run, "context binary, _id bigint, runs array<bigint>")
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, company in with_company(batches, "h"):
+            known = batch.column("run").to_numpy() & 3
+            yield batch.filter(pa.array(company | (known > 0))).select(["_id", "run"])
 
+    named = _with_runs(docs, rows).mapInArrow(run, "h bigint, _id bigint, run bigint")
+    return _sorted(named).mapInArrow(alone, "_id bigint, run bigint")
 
-def _settled(contexts: DataFrame) -> DataFrame:
-    """The rows again; the context stays only where no earlier document has it."""
+
+def _ends(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Starts found one by one, each as a run of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context, first = None, 0
+        for doc, packed, place, half in _halves(batches):
+            count = ((packed >> _LAST) & 31) + 1
+            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            start = np.repeat(packed >> _START, count) + step
+            cut = (start << _START) | np.repeat(packed & (MAX_VARIANTS - 1 << _VARIANT), count)
+            where, owner = np.repeat(place, count) + step, np.repeat(doc, count)
+            left, right = half[where], half[where + LENGTH - HALF]
+            key, known = _folded(doubled(left, right), owner, cut, left, last=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(right.view(np.int64)), pa.array(owner), pa.array(cut | known)],
+                names=["h", "c", "_id", "run"],
+            )
+
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
         for batch in batches:
-            column = batch.column("context")
-            ids = batch.column("_id").to_numpy()
-            if not len(ids):
+            if not batch.num_rows:
                 continue
-            equal = pa.compute.equal(column.slice(1), column.slice(0, len(ids) - 1))
-            same = np.append(column[0].as_py() == context, pa.compute.fill_null(equal, False).to_numpy(zero_copy_only=False))
-            same = same.astype(bool) & column.is_valid().to_numpy(zero_copy_only=False)
-            at = np.maximum.accumulate(np.where(same, -1, np.arange(len(ids))))
-            firsts = np.where(at < 0, first, ids[np.maximum(at, 0)])
-            context, first = column[-1].as_py(), int(firsts[-1])
-            found = same & (ids > firsts)
-            kept = pa.compute.if_else(pa.array(found), pa.scalar(None, pa.binary()), column)
-            yield pa.RecordBatch.from_arrays([kept, batch.column("_id"), batch.column("runs")], names=batch.schema.names)
-
-    own = F.xxhash64("_id", F.get("runs", F.lit(0)))
-    route = F.when(F.col("context").isNull(), own).otherwise(F.xxhash64("context"))
-    rows = contexts.withColumn("route", route).repartition("route").sortWithinPartitions("context", "_id").drop("route")
-    return rows.mapInArrow(run, "context binary, _id bigint, runs array<bigint>")
-
-
-def _ends(firsts: DataFrame) -> DataFrame:
-    """Starts found one by one where an anchor has several contexts: ``_id``, packed starts."""
-    head = F.get("runs", F.lit(0))
-    at = F.shiftright(head, _ANCHOR).bitwiseAND(F.lit(31)).cast("int")
-    last = F.shiftright(head, _LAST).bitwiseAND(F.lit(31)).cast("int")
-    rows = firsts.select(
-        "context", "_id", "runs", last.alias("last"), F.substr("context", at + 1, F.lit(GRAM)).alias("gram")
-    )
-    several = rows.groupBy("gram").agg(F.min("_id").alias("a"), F.max("_id").alias("b")).where("a < b").select("gram")
-    open_ = rows.join(several, "gram", "left_semi")
-    each = open_.select("context", "_id", "runs", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("j"))
-    half = lambda offset: F.xxhash64(F.substr("context", F.col("j") + 1 + offset, F.lit(HALF)))
-    ranked = stored(each.select(half(0).alias("k"), half(LENGTH - HALF).alias("l"), "_id", "j", "runs"), "pairs")
-    least = ranked.groupBy("k", "l").agg(F.min("_id").alias("a"), F.max("_id").alias("b")).where("a < b").drop("b")
-    found = ranked.join(least, ["k", "l"]).where("_id > a")
-    # a start is a run of its own
-    single = lambda r, j: F.shiftleft(F.shiftright(r, _START) + j, _START).bitwiseOR(
-        r.bitwiseAND(F.lit(((1 << _START) - 1) & ~((1 << _ANCHOR) - 1)))
-    )
-    return found.select("_id", F.transform("runs", lambda r: single(r, F.col("j"))).alias("runs"))
+            h, c, ids, packed = (batch.column(n).to_numpy() for n in ("h", "c", "_id", "run"))
+            same = np.append(False, (h[1:] == h[:-1]) & (c[1:] == c[:-1]))
+            same[0] = before is not None and (h[0], c[0]) == before[:2]
+            begin = np.maximum.accumulate(np.where(same, -1, np.arange(len(h))))
+            first = np.where(begin < 0, before[2] if before else 0, ids[np.maximum(begin, 0)])
+            before = (h[-1], c[-1], int(first[-1]))
+            yield batch.filter(pa.array((packed & 3 == FOUND) | (same & (ids > first)))).select(["_id", "run"])
+
+    named = _with_runs(docs, rows).mapInArrow(run, "h bigint, c bigint, _id bigint, run bigint")
+    return _sorted(named, "c", "_id").mapInArrow(later, "_id bigint, run bigint")
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -268,11 +321,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = _numbered(docs, id_col, text_col)
     named = rows.where("_id IS NOT NULL")
     shared = stored(_shared(_anchored(named)), "anchors")
-    settled = stored(_settled(_contexts(named, shared)), "contexts")
-    ends = stored(_ends(settled.where("context IS NOT NULL")), "ends")
-    whole = settled.where("context IS NULL").select("_id", F.explode("runs").alias("run"))
-    found = whole.union(ends.select("_id", F.explode("runs").alias("run")))
-    by_doc = found.groupBy("_id", _variant()).agg(F.collect_list("run").alias("runs"))
+    open_ = stored(_sided(named, shared.where("NOT found").select("_id", "run")), "open")
+    ends = stored(_ends(named, open_), "ends")
+    found = shared.where("found").select("_id", "run").union(ends)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_bytes", PIECE):
@@ -293,5 +344,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("_id"), *columns], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = rows.join(by_doc, ["_id", "_variant"], "left").select("_id", "_bytes", "runs")
+    joined = _with_runs(rows, found, "left")
     return joined.mapInArrow(run, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
