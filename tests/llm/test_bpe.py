@@ -50,7 +50,7 @@ def test_null_ids_and_empty_table(spark):
 
 
 def test_query(spark, sf, enc):
-    from weirstone.llm.registry import QUERIES
+    from weirstone.llm.queries import QUERIES
 
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = QUERIES["op7_byte_bpe"](spark, sf).collect()

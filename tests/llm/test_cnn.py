@@ -4,7 +4,7 @@ import numpy as np
 
 from cases import clashing, frame, hard_texts, prose
 from weirstone.llm import cnn
-from weirstone.llm.registry import QUERIES
+from weirstone.llm.queries import QUERIES
 
 
 def test_chunks_cover_every_window():

@@ -24,7 +24,9 @@ def corpus():
 def test_stages_against_brute_force(spark, tmp_path):
     docs = frame(spark, corpus())
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    labels = spark.createDataFrame([(20, 1, 0), (21, 1, 0), (11, 0, 0)], "doc_id bigint, quality int, toxic int")
+    # all but the symbol-ridden text are trusted, so only that one stands out
+    trusted = set(range(1, docs.count() + 1)) - {11}
+    labels = spark.createDataFrame([(i, int(i in trusted), 0) for i in [*trusted, 11]], "doc_id bigint, quality int, toxic int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     sf = str(tmp_path)
     steps = dict(corpus_pipeline.STAGES)
@@ -34,7 +36,8 @@ def test_stages_against_brute_force(spark, tmp_path):
 
     good = steps["quality_rules"](spark, docs, sf).cache()
     assert good.columns == columns
-    assert sorted(i for i, _ in rows(good)) == [r[0] for r in rules(rows(docs), {20, 21}) if r[-1]]
+    assert sorted(i for i, _ in rows(good)) == [r[0] for r in rules(rows(docs), trusted) if r[-1]]
+    assert 11 not in dict(rows(good))
 
     lined = steps["line_templates"](spark, good, sf).cache()
     assert lined.columns == columns and lined.dtypes == docs.dtypes
