@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from cases import WORD, clashing, frame, hard_texts
+from cases import WORD, clashing, frame, hard_texts, prose
 from weirstone.llm import quality_rules as rules
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -72,6 +72,15 @@ def test_table_against_brute_force(spark, sf):
     assert run(df, labels) == brute(rows, good)
 
 
+def test_every_trusted_document_counts(spark):
+    ids = spark.range(1, 30_001)
+    labels = ids.select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert rules.trusted_ids(labels.union(labels)).count() == 30_000
+    # with every document trusted, both multinomials are the same
+    texts = [f"{prose(800 + k, 60)} w{k}" for k in range(40)]
+    assert rules.ratios(frame(spark, texts), labels).where("_ratio <> 0").count() == 0
+
+
 def test_empty_and_unlabelled(spark):
     none = spark.createDataFrame([], LABELS)
     assert run(frame(spark, []), none) == []

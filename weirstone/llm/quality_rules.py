@@ -8,9 +8,9 @@ The log ratio of a bucket is rounded to a multiple of ``2 ** -SCALE_BITS``, so
 sums are exact whole numbers, and every document is kept or rejected by the
 same comparison wherever and whenever it runs.
 
-The trusted set is a bounded sample: the ``MAX_TRUSTED`` labelled documents
-with the smallest hashes of their id, so that their ids may be broadcast.  The
-table of buckets has a fixed size and is broadcast too.
+The trusted set is every document labelled 1, however many: their ids are
+joined to the documents, and no side is hinted.  The table of buckets has a
+fixed size and goes out as a constant.
 
 Defined results: a null or empty text has no words and fails the base rules;
 with no trusted documents all ratios are 0 and the base rules decide alone; a
@@ -29,7 +29,6 @@ BITS = 14
 PRIOR = 8  # added to each bucket's count in both multinomials
 SCALE_BITS = 20
 MIN_MEAN = -0.08  # nats per n-gram
-MAX_TRUSTED = 20_000
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
 SYMBOLS = "#*$%&|<>"
@@ -98,16 +97,16 @@ def _grams(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    """At most ``MAX_TRUSTED`` ids of documents labelled 1."""
-    good = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("bigint").alias("_trusted")).dropna().distinct()
-    return good.orderBy(F.xxhash64("_trusted"), "_trusted").limit(MAX_TRUSTED)
+    """The ids of all documents labelled 1, each once."""
+    return labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("bigint").alias("_trusted")).dropna().distinct()
 
 
 def ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Log ratios by bucket, as whole numbers: ``_bucket``, ``_ratio``; ``2 ** BITS`` rows."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), words(F.col(text_col)).alias("_words"))
-    marked = rows.join(F.broadcast(trusted_ids(labels)), F.col("_id") == F.col("_trusted"), "left").select(
-        F.col("_trusted").isNotNull().cast("bigint").alias("_good"), "_words"
+    # the join may move the rows, so texts are cut into words after it
+    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    marked = rows.join(trusted_ids(labels), F.col("_id") == F.col("_trusted"), "left").select(
+        F.col("_trusted").isNotNull().cast("bigint").alias("_good"), words(F.col("_text")).alias("_words")
     )
     grams = _grams(marked, ["_good"])
     # both kinds of n-gram are counted before they meet, else each row would be there twice
