@@ -1,8 +1,8 @@
 """The corpus pipeline: stages over documents, each written and read again by the next.
 
-Quality rules reject documents; recurring line templates are dropped, and
-documents that are left without a word with them; of near duplicates the
-smallest id stays; sources are mixed to their target weights, so a document may
+Quality rules reject documents; recurring line templates and long lines that
+repeat word for word are dropped, and documents that are left without a word
+with them; of near duplicates the smallest id stays; sources are mixed to their target weights, so a document may
 then be there several times; every text becomes token ids.  All stages but the
 last keep the columns of documents; ``n_chars`` follows the text.
 """
@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without recurring line templates; a document that is nothing else goes."""
-    done = templates.drop_templates(docs)
+    """Texts without recurring line templates and repeated long lines; a document that is nothing else goes."""
+    done = templates.drop_templates(docs, exact=True)
     left = (F.col("n_dropped") == 0) | (F.length(F.translate("text", SPACES, "")) > 0)
     kept = done.where(left)
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("row.n_chars"))}

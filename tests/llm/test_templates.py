@@ -1,4 +1,5 @@
 from cases import clashing, frame, hard_texts, prose
+import corpus_pipeline
 from weirstone.llm import templates
 
 
@@ -48,3 +49,17 @@ def test_hard_rows(spark):
 def test_columns_stay(spark):
     df = clashing(frame(spark, hard_texts()))
     assert templates.drop_templates(df).select("row.*").columns == df.columns
+
+
+def test_long_lines_repeat_from_two_documents(spark, sf):
+    shared, short = prose(900, 60, 99) + " 7 of 9", prose(901, 9, 99)
+    own = [prose(910 + k, 40, 99) for k in range(3)]
+    texts = [
+        f"{own[0]}\n{shared}\n{short}\n{shared}",
+        f"{shared}\n{own[1]}\n{short}",
+        f"{own[2]}\n{own[2]}",  # twice in one document only
+        shared,
+    ]
+    out = corpus_pipeline.lines(spark, frame(spark, texts), sf).collect()
+    assert {r.doc_id: r.text for r in out} == {1: f"{own[0]}\n{shared}\n{short}", 2: f"{own[1]}\n{short}", 3: texts[2]}
+    assert all(n == 0 for _, _, n in run(frame(spark, texts)).values())  # as in the query's SQL

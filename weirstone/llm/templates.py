@@ -9,6 +9,11 @@ are constants (``SIMILARITY``) and ``MIN_DOCS`` documents have a line of it.
 Its first line, by document and place, stays; all others are dropped, so a
 group of copies does not lose its text altogether.
 
+With ``exact=True`` a line of ``EXACT_WORDS`` words or more that stands word for
+word, digits included, in ``EXACT_DOCS`` documents is dropped too, after its
+first place.  ``MIN_DOCS`` then only tells constants from fields.  The first
+line of a template is also the first of its copies, so both rules keep it.
+
 Only leaves with enough documents can hold such a template, and counting leaves
 takes a hash per line; words are spread out and counted only for the distinct
 lines of those leaves.  Counts of one word at one place, which a third of all
@@ -30,6 +35,8 @@ from weirstone.llm.common import WORD, let, stored
 
 DEPTH = 3
 MIN_DOCS = 10
+EXACT_DOCS = 2  # for lines that are equal word for word
+EXACT_WORDS = 10  # shorter ones may be equal by chance
 SIMILARITY = 75  # per cent of the words without digits
 FIELD = "<*>"
 SALTS = 16
@@ -74,7 +81,24 @@ def _templates(lines: DataFrame) -> DataFrame:
     return made.where((F.col("_all") > 0) & (100 * F.col("_constants") >= SIMILARITY * F.col("_all"))).select(*key, "_t", "_u")
 
 
-def _dropped(rows: DataFrame) -> DataFrame:
+def _repeats(rows: DataFrame) -> DataFrame:
+    """Places (``_id``, ``_mark``, ``_pos``) of long lines that an earlier document or place has word for word."""
+    each = rows.select("_id", "_mark", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
+    worded = each.select("_id", "_mark", "_pos", F.regexp_extract_all("_line", F.lit(WORD), F.lit(0)).alias("_words"))
+    key = ["_k", "_l"]
+    long = worded.where(F.size("_words") >= EXACT_WORDS).select(
+        "_id", "_mark", "_pos", F.xxhash64(F.lit(1), "_words").alias("_k"), F.xxhash64(F.lit(2), "_words").alias("_l")
+    )
+    several = stored(long.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= EXACT_DOCS).select("_k"), "copied")
+    held = stored(long.join(several, "_k", "left_semi"), "copies")
+    once = held.groupBy(*key, "_id", "_mark").agg(F.min("_pos").alias("_pos"))
+    first = F.struct("_id", "_mark", "_pos")
+    recurring = once.groupBy(*key).agg(F.count(F.lit(1)).alias("_docs"), F.min(first).alias("_first"))
+    out = held.join(recurring.where(F.col("_docs") >= EXACT_DOCS), key).where(~first.eqNullSafe(F.col("_first")))
+    return out.select("_id", "_mark", "_pos")
+
+
+def _dropped(rows: DataFrame, exact: bool) -> DataFrame:
     """Places of the lines to drop, by document."""
     leaves = F.transform(F.split("_text", "\n"), lambda x: let(_words(x), _leaf))
     each = rows.select(F.explode(F.array_distinct(leaves)).alias("_leaf"))
@@ -92,14 +116,22 @@ def _dropped(rows: DataFrame) -> DataFrame:
     first = F.struct("_id", "_mark", "_pos")
     recurring = once.groupBy(*template).agg(F.count(F.lit(1)).alias("_docs"), F.min(first).alias("_first"))
     out = placed.join(recurring.where(F.col("_docs") >= MIN_DOCS), template).where(~first.eqNullSafe(F.col("_first")))
+    out = out.select("_id", "_mark", "_pos")
+    if exact:
+        out = out.unionByName(_repeats(rows))
     return out.groupBy("_id", "_mark").agg(F.array_sort(F.collect_set("_pos")).alias("_drop"))
 
 
-def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row`` (all columns of ``docs``), ``text`` without the dropped lines, ``n_lines``, ``n_dropped``."""
+def drop_templates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", exact: bool = False
+) -> DataFrame:
+    """``row`` (all columns of ``docs``), ``text`` without the dropped lines, ``n_lines``, ``n_dropped``.
+
+    ``exact``: drop long lines that are repeated word for word from ``EXACT_DOCS`` documents on.
+    """
     text = F.col(text_col).cast("string")
     keys = (F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_mark"), text.alias("_text"))
-    dropped = stored(_dropped(docs.select(*keys)), "dropped")
+    dropped = stored(_dropped(docs.select(*keys), exact), "dropped")
     rows = docs.select(F.struct("*").alias("row"), *keys).alias("d")
     same = F.expr("d._id <=> x._id AND d._mark = x._mark")
     joined = rows.join(dropped.alias("x"), same, "left").select("row", "_text", "_drop")
