@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from weirstone.operators.ordering import global_rank
 from weirstone.session import materialise
 
+# Nodes and links of a group that one row may hold while its levels are worked out.
+ROW_LIMIT = 512
+
 
 def edges_from_refs(nodes: DataFrame, group: Sequence[str], node: str, refs: Column) -> DataFrame:
     """Edges (node, upstream) from a list of upstream ids per node; blanks are no edge."""
@@ -46,18 +49,76 @@ def degrees(nodes: DataFrame, edges: DataFrame, group: Sequence[str]) -> DataFra
     return total.where("known").drop("known")
 
 
-def topological_levels(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+def topological_levels(
+    nodes: DataFrame, edges: DataFrame, group: Sequence[str] = (), row_limit: int = ROW_LIMIT
+) -> DataFrame:
     """Level of every node: 0 without upstream, else one more than its highest upstream.
 
-    The level is null for a node on a cycle or downstream of one.  Runs of
-    nodes with one upstream are contracted by pointer doubling, in a number of
-    rounds that grows with the logarithm of the longest run; what is left are
-    the nodes with several upstreams, which are peeled off layer by layer.  One
-    group's shape does not change how another is solved.
+    The level is null for a node on a cycle or downstream of one.  Groups of at
+    most ``row_limit`` nodes and links are solved each in a row of its own, all
+    at once.  In the others, runs of nodes with one upstream are contracted by
+    pointer doubling, in a number of rounds that grows with the logarithm of
+    the longest run; what is left are the nodes with several upstreams, which
+    are peeled off layer by layer.  One group's shape does not change how
+    another is solved.
     """
+    group = list(group)
     ids = nodes.select(*group, "node").distinct()
     known = materialise(prune_edges(ids, edges, group), "edges")
-    return _levels(ids, known, list(group))
+    if not group:
+        return _levels(ids, known, group)
+    none = F.lit(None).cast(known.schema["upstream"].dataType)
+    both = materialise(ids.select("*", none.alias("upstream")).unionByName(known), "graph")
+    sizes = both.groupBy(*group).count()
+    large = materialise(sizes.where(F.col("count") > row_limit).select(*group), "large")
+    if large.isEmpty():
+        return _levels_in_rows(both, group)
+    small = _levels_in_rows(both.join(large, group, "left_anti"), group)
+    rest = both.join(large, group, "left_semi")
+    return small.unionByName(
+        _levels(rest.where("upstream IS NULL").drop("upstream"), rest.where("upstream IS NOT NULL"), group)
+    )
+
+
+def _levels_in_rows(both: DataFrame, group: list[str]) -> DataFrame:
+    """Levels of small groups: a group becomes one row of nodes, each with the places of its upstreams.
+
+    ``both`` has each node once with a null upstream, and the links.  A round
+    gives its number to all open nodes whose upstreams have a level; a group
+    has at most as many rounds as nodes, and those after its last change pass.
+    """
+    listed = both.groupBy(*group, "node").agg(F.collect_list("upstream").alias("ups"))
+    grouped = listed.groupBy(*group).agg(F.collect_list(F.struct("node", "ups")).alias("nodes"))
+    names = F.transform("nodes", lambda n: n["node"])
+    placed = grouped.select(
+        *group,
+        names.alias("names"),
+        F.transform(
+            "nodes", lambda n: F.transform(n["ups"], lambda u: (F.array_position(names, u) - 1).cast("int"))
+        ).alias("ups"),
+    )
+
+    def free(ups: Column, levels: Column) -> Column:
+        return F.forall(ups, lambda u: F.get(levels, u).isNotNull())
+
+    def layer(state: Column, number: Column) -> Column:
+        levels = state["levels"]
+        after = F.transform(
+            F.col("ups"),
+            lambda ups, i: F.coalesce(F.get(levels, i), F.when(free(ups, levels), number)),
+        )
+        # a round that settles nothing is the last: the nodes that are left hang on a cycle
+        step = F.transform(F.array(after), lambda a: F.struct(a.alias("levels"), (a == levels).alias("done")))
+        return F.when(state["done"], state).otherwise(F.get(step, 0))
+
+    start = F.struct(
+        F.transform("ups", lambda _: F.lit(None).cast("bigint")).alias("levels"), F.lit(False).alias("done")
+    )
+    rounds = F.sequence(F.lit(0).cast("bigint"), F.size("names").cast("bigint") - 1)
+    solved = placed.withColumn("levels", F.aggregate(rounds, start, layer)["levels"])
+    pairs = F.arrays_zip("names", "levels")
+    flat = solved.select(*group, F.explode(pairs).alias("p"))
+    return flat.select(*group, F.col("p.names").alias("node"), F.col("p.levels").alias("level"))
 
 
 def _levels(ids: DataFrame, known: DataFrame, group: list[str]) -> DataFrame:
@@ -162,22 +223,102 @@ def topological_order(
 def cyclic_nodes(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Nodes that never become free, with ``on_cycle``.
 
-    The others of them lie only downstream of a cycle: peeling again against
-    the edge direction sets them free.
+    The others of them lie downstream of a cycle; some of these lead to a
+    further cycle without being on one.
     """
     group = list(group)
     key = [*group, "node"]
-    ids = nodes.select(*key).distinct()
-    known = materialise(prune_edges(ids, edges, group), "edges")
-    levels = _levels(ids, known, group)
-    stuck = materialise(levels.where(F.col("level").isNull()).select(*key), "stuck")
-    if stuck.isEmpty():
-        return stuck.withColumn("on_cycle", F.lit(True))
-    back = prune_edges(stuck, known, group).select(
-        *group, F.col("upstream").alias("node"), F.col("node").alias("upstream")
-    )
-    tail = _levels(stuck, materialise(back, "edges"), group)
-    return tail.select(*key, F.col("level").isNull().alias("on_cycle"))
+    stuck, known = _stuck(nodes, edges, group)
+    found = _components(stuck, known, group).select(*key, F.lit(True).alias("on_cycle"))
+    return stuck.join(found, key, "left").withColumn("on_cycle", F.coalesce("on_cycle", F.lit(False)))
+
+
+def cycle_components(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """Every node on a cycle with ``component``, the smallest node of its strongly connected component.
+
+    Two nodes are in one component if each can be reached from the other; a
+    node that is its own upstream is one by itself.
+    """
+    group = list(group)
+    return _components(*_stuck(nodes, edges, group), group)
+
+
+def _stuck(nodes: DataFrame, edges: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Nodes on or below a cycle, and the known links between them."""
+    levels = topological_levels(nodes, edges, group)
+    stuck = materialise(levels.where(F.col("level").isNull()).select(*group, "node"), "stuck")
+    return stuck, materialise(prune_edges(stuck, edges, group), "edges")
+
+
+def _components(nodes: DataFrame, links: DataFrame, group: list[str]) -> DataFrame:
+    """Strongly connected components of two or more nodes, or of one with a link to itself.
+
+    Every node takes the least colour among those that lead to it.  Where a
+    colour started, the nodes of that colour that lead back to the start are a
+    component.  No component has two colours, so links between colours go, and
+    the next round works on what is left.  Colours are ordered by hash: a chain
+    of components then takes a number of rounds that grows with its logarithm
+    on average, however the nodes are numbered.
+    """
+    key = [*group, "node"]
+    found: list[DataFrame] = []
+    while not links.isEmpty():
+        coloured = _spread_colours(nodes.select(*key), links, group)
+        ends = coloured.select(*key, "colour")
+        upper = ends.withColumnRenamed("node", "upstream")
+        inner = materialise(links.join(ends, key).join(upper, [*group, "upstream", "colour"]), "inner")
+        members = _reach_back(ends.where("colour.node = node"), inner, group)
+        found.append(members)
+        open_ends = members.select(*key)
+        links = inner.select(*key, "upstream").join(open_ends, key, "left_anti")
+        links = links.join(open_ends.withColumnRenamed("node", "upstream"), [*group, "upstream"], "left_anti")
+        links = materialise(_inner_links(links, group), "links")
+        nodes = links.select(*key).distinct()
+    if not found:
+        return nodes.select(*key, F.col("node").alias("component")).limit(0)
+    every = reduce(DataFrame.unionByName, found)
+    parts = every.groupBy(*group, "colour").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("_n"))
+    named = every.join(parts, [*group, "colour"])
+    return named.where("_n > 1 OR own").select(*key, "component")
+
+
+def _inner_links(links: DataFrame, group: list[str]) -> DataFrame:
+    """Links whose lower end has a link below it and whose upper end has one above it: others are on no cycle."""
+    lower = links.select(*group, F.col("upstream").alias("node")).distinct()
+    upper = links.select(*group, F.col("node").alias("upstream")).distinct()
+    return links.join(lower, [*group, "node"], "left_semi").join(upper, [*group, "upstream"], "left_semi")
+
+
+def _spread_colours(nodes: DataFrame, links: DataFrame, group: list[str]) -> DataFrame:
+    """Each node with the least colour of itself and all nodes above it; only changes travel on."""
+    key = [*group, "node"]
+    colour = F.struct(F.xxhash64("node").alias("hash"), F.col("node").alias("node"))
+    state = materialise(nodes.select(*key, colour.alias("colour"), F.lit(True).alias("fresh")), "colours")
+    while True:
+        moved = state.where("fresh").select(*group, F.col("node").alias("upstream"), "colour")
+        best = links.join(moved, [*group, "upstream"]).groupBy(*key).agg(F.min("colour").alias("_new"))
+        less = F.coalesce(F.col("_new") < F.col("colour"), F.lit(False))
+        after = state.join(best, key, "left").select(
+            *key, F.when(less, F.col("_new")).otherwise(F.col("colour")).alias("colour"), less.alias("fresh")
+        )
+        state = materialise(after, "colours")
+        if state.where("fresh").isEmpty():
+            return state.drop("fresh")
+
+
+def _reach_back(starts: DataFrame, inner: DataFrame, group: list[str]) -> DataFrame:
+    """Nodes that lead to the start of their colour, with ``own``: has a link to itself."""
+    key = [*group, "node"]
+    own = inner.where("node = upstream").select(*key).distinct().withColumn("own", F.lit(True))
+    fresh = materialise(starts.select(*key, "colour"), "members")
+    done = [fresh]
+    while not fresh.isEmpty():
+        above = inner.join(fresh.select(*key), key, "left_semi").select(*group, F.col("upstream").alias("node"), "colour").distinct()
+        known = reduce(DataFrame.unionByName, done).select(*key)
+        fresh = materialise(above.join(known, key, "left_anti"), "members")
+        done.append(fresh)
+    every = reduce(DataFrame.unionByName, done)
+    return materialise(every.join(own, key, "left").withColumn("own", F.coalesce("own", F.lit(False))), "members")
 
 
 def cross_group_edges(pairs: DataFrame, left: str, right: str) -> DataFrame:

@@ -95,6 +95,62 @@ def cycle_nodes(spark, sf):
     return graph.cyclic_nodes(nodes, edges.unionByName(back))
 
 
+@query(
+    "conversation_levels",
+    """WITH RECURSIVE e AS (SELECT a.conv_id, a.turn AS node, b.turn AS upstream FROM conversations a JOIN conversations b
+           ON a.conv_id = b.conv_id AND (b.turn = a.turn - 1 OR b.turn = a.turn - 3) WHERE a.turn % 5 <> 0),
+         r AS (SELECT DISTINCT conv_id, turn AS node, 0::BIGINT AS level FROM conversations c
+               WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.conv_id = c.conv_id AND e.node = c.turn)
+           UNION SELECT e.conv_id, e.node, r.level + 1 FROM e JOIN r ON e.conv_id = r.conv_id AND e.upstream = r.node)
+       SELECT conv_id, node, MAX(level) AS level FROM r GROUP BY conv_id, node""",
+)
+def conversation_levels(spark, sf):
+    # Many small graphs: a turn hangs on the one before and the third before, every fifth turn on none.
+    turns = table(spark, sf, "conversations").select("conv_id", F.col("turn").alias("node"))
+    ups = F.array(F.col("node") - 1, F.col("node") - 3)
+    edges = turns.where("node % 5 <> 0").select("conv_id", "node", F.explode(ups).alias("upstream"))
+    return graph.topological_levels(turns, edges, ["conv_id"])
+
+
+# Blocks of eight customers: two cycles in a row with a customer between them and one below, and one that is its own upstream.
+_BLOCK_EDGES = "VALUES (0, 1), (1, 2), (2, 0), (3, 2), (4, 3), (4, 5), (5, 4), (6, 5), (7, 7)"
+
+
+@query(
+    "cycle_components",
+    f"""WITH RECURSIVE e AS (SELECT c_custkey - c_custkey % 8 + n AS node, c_custkey - c_custkey % 8 + u AS upstream
+           FROM customer, ({_BLOCK_EDGES}) v(n, u) WHERE c_custkey % 8 = 0),
+         k AS (SELECT e.* FROM e JOIN customer a ON e.node = a.c_custkey JOIN customer b ON e.upstream = b.c_custkey),
+         r AS (SELECT node, upstream AS above FROM k UNION SELECT r.node, k.upstream FROM r JOIN k ON r.above = k.node)
+       SELECT a.node, MIN(a.above) AS component FROM r a JOIN r b ON a.node = b.above AND a.above = b.node GROUP BY a.node""",
+)
+def cycle_components(spark, sf):
+    nodes, edges = _blocks(spark, sf)
+    return graph.cycle_components(nodes, edges)
+
+
+@query(
+    "cycles_in_a_row",
+    f"""WITH RECURSIVE e AS (SELECT c_custkey - c_custkey % 8 + n AS node, c_custkey - c_custkey % 8 + u AS upstream
+           FROM customer, ({_BLOCK_EDGES}) v(n, u) WHERE c_custkey % 8 = 0),
+         k AS (SELECT e.* FROM e JOIN customer a ON e.node = a.c_custkey JOIN customer b ON e.upstream = b.c_custkey),
+         r AS (SELECT node, upstream AS above FROM k UNION SELECT r.node, k.upstream FROM r JOIN k ON r.above = k.node),
+         c AS (SELECT DISTINCT node FROM r WHERE node = above)
+       SELECT node, BOOL_OR(node = above) AS on_cycle FROM r WHERE above IN (SELECT node FROM c) GROUP BY node""",
+)
+def cycles_in_a_row(spark, sf):
+    nodes, edges = _blocks(spark, sf)
+    return graph.cyclic_nodes(nodes, edges)
+
+
+def _blocks(spark, sf):
+    nodes = table(spark, sf, "customer").select(F.col("c_custkey").alias("node"))
+    first = F.col("node") - F.col("node") % 8
+    block = spark.sql(f"SELECT * FROM {_BLOCK_EDGES} AS t(n, u)").collect()
+    ends = F.array(*[F.struct((first + e.n).alias("node"), (first + e.u).alias("upstream")) for e in block])
+    return nodes, nodes.where("node % 8 = 0").select(F.explode(ends).alias("e")).select("e.*")
+
+
 @query(
     "edges_from_refs",
     """SELECT a.conv_id, CAST(a.turn AS VARCHAR) AS node, CAST(b.turn AS VARCHAR) AS upstream

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirstone.session import materialise
+
 _REF = (
     "struct<data:string,artifactType:string,externalWorkflowId:string,externalNodeId:string,"
     "crossCycleDependsOnOtherNode:boolean>"
@@ -86,15 +88,20 @@ def parse_with_rejects(texts: DataFrame, text: str, source_file: str) -> tuple[D
 
     A text is rejected if it is null or blank, if it is cut off or otherwise no
     JSON, or if a field has a value of another type than documents have.
+
+    The parse is written once, with the text of what failed beside it, and both
+    results read what was written: a filter or a field of a later step would
+    else carry the parse, with its whole schema, into every expression.
     """
     schema = T.StructType([*document_schema().fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     own = texts.select(F.col(source_file).alias("source_file"), F.col(text).cast("string").alias("value"))
     parsed = own.select("source_file", "value", F.from_json("value", schema, options).alias("d"))
-    blank = F.trim(F.coalesce("value", F.lit("")), F.lit(" \n\r\t")) == ""
-    bad = blank | F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()
-    good = parsed.where(~bad).select(*[f"d.`{f.name}`" for f in document_schema().fields], "source_file")
-    return good, parsed.where(bad).select("source_file", "value")
+    # a text that is not taken as a document at all has no row of fields to hold it
+    rows = materialise(parsed.withColumn("value", F.when(F.col("d").isNull(), F.col("value"))), "documents")
+    bad = F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()
+    good = rows.where(~bad).select(*[f"d.`{f.name}`" for f in document_schema().fields], "source_file")
+    return good, rows.where(bad).select("source_file", F.coalesce("value", f"d.{CORRUPT}").alias("value"))
 
 
 def scan_with_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
