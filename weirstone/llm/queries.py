@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import bpe, chat, cnn, crosspoly, jaccard, mixing, quality_rules, suffixes, surrogates, templates
+from weirstone.llm import (
+    bpe,
+    chat,
+    cnn,
+    crosspoly,
+    jaccard,
+    mixing,
+    phrases,
+    quality_rules,
+    suffixes,
+    surrogates,
+    templates,
+)
 from weirstone.llm.common import table
 from weirstone.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 
@@ -196,3 +208,44 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     found = jaccard.near_duplicates(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+PHRASE_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM (SELECT lang, unnest(pieces) AS piece FROM d)
+), s AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w WHERE len(words) > 0
+), g AS (
+  SELECT lang, k, words[i : i + k - 1] AS p FROM s, range(1, 6) r(k) WHERE i + k - 1 <= len(words)
+), t AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang HAVING sum(len(words)) > 0
+), f AS (
+  SELECT lang, k, p, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100
+), c AS (
+  SELECT f.lang, f.k, f.p, f.a, t.n, cut, l.a AS l, r.a AS r, (1000::HUGEINT * f.a * t.n) // (l.a::HUGEINT * r.a) AS score
+  FROM f JOIN t USING (lang), range(1, 5) x(cut)
+  JOIN f l ON l.lang = f.lang AND l.p = f.p[1 : cut] JOIN f r ON r.lang = f.lang AND r.p = f.p[cut + 1 : f.k]
+  WHERE f.k > 1 AND cut < f.k
+), b AS (
+  SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+), o AS (
+  SELECT lang, unnest([p[i : i + k - 2] for i in [1, 2]]) AS p, a FROM f WHERE k > 2
+), m AS (
+  SELECT lang, p, max(a) AS most FROM o GROUP BY ALL
+)
+SELECT * FROM (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.p, ' ')) AS rank,
+         array_to_string(b.p, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+  FROM b LEFT JOIN m ON m.lang = b.lang AND m.p = b.p WHERE most IS NULL OR 100 * most < 100 * a)
+WHERE rank <= 2000
+"""
+
+
+@query("op11_phrases", PHRASE_SQL)
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
