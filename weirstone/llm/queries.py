@@ -13,6 +13,7 @@ from weirstone.llm import (
     crosspoly,
     jaccard,
     mixing,
+    periods,
     phrases,
     quality_rules,
     suffixes,
@@ -249,3 +250,15 @@ WHERE rank <= 2000
 @query("op11_phrases", PHRASE_SQL)
 def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.collocations(table(spark, sf, "documents"))
+
+
+@query("op13_periods")
+def op13_periods(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("key")
+    )
+    found = periods.text_runs(docs, "key")
+    return found.select(
+        F.col("id").alias("doc_id"), "n_runs", "start", "length", "period",
+        F.expr("(1000 * length) div period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
