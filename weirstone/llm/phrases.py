@@ -70,34 +70,38 @@ def _chunk_number(order: int) -> int:
     return TaskContext.get().partitionId() << _CHUNK_BITS | order
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(limit: int):
     """One row per chunk: the occurrences of its words, and its words with their counts."""
-    order = 0
-    for part in (s for batch in batches for s in slices(iter([batch]), "text", CHUNK_BYTES)):
-        by_lang: dict[str, list[bytes]] = {}
-        for lang, text in zip(part.column("lang").to_pylist(), bytes_of(part, "text")):
-            words = by_lang.setdefault(lang, [])
-            words.append(_GAP)
-            words += pieces(text)
-        for lang, words in by_lang.items():
-            listed = pa.array(words, pa.binary()).dictionary_encode()
-            codes = listed.indices.to_numpy()
-            gap = int(codes[0])  # every list of a text begins with the gap
-            real = np.flatnonzero(codes != gap)
-            if not len(real):
-                continue
-            counts = np.bincount(codes[real], minlength=len(listed.dictionary))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "chunk": [_chunk_number(order)],
-                    "lang": [lang],
-                    "at": [real.astype("<i4").tobytes()],
-                    "place": [codes[real].astype("<i4").tobytes()],
-                    "words": pa.array([listed.dictionary.to_pylist()], pa.list_(pa.binary())),
-                    "n": pa.array([counts.tolist()], pa.list_(pa.int64())),
-                }
-            )
-            order += 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = 0
+        for part in (s for batch in batches for s in slices(iter([batch]), "text", limit)):
+            by_lang: dict[str, list[bytes]] = {}
+            for lang, text in zip(part.column("lang").to_pylist(), bytes_of(part, "text")):
+                words = by_lang.setdefault(lang, [])
+                words.append(_GAP)
+                words += pieces(text)
+            for lang, words in by_lang.items():
+                listed = pa.array(words, pa.binary()).dictionary_encode()
+                codes = listed.indices.to_numpy()
+                gap = int(codes[0])  # every list of a text begins with the gap
+                real = np.flatnonzero(codes != gap)
+                if not len(real):
+                    continue
+                counts = np.bincount(codes[real], minlength=len(listed.dictionary))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "chunk": [_chunk_number(order)],
+                        "lang": [lang],
+                        "at": [real.astype("<i4").tobytes()],
+                        "place": [codes[real].astype("<i4").tobytes()],
+                        "words": pa.array([listed.dictionary.to_pylist()], pa.list_(pa.binary())),
+                        "n": pa.array([counts.tolist()], pa.list_(pa.int64())),
+                    }
+                )
+                order += 1
+
+    return run
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +177,7 @@ def mine(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.col(text_col).cast("string").alias("text"),
     )
-    found = stored(rows.mapInArrow(_words, f"{_RELATION}, words array<binary>, n array<bigint>"), "words")
+    found = stored(rows.mapInArrow(_words(CHUNK_BYTES), f"{_RELATION}, words array<binary>, n array<bigint>"), "words")
     totals = found.select("lang", F.aggregate("n", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("n"))
     n_words = totals.groupBy("lang").agg(F.sum("n").alias("n"))
     parts, tables = ["words"], []

@@ -11,6 +11,7 @@ from weirstone.llm import (
     chat,
     cnn,
     crosspoly,
+    hnsw,
     jaccard,
     mixing,
     periods,
@@ -262,3 +263,9 @@ def op13_periods(spark: SparkSession, sf: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_runs", "start", "length", "period",
         F.expr("(1000 * length) div period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
     )
+
+
+@query("op12_hnsw")
+def op12_hnsw(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return hnsw.search(hnsw.build_index(vectors), vectors.where("vec_id % 100 = 0"))
