@@ -13,9 +13,9 @@ One length follows from the one before:
   phrases of k words that start one word apart are one of k + 1 words.
 
 A position step of two lies between pieces, so that nothing joins across them.
-A phrase of k + 1 words is the pair of the numbers of its two parts, so equal
-pairs are equal phrases; the number of a phrase is the least (chunk, place in
-the list of the chunk) that it has.
+Frequent phrases are numbered as they are stored, and a phrase of k + 1 words is
+the pair of the numbers of its two parts, so equal pairs are equal phrases.  The
+positions and phrases of a chunk are stored as compressed whole numbers.
 
 Every part of a frequent phrase is frequent itself, so the counts of all parts
 come with it: ``heads[i]`` and ``tails[i]`` are those of its first and last i + 1
@@ -46,8 +46,8 @@ UNKNOWN = "und"
 
 # Text bytes of a chunk, or one text.
 CHUNK_BYTES = 8 << 20
-# Numbers of phrases: task, chunk of the task, place in the list of the chunk.
-_CHUNK_BITS, _PLACE_BITS = 14, 27
+# Numbers of chunks: task, chunk of the task.
+_CHUNK_BITS = 32
 # Parts in which the first phrases of a language are looked for before the last choice.
 _PARTS = 64
 
@@ -56,7 +56,8 @@ _GAP = b"\xff"  # in no UTF-8 text
 _MAP = bytes.maketrans(_ENDS + b"\t", _GAP * len(_ENDS) + b" ")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
-_RELATION = "chunk bigint, lang string, at binary, place binary"
+_RELATION = "chunk bigint, lang string, held int, at binary, place binary"
+_CODEC = "zstd"
 
 
 def pieces(text: bytes) -> list[bytes]:
@@ -65,11 +66,27 @@ def pieces(text: bytes) -> list[bytes]:
 
 
 def _chunk_number(order: int) -> int:
-    if order >> _CHUNK_BITS:
-        raise ValueError("a task reads more chunks than their numbers hold: use smaller partitions")
     return TaskContext.get().partitionId() << _CHUNK_BITS | order
 
 
+def _occurrences(at: np.ndarray, place: np.ndarray) -> dict[str, list]:
+    """Columns of the occurrences of a chunk: steps between positions, and phrases."""
+    steps = np.diff(at, prepend=0)
+    return {
+        "held": pa.array([len(at)], pa.int32()),
+        "at": [pa.compress(steps.astype("<i4").tobytes(), _CODEC, asbytes=True)],
+        "place": [pa.compress(place.astype("<i4").tobytes(), _CODEC, asbytes=True)],
+    }
+
+
+def _unpacked(row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    size = 4 * row.column("held")[0].as_py()
+    steps, place = (
+        np.frombuffer(pa.decompress(row.column(c)[0].as_buffer(), size, _CODEC), "<i4") for c in ("at", "place")
+    )
+    return np.cumsum(steps), place
+
+
 def _words(limit: int):
     """One row per chunk: the occurrences of its words, and its words with their counts."""
 
@@ -93,8 +110,7 @@ def _words(limit: int):
                     {
                         "chunk": [_chunk_number(order)],
                         "lang": [lang],
-                        "at": [real.astype("<i4").tobytes()],
-                        "place": [codes[real].astype("<i4").tobytes()],
+                        **_occurrences(real, codes[real]),
                         "words": pa.array([listed.dictionary.to_pylist()], pa.list_(pa.binary())),
                         "n": pa.array([counts.tolist()], pa.list_(pa.int64())),
                     }
@@ -110,8 +126,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
             known = row.column("known")[0].values
-            place = np.frombuffer(row.column("place")[0].as_py(), "<i4")
-            at = np.frombuffer(row.column("at")[0].as_py(), "<i4")
+            at, place = _unpacked(row)
             number = known.field("number").to_numpy()
             local = np.full(int(place.max()) + 1, -1, np.int64)
             local[known.field("place").to_numpy()] = np.arange(len(number))
@@ -124,14 +139,11 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs, place, counts = np.unique(
                 mine[:-1][near] * len(number) + mine[1:][near], return_inverse=True, return_counts=True
             )
-            if len(pairs) >> _PLACE_BITS:
-                raise ValueError("a text has more different phrases than their numbers hold")
             yield pa.RecordBatch.from_pydict(
                 {
                     "chunk": row.column("chunk"),
                     "lang": row.column("lang"),
-                    "at": [at[:-1][near].astype("<i4").tobytes()],
-                    "place": [place.astype("<i4").tobytes()],
+                    **_occurrences(at[:-1][near], place),
                     "head": pa.array([number[pairs // len(number)]], pa.list_(pa.int64())),
                     "tail": pa.array([number[pairs % len(number)]], pa.list_(pa.int64())),
                     "n": pa.array([counts], pa.list_(pa.int64())),
@@ -140,17 +152,15 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _listed(found: DataFrame, parts: list[str]) -> DataFrame:
-    """The phrases of every chunk with their places and chunk counts, dealt by phrase."""
-    keys = [c for c in ("lang", *parts) if c != "words"]
+    """The phrases of every chunk with their places and chunk counts."""
     rows = found.select("chunk", "lang", F.posexplode(F.arrays_zip(*parts, "n")).alias("place", "p"))
     flat = rows.select("chunk", "lang", "place", *[F.col(f"p.{c}").alias(c) for c in (*parts, "n")])
-    return flat.where("n > 0").repartition(*(["words", *keys] if "words" in parts else keys))
+    return flat.where("n > 0")
 
 
 def _frequent(listed: DataFrame, keys: list[str], min_count: int) -> DataFrame:
-    number = F.shiftleft("chunk", _PLACE_BITS).bitwiseOR(F.col("place").cast("bigint"))
-    total = listed.groupBy(*keys).agg(F.sum("n").alias("a"), F.min(number).alias("number"))
-    return total.where(F.col("a") >= min_count)
+    total = listed.groupBy(*keys).agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
+    return total.withColumn("number", F.monotonically_increasing_id())
 
 
 def _known(listed: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
@@ -182,12 +192,12 @@ def mine(
     n_words = totals.groupBy("lang").agg(F.sum("n").alias("n"))
     parts, tables = ["words"], []
     for length in range(1, longest + 1):
-        keys = ["lang", "words"] if length == 1 else ["lang", "head", "tail"]
+        keys = ["lang", "words"] if length == 1 else ["head", "tail"]
         listed = _listed(found, parts)
-        frequent = _frequent(listed, keys, min_count)
+        frequent = stored(_frequent(listed, keys, min_count), f"frequent-{length}")
         tables.append(stored(_described(frequent, tables), f"phrases-{length}"))
         if length < longest:
-            relation = found.select("chunk", "lang", "at", "place")
+            relation = found.select("chunk", "lang", "held", "at", "place")
             grown = relation.join(_known(listed, frequent, keys), "chunk").mapInArrow(
                 _joined, f"{_RELATION}, head array<bigint>, tail array<bigint>, n array<bigint>"
             )
@@ -204,13 +214,15 @@ def _described(frequent: DataFrame, shorter: list[DataFrame]) -> DataFrame:
             F.array("a").alias("heads"), F.array("a").alias("tails"),
             F.lit(None).cast("bigint").alias("head"), F.lit(None).cast("bigint").alias("tail"),
         )
-    first = shorter[-1].select(F.col("number").alias("head"), F.col("phrase").alias("_p"), F.col("heads").alias("_h"))
+    first = shorter[-1].select(
+        F.col("number").alias("head"), F.col("lang").alias("_lang"), F.col("phrase").alias("_p"), F.col("heads").alias("_h")
+    )
     second = shorter[-1].select(F.col("number").alias("tail"), "last", F.col("tails").alias("_t"))
     rows = frequent.join(first, "head").join(second, "tail")
     return rows.select(
-        "number", "lang", F.concat_ws(" ", "_p", "last").alias("phrase"), "last", "a",
+        "number", "_lang", F.concat_ws(" ", "_p", "last").alias("phrase"), "last", "a",
         F.concat("_h", F.array("a")).alias("heads"), F.concat("_t", F.array("a")).alias("tails"), "head", "tail",
-    )
+    ).withColumnRenamed("_lang", "lang")
 
 
 def _lowest_cut(length: int) -> Column:
