@@ -164,9 +164,14 @@ def _frequent(listed: DataFrame, keys: list[str], min_count: int) -> DataFrame:
 
 
 def _known(listed: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
-    """Per chunk the places of its frequent phrases and their numbers."""
-    rows = listed.select("chunk", "place", *keys).join(frequent.select(*keys, "number"), keys)
-    return rows.groupBy("chunk").agg(F.collect_list(F.struct("place", "number")).alias("known"))
+    """Per chunk the places of its frequent phrases and their numbers.
+
+    Always a merge join: what it moves is in proportion to the phrases listed,
+    at every size.  It marks each listed phrase, and only marked ones are collected.
+    """
+    rows = listed.select("chunk", "place", *keys).join(frequent.select(*keys, "number").hint("merge"), keys, "left")
+    mark = F.when(F.col("number").isNotNull(), F.struct("place", "number"))
+    return rows.groupBy("chunk").agg(F.collect_list(mark).alias("known")).where(F.size("known") > 0)
 
 
 def mine(
