@@ -206,54 +206,121 @@ def route_for_planning(command: Column, content: Column) -> tuple[Column, Column
     return first_match(rules, default)
 
 
+# One piece of a type text: a sized scalar, an opening of a nested type, a field name, a word, a sign.
+_PIECES = (
+    r"(?:DECIMAL|NUMERIC)\(\s*\d+\s*,\s*\d+\s*\)\s*|(?:VARCHAR|CHAR)\(\s*\d+\s*\)\s*"
+    r"|(?:MAP|ARRAY|STRUCT)\s*<\s*|\w+\s*:\s*|\w+\s*|[^\w\s]\s*"
+)
+
+
 def base_type(type_text: Column) -> Column:
     return F.upper(F.regexp_extract(F.trim(type_text), r"^(\w+)", 1))
 
 
+def _scalar(word: Column) -> Column:
+    """Warehouse type, Spark type and whether it is known, of a type that is not nested."""
+    precision = F.regexp_extract(word, r"^(?:DECIMAL|NUMERIC)\(\s*(\d+)\s*,\s*\d+\s*\)$", 1).try_cast("int")
+    digits = F.regexp_extract(word, r"^(?:DECIMAL|NUMERIC)(\(\s*\d+\s*,\s*\d+\s*\))$", 1)
+    sized = word.rlike(r"^(VARCHAR|CHAR)\(\s*\d+\s*\)$")
+    fits = F.coalesce(precision <= MAX_DECIMAL_PRECISION, F.lit(False))
+    warehouse = (
+        F.when(sized, F.lit("STRING"))
+        .when(fits, F.lit("NUMERIC"))
+        .when(precision.isNotNull(), F.lit("BIGNUMERIC"))
+        .otherwise(lookup(word, WAREHOUSE_TYPES, word))
+    )
+    spark = (
+        F.when(sized, F.lit("string"))
+        .when(fits, F.concat(F.lit("decimal"), F.regexp_replace(digits, " ", "")))
+        .otherwise(lookup(word, SPARK_TYPES, word))
+    )
+    known = sized | fits | word.isin(*WAREHOUSE_TYPES)
+    return F.struct(warehouse.alias("warehouse"), spark.alias("spark"), known.alias("known"))
+
+
+def type_parts(type_text: Column) -> Column:
+    """Warehouse type, Spark type and flag of a source type, nested to any depth, as one struct.
+
+    The pieces of the text are folded from left to right with a stack of the
+    open types: ``M`` and ``m`` are a map before and behind its comma, ``A`` an array,
+    ``S`` a struct.  ``next`` is what may follow: a type, a field name, or nothing
+    but a sign.  Inside a struct the warehouse type is the source text.  A text
+    that is no type keeps its own text and is flagged; so is a type with an
+    unknown one at any depth.
+    """
+    text = F.upper(F.trim(F.coalesce(type_text, F.lit(""))))
+    found = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
+    pieces = F.transform(
+        found, lambda p: F.struct(p.alias("raw"), F.trim(p).alias("word"), _scalar(F.trim(p)).alias("scalar"))
+    )
+
+    def step(state: Column, piece: Column) -> Column:
+        word, stack = piece["word"], state["stack"]
+        top, below = F.right(stack, F.lit(1)), F.left(stack, F.length(stack) - 1)
+        inside = F.contains(stack, F.lit("S"))
+
+        def then(warehouse, spark, new_stack, following, known=None):
+            as_text = [F.lit(v) if isinstance(v, str) else v for v in (warehouse, spark, new_stack, following)]
+            return F.struct(
+                F.concat(state["warehouse"], F.when(inside, piece["raw"]).otherwise(as_text[0])).alias("warehouse"),
+                F.concat(state["spark"], as_text[1]).alias("spark"),
+                (state["flagged"] if known is None else state["flagged"] | ~known).alias("flagged"),
+                as_text[2].alias("stack"),
+                as_text[3].alias("next"),
+            )
+
+        def opened(letter, warehouse, spark, following):
+            return then(warehouse, spark, F.concat(stack, F.lit(letter)), following)
+
+        wanted = state["next"]
+        kind = F.regexp_replace(word, r"\s", "")
+        broken = F.struct(
+            state["warehouse"], state["spark"], F.lit(True).alias("flagged"), F.lit("?").alias("stack"), F.lit("none").alias("next")
+        )
+        name = F.concat(F.lower(F.regexp_replace(word, r"\s*:$", "")), F.lit(":"))
+        return (
+            F.when(stack == "?", state)
+            .when((kind == "MAP<") & (wanted == "type"), opened("M", "ARRAY<STRUCT<key ", "map<", "type"))
+            .when((kind == "ARRAY<") & (wanted == "type"), opened("A", "ARRAY<", "array<", "type"))
+            .when((kind == "STRUCT<") & (wanted == "type"), opened("S", "STRUCT<", "struct<", "field"))
+            .when((word == ",") & (wanted == "sign") & (top == "M"), then(", value ", ", ", F.concat(below, F.lit("m")), "type"))
+            .when((word == ",") & (wanted == "sign") & (top == "S"), then(",", ", ", stack, "field"))
+            .when((word == ">") & (wanted == "sign") & (top == "m"), then(">>", ">", below, "sign"))
+            .when((word == ">") & (wanted == "sign") & top.isin("A", "S"), then(">", ">", below, "sign"))
+            .when(F.endswith(word, F.lit(":")) & (wanted == "field"), then(word, name, stack, "type"))
+            .when(
+                word.rlike(r"^\w") & (wanted == "type"),
+                then(piece["scalar"]["warehouse"], piece["scalar"]["spark"], stack, "sign", piece["scalar"]["known"]),
+            )
+            .otherwise(broken)
+        )
+
+    start = F.struct(
+        F.lit("").alias("warehouse"), F.lit("").alias("spark"), F.lit(False).alias("flagged"),
+        F.lit("").alias("stack"), F.lit("type").alias("next"),
+    )
+
+    def finish(state: Column) -> Column:
+        whole = (state["stack"] == "") & (state["next"] == "sign")
+        return F.struct(
+            F.when(whole, state["warehouse"]).otherwise(text).alias("warehouse"),
+            F.when(whole, state["spark"]).otherwise(text).alias("spark"),
+            (~whole | state["flagged"]).alias("flagged"),
+        )
+
+    return F.aggregate(pieces, start, step, finish)
+
+
 def warehouse_type(type_text: Column) -> Column:
     """Collapsed type of a source type; an unknown type stays as it is."""
-    text = F.upper(F.trim(type_text))
-    base = base_type(type_text)
-    precision = F.regexp_extract(text, r"^(?:DECIMAL|NUMERIC)\(\s*(\d+)\s*,\s*\d+\s*\)$", 1).try_cast("int")
-    sized = text.rlike(r"^(VARCHAR|CHAR)\(\s*\d+\s*\)$")
-    key = lookup(F.trim(F.regexp_extract(text, r"^MAP<([^,<>]+),\s*[^<>]+>$", 1)), WAREHOUSE_TYPES)
-    value = lookup(F.trim(F.regexp_extract(text, r"^MAP<[^,<>]+,\s*([^<>]+)>$", 1)), WAREHOUSE_TYPES)
-    element = lookup(F.trim(F.regexp_extract(text, r"^ARRAY<([^<>]+)>$", 1)), WAREHOUSE_TYPES)
-    return (
-        F.when(text.isin(*WAREHOUSE_TYPES), lookup(text, WAREHOUSE_TYPES))
-        .when(precision > MAX_DECIMAL_PRECISION, F.lit("BIGNUMERIC"))
-        .when(precision.isNotNull(), F.lit("NUMERIC"))
-        .when(sized, F.lit("STRING"))
-        .when((base == "MAP") & key.isNotNull() & value.isNotNull(),
-              F.concat(F.lit("ARRAY<STRUCT<key "), key, F.lit(", value "), value, F.lit(">>")))
-        .when((base == "ARRAY") & element.isNotNull(), F.concat(F.lit("ARRAY<"), element, F.lit(">")))
-        .otherwise(text)
-    )
+    return type_parts(type_text)["warehouse"]
 
 
 def spark_type(type_text: Column) -> Column:
-    """Spark type of a source type; nested types keep their own text in lower case."""
-    text = F.upper(F.trim(type_text))
-    base = base_type(type_text)
-    precision = F.regexp_extract(text, r"^(?:DECIMAL|NUMERIC)\(\s*(\d+)\s*,\s*\d+\s*\)$", 1).try_cast("int")
-    digits = F.regexp_extract(text, r"^(?:DECIMAL|NUMERIC)(\(\s*\d+\s*,\s*\d+\s*\))$", 1)
-    return (
-        F.when(text.isin(*SPARK_TYPES), lookup(text, SPARK_TYPES))
-        .when(precision <= MAX_DECIMAL_PRECISION, F.concat(F.lit("decimal"), F.regexp_replace(digits, " ", "")))
-        .when(text.rlike(r"^(VARCHAR|CHAR)\(\s*\d+\s*\)$"), F.lit("string"))
-        .when(base.isin("MAP", "ARRAY", "STRUCT"), F.lower(text))
-        .otherwise(text)
-    )
+    """Spark type of a source type; an unknown type stays as it is."""
+    return type_parts(type_text)["spark"]
 
 
 def type_flag(type_text: Column) -> Column:
-    """True where a type is unknown or cannot be held, so a person must look."""
-    text = F.upper(F.trim(type_text))
-    precision = F.regexp_extract(text, r"^(?:DECIMAL|NUMERIC)\(\s*(\d+)\s*,\s*\d+\s*\)$", 1).try_cast("int")
-    known = (
-        text.isin(*WAREHOUSE_TYPES)
-        | (precision <= MAX_DECIMAL_PRECISION)
-        | text.rlike(r"^(VARCHAR|CHAR)\(\s*\d+\s*\)$")
-        | base_type(type_text).isin("MAP", "ARRAY", "STRUCT")
-    )
-    return ~F.coalesce(known, F.lit(False))
+    """True where a type is unknown at any depth or cannot be held, so a person must look."""
+    return type_parts(type_text)["flagged"]

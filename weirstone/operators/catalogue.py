@@ -15,9 +15,7 @@ from weirstone.functions.rules import (
     SQL_TARGET,
     route_for_build,
     route_for_planning,
-    spark_type,
-    type_flag,
-    warehouse_type,
+    type_parts,
 )
 from weirstone.functions.rundate import (
     DEFAULT_SCHEDULE,
@@ -509,15 +507,15 @@ def column_catalogue(metadata: DataFrame) -> DataFrame:
     ``metadata`` has ``guid`` and ``columns`` (name, type, comment).
     """
     flat = metadata.select("guid", F.posexplode("columns").alias("column_pos", "c"))
-    source = F.col("c.type")
-    return flat.select(
+    typed = flat.withColumn("parts", type_parts(F.col("c.type")))
+    return typed.select(
         "guid",
         "column_pos",
         F.col("c.name").alias("column_name"),
-        source.alias("source_type"),
-        warehouse_type(source).alias("warehouse_type"),
-        spark_type(source).alias("spark_type"),
-        type_flag(source).alias("flagged"),
+        F.col("c.type").alias("source_type"),
+        F.col("parts.warehouse").alias("warehouse_type"),
+        F.col("parts.spark").alias("spark_type"),
+        F.col("parts.flagged").alias("flagged"),
         F.coalesce(F.col("c.comment"), F.lit("")).alias("comment"),
     )
 

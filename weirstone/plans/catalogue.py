@@ -393,6 +393,13 @@ COLUMN_TYPES = (
     ("datetime", "DATETIME", "timestamp_ntz", False),
     ("interval", "INTERVAL", "INTERVAL", True),
     ("boolean", "BOOL", "boolean", False),
+    ("ARRAY<DATETIME>", "ARRAY<DATETIME>", "array<timestamp_ntz>", False),
+    ("MAP<STRING,ARRAY<INT>>", "ARRAY<STRUCT<key STRING, value ARRAY<INT64>>>", "map<string, array<int>>", False),
+    ("STRUCT<a:FOO>", "STRUCT<A:FOO>", "struct<a:FOO>", True),
+    ("ARRAY<MAP<STRING, DECIMAL(10, 2)>>", "ARRAY<ARRAY<STRUCT<key STRING, value NUMERIC>>>", "array<map<string, decimal(10,2)>>", False),
+    ("array<geo>", "ARRAY<GEO>", "array<GEO>", True),
+    ("STRUCT<a:INT, b : ARRAY<VARCHAR(9)>>", "STRUCT<A:INT, B : ARRAY<VARCHAR(9)>>", "struct<a:int, b:array<string>>", False),
+    ("MAP<STRING>", "MAP<STRING>", "MAP<STRING>", True),
 )
 
 
@@ -403,7 +410,7 @@ COLUMN_TYPES = (
     + """) v(i, source_type, warehouse_type, spark_type, flagged))
        SELECT 'docs.' || source || '.d' || doc_id AS guid, CAST(p AS INTEGER) AS column_pos, 'c' || p AS column_name,
               source_type, warehouse_type, spark_type, flagged, CASE WHEN p = 0 THEN lang ELSE '' END AS comment
-       FROM documents, range(0, 2) r(p), k WHERE k.i = (doc_id + 4 * p) % 9""",
+       FROM documents, range(0, 2) r(p), k WHERE k.i = (doc_id + 4 * p) % 16""",
 )
 def type_map_audit(spark, sf):
     types = F.array(*[F.lit(t[0]) for t in COLUMN_TYPES])
