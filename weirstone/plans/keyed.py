@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weirstone.functions.canonical import scaled
-from weirstone.functions.rules import Rule, contains_any, first_match, lookup
-from weirstone.operators import joins, keyed, setops
+from weirstone.functions.rules import PLANNING_ROUTES, Rule, contains_any, first_match, lookup
+from weirstone.operators import joins, keyed, reconcile, routing, setops
 from weirstone.plans.registry import query, table
+from weirstone.session import fresh_path
 from weirstone.sources.documents import prefer_then_fallback as prefer
 
 
@@ -359,3 +360,62 @@ def rowdiff(spark, sf):
     changed = F.when(F.col("o_orderkey") == 7, F.col("cents") + 100).otherwise(F.col("cents"))
     target = source.where("o_orderkey <> 5").withColumn("cents", changed)
     return setops.row_difference(source, target)
+
+
+@query(
+    "parity_drilldown",
+    """SELECT o_orderkey, o_custkey, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents, 'source_only' AS side, 1::BIGINT AS copies
+       FROM orders WHERE o_orderkey IN (5, 7)
+       UNION ALL
+       SELECT o_orderkey, o_custkey, CAST(ROUND(o_totalprice * 100) AS BIGINT) + 100, 'target_only', 1::BIGINT
+       FROM orders WHERE o_orderkey = 7""",
+)
+def parity_drilldown(spark, sf):
+    source = table(spark, sf, "orders").select("o_orderkey", "o_custkey", scaled(F.col("o_totalprice")).alias("cents"))
+    changed = F.when(F.col("o_orderkey") == 7, F.col("cents") + 100).otherwise(F.col("cents"))
+    target = source.where("o_orderkey <> 5").withColumn("cents", changed)
+    paths = [fresh_path(spark, n) for n in ("parity-source", "parity-target")]
+    for side, path in zip((source, target), paths):
+        schema = reconcile.land_by_key(side, path, ["o_orderkey"], 16)
+    return reconcile.drilldown(spark, *paths, schema, ["o_orderkey"])
+
+
+# A routing table as rows: of all rules that hold, the one of the least priority counts.
+_RULE_ROWS = """VALUES (1, NULL, 'head', 'The', 'head'), (2, NULL, 'holds', 'license', 'heavy'), (2, NULL, 'holds', '@', 'heavy'),
+    (2, NULL, 'holds', 'http', 'heavy'), (3, 'short', NULL, NULL, 'light'), (9, NULL, NULL, NULL, 'review')"""
+
+
+@query(
+    "rule_table_classify",
+    """SELECT doc_id,
+              CASE WHEN starts_with(text, 'The') THEN 'head'
+                   WHEN contains(text, 'license') OR contains(text, '@') OR contains(text, 'http') THEN 'heavy'
+                   WHEN n_chars < 200 THEN 'light' ELSE 'review' END AS target
+       FROM documents""",
+)
+def rule_table_classify(spark, sf):
+    rules = spark.sql(f"SELECT * FROM {_RULE_ROWS} AS t(priority, command, test, marker, target)")
+    rules = rules.withColumn("reason", F.concat_ws(" ", "test", "marker"))
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", F.when(F.col("n_chars") < 200, "short").otherwise("long").alias("command")
+    )
+    return routing.route(docs, rules, "command", "text").select("doc_id", "target")
+
+
+@query(
+    "routing_table_gaps",
+    """SELECT command, CASE command WHEN 'ODPS_SQL' THEN 'Dataform .sqlx' WHEN 'VIRTUAL' THEN 'EmptyOperator' WHEN 'DIDE_SHELL' THEN 'TRIAGE'
+              END AS target, COUNT(*) AS n FROM (
+         SELECT CASE WHEN role = 'user' THEN 'ODPS_SQL' WHEN role = 'assistant' AND turn % 4 = 3 THEN 'DIDE_SHELL'
+                     WHEN role = 'assistant' THEN 'PYODPS_3' ELSE 'VIRTUAL' END AS command FROM conversations) GROUP BY ALL""",
+)
+def routing_table_gaps(spark, sf):
+    # The planning table as rows; a command that no rule names has no target.
+    pairs = [(1, command, None, None, target, reason) for command, (target, reason) in PLANNING_ROUTES.items()]
+    rules = spark.createDataFrame(pairs, "priority int, command string, test string, marker string, target string, reason string")
+    command = F.expr(
+        """CASE WHEN role = 'user' THEN 'ODPS_SQL' WHEN role = 'assistant' AND turn % 4 = 3 THEN 'DIDE_SHELL'
+           WHEN role = 'assistant' THEN 'PYODPS_3' ELSE 'VIRTUAL' END"""
+    )
+    nodes = table(spark, sf, "conversations").select(command.alias("command"), "text")
+    return routing.route(nodes, rules, "command", "text").groupBy("command", "target").agg(F.count(F.lit(1)).alias("n"))

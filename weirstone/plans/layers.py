@@ -8,6 +8,7 @@ from weirstone.functions.canonical import scaled
 from weirstone.functions.rundate import bizdate
 from weirstone.operators import joins, layers, ordering, reconcile
 from weirstone.plans.registry import query, table
+from weirstone.session import materialise
 
 
 def _mart_filter():
@@ -91,14 +92,50 @@ def dwd_order_facts(spark, sf):
         FROM ({FACTS_SQL}) GROUP BY country, order_date""",
 )
 def dws_agg_daily(spark, sf):
-    return layers.daily_rollup(
+    # an order has one buyer, so buyers are counted over orders and orders over lines
+    return layers.chain_rollup(
         facts(spark, sf),
         ["country", "order_date"],
-        {"unique_buyers": "user_id", "total_orders": "order_id", "unique_products": "product_id"},
+        [("total_orders", "order_id"), ("unique_buyers", "user_id")],
+        {"unique_products": "product_id"},
         {"total_revenue": F.col("line_total")},
     )
 
 
+# Relative error that the merged sketches must stay within: five standard errors of 2 ** 12 registers.
+SKETCH_ERROR = 0.065
+
+
+@query(
+    "monthly_sketches",
+    """SELECT n_name AS country, strftime(o_orderdate, '%Y%m') AS month, COUNT(DISTINCT o_custkey) AS buyers,
+              COUNT(DISTINCT l_partkey) AS products, TRUE AS buyers_near, TRUE AS products_near
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""",
+)
+def monthly_sketches(spark, sf):
+    # days are sketched once and stored; months are unions of their days, held against the exact counts
+    customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
+    homes = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("country"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(homes, F.col("o_custkey") == F.col("c_custkey"))
+    rows = rows.select("country", "day", "o_orderkey", "o_custkey", "l_partkey")
+    month = F.date_format("day", "yyyyMM").alias("month")
+    days = materialise(layers.daily_sketches(rows, ["country", "day"], {"buyers": "o_custkey", "products": "l_partkey"}), "sketches")
+    near = layers.merged_counts(days.withColumn("month", month), ["country", "month"], ["buyers", "products"])
+    exact = layers.chain_rollup(
+        rows.withColumn("month", month), ["country", "month"], [("orders", "o_orderkey"), ("buyers", "o_custkey")],
+        {"products": "l_partkey"}, {},
+    )
+    both = exact.alias("e").join(near.alias("n"), ["country", "month"])
+
+    def close(name):
+        return (F.abs(F.col(f"e.{name}") - F.col(f"n.{name}")) <= F.greatest(F.lit(1), F.col(f"e.{name}") * SKETCH_ERROR)).alias(f"{name}_near")
+
+    return both.select("country", "month", "e.buyers", "e.products", close("buyers"), close("products"))
+
+
 MART_SQL = """SELECT c_mktsegment, COUNT(c_name) AS num FROM customer
        WHERE c_acctbal > 0 AND c_nationkey < 10 GROUP BY c_mktsegment"""
 

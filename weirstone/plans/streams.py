@@ -40,5 +40,22 @@ def stream_insert_ignore(spark, sf):
     path = fresh_path(spark, "first-events")
     rows = _stream(spark, sf).select("user_id", "event_id")
     for _ in range(2):  # a lost checkpoint: the batch comes again and must add nothing
-        ingest.run_insert_ignore(rows, path, fresh_path(spark, "first-checkpoint"), ["user_id"], ["event_id"])
-    return spark.read.schema(rows.schema).parquet(path)
+        ingest.run_insert_ignore(rows, path, fresh_path(spark, "first-checkpoint"), ["user_id"], ["event_id"], buckets=16)
+    return ingest.stored_rows(spark, path, rows.schema)
+
+
+@query(
+    "stream_complete_groups",
+    """SELECT l_orderkey, COUNT(DISTINCT l_linenumber) AS n_expected, COUNT(DISTINCT l_linenumber) AS n_stored
+       FROM lineitem GROUP BY l_orderkey HAVING MAX(l_linenumber) <= 5""",
+)
+def stream_complete_groups(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    folder, path, checkpoint = (fresh_path(spark, n) for n in ("landed-lines", "complete", "complete-checkpoint"))
+    # lines land in three runs, some of them twice; the sixth and later ones of an order never do
+    for part in ("l_linenumber <= 2", "l_linenumber IN (2, 3)", "l_linenumber BETWEEN 4 AND 5"):
+        lines.where(part).write.mode("append").parquet(folder)
+        stream = ingest.landed(spark, folder, lines.schema)
+        ingest.run_complete_groups(stream, lines, path, checkpoint, "l_orderkey", ["l_linenumber"])
+    schema = "l_orderkey bigint, n_expected bigint, n_stored bigint"
+    return spark.read.schema(schema).parquet(path).select("l_orderkey", "n_expected", "n_stored")

@@ -7,16 +7,20 @@ taken, so a restart goes on where the last run ended and writes nothing twice.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
-from weirstone.operators.keyed import first_per_key, insert_ignore
+from weirstone.operators.keyed import first_per_key, pending
 
 # Seconds to wait for the events of a run that has ended.
 EVENT_WAIT = 60
+# Column and number of the folders of a table that is looked up by key.
+BUCKET, BUCKETS = "key_bucket", 64
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -69,31 +73,94 @@ def run_append(stream: DataFrame, path: str, checkpoint: str) -> int:
     return _run(writer, stream.sparkSession)
 
 
+def key_bucket(keys: Sequence[str], buckets: int, schema: T.StructType) -> Column:
+    """Bucket of a row by its key; keys that are equal have one bucket."""
+    floats = {f.name for f in schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    parts = [F.col(k) + F.lit(0.0) if k in floats else F.col(k) for k in keys]  # makes -0.0 and 0.0 alike
+    return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
+
+
+def stored_rows(spark: SparkSession, path: str, schema: T.StructType, buckets: Sequence[int] | None = None) -> DataFrame:
+    """Rows of a bucketed table; given buckets prune the scan to their folders."""
+    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    rows = spark.read.schema(full).parquet(path)
+    if buckets is not None:
+        rows = rows.where(F.col(BUCKET).isin([int(b) for b in buckets]))
+    return rows.select(*schema.names)
+
+
 def run_insert_ignore(
-    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], buckets: int = BUCKETS
 ) -> int:
     """Append rows with new keys only: stored rows are never touched.
 
+    The table lies in folders by bucket of the key, and a batch reads only the
+    buckets that its own keys have: a batch of few keys costs what it holds,
+    however large the table is.  ``buckets`` must stay the same for a table.
     Within a batch the first row of a key in ``order`` is kept.  A batch that is
     repeated after a failure finds its own keys stored and adds nothing.
     """
     schema = stream.schema
+    bucket = key_bucket(keys, buckets, schema)
 
     def write(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
+        first = first_per_key(batch, keys, order).withColumn(BUCKET, bucket).persist()
         try:
-            stored = spark.read.schema(schema).parquet(path)
-            stored.isEmpty()
-            fresh = insert_ignore(stored, batch, keys, order)
-        except Exception as error:  # the table is not there before the first batch
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            fresh = first_per_key(batch, keys, order)
-        fresh.write.mode("append").parquet(path)
+            touched = [r[0] for r in first.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+            try:
+                stored = stored_rows(spark, path, schema, touched)
+                stored.isEmpty()
+                fresh = pending(first, stored, keys)
+            except Exception as error:  # the table is not there before the first batch
+                if "PATH_NOT_FOUND" not in str(error):
+                    raise
+                fresh = first
+            fresh.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
+        finally:
+            first.unpersist()
 
     return _run(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), stream.sparkSession)
 
 
+def run_complete_groups(
+    landed_rows: DataFrame, expected: DataFrame, path: str, checkpoint: str, parent: str, child: Sequence[str]
+) -> int:
+    """Append each parent once, when the last of its expected children has landed.
+
+    ``expected`` is a table of (parent, child): children that are not in it do
+    not count, and a child counts once however often it lands.  Both the
+    children seen and the counts by parent are state (in RocksDB), so a parent may
+    fill up over any number of runs.  Rows are ``parent, n_expected, n_stored``.
+    """
+    known = expected.select(parent, *child).distinct()
+    sizes = known.groupBy(parent).agg(F.count(F.lit(1)).alias("n_expected"))
+    once = landed_rows.select(parent, *child).dropDuplicates([parent, *child])
+    matched = once.join(known.join(sizes, parent), [parent, *child]).select(parent, "n_expected")
+    counts = matched.groupBy(parent, "n_expected").agg(F.count(F.lit(1)).alias("n_stored"))
+    full = counts.where("n_stored = n_expected")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # a batch that is repeated replaces its own folder
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    writer = full.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    with _rocksdb(landed_rows.sparkSession):
+        return _run(writer, landed_rows.sparkSession)
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State of the runs started inside lies on disk."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def run_dedupe(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], event_time: str | None = None, delay: str | None = None
 ) -> int:
@@ -107,11 +174,5 @@ def run_dedupe(
         once = stream.dropDuplicates(list(keys))
     else:
         once = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
-    spark = stream.sparkSession
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, ROCKSDB)
-    try:
+    with _rocksdb(stream.sparkSession):
         return run_append(once, path, checkpoint)
-    finally:
-        spark.conf.set(setting, before)
