@@ -105,7 +105,9 @@ def ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Log ratios by bucket, as whole numbers: ``_bucket``, ``_ratio``; ``2 ** BITS`` rows."""
     # the join may move the rows, so texts are cut into words after it
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    marked = rows.join(trusted_ids(labels), F.col("_id") == F.col("_trusted"), "left").select(
+    # a shuffle of both sides at every size: what moves is in proportion to the texts, and they are not sorted
+    trusted = trusted_ids(labels).hint("shuffle_hash")
+    marked = rows.join(trusted, F.col("_id") == F.col("_trusted"), "left").select(
         F.col("_trusted").isNotNull().cast("bigint").alias("_good"), words(F.col("_text")).alias("_words")
     )
     grams = _grams(marked, ["_good"])
