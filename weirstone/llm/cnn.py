@@ -177,7 +177,8 @@ def fit(
         weights = train([texts[i] for i in order], np.array([y[i] for i in order]))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(weights)], pa.binary())], names=["weights"])
 
-    chosen = rows.join(F.broadcast(sample), "_id").select("_text", "_label")
+    # all tasks look for the sample; one task then reads the sample alone
+    chosen = stored(rows.join(F.broadcast(sample), "_id").select("_text", "_label"), "sample")
     model = stored(chosen.coalesce(1).mapInArrow(run, "weights binary"), "cnn")
     found = model.first()
     return pickle.dumps(None) if found is None else bytes(found[0])
