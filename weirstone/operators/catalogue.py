@@ -24,12 +24,12 @@ from weirstone.functions.rundate import (
     last_five_fields,
 )
 from weirstone.operators import corpus
-from weirstone.operators.graph import topological_levels
+from weirstone.operators.graph import prune_edges, topological_levels
 from weirstone.operators.keyed import first_non_blank, first_per_key, last_per_key, later_writers
 from weirstone.operators.ordering import ordered_parts
 from weirstone.operators.setops import membership
 from weirstone.session import materialise
-from weirstone.sources.documents import FLOW, NODE, normalise, workflow_headers
+from weirstone.sources.documents import FLOW, NODE, TRIGGER, VARIABLE, normalise, workflow_headers
 
 
 @dataclass(frozen=True)
@@ -457,16 +457,27 @@ def variable_registry(variables: DataFrame) -> DataFrame:
     return first_per_key(rows, ["name"], ["source_file", "workflow_pos", "variable_pos"], ["name", "type", "value"] + ["source_file", "workflow_pos", "variable_pos"]).select("name", "type", "value")
 
 
-def renest(nodes: DataFrame, size: int) -> DataFrame:
+def renest(nodes: DataFrame, size: int, headers: DataFrame | None = None) -> DataFrame:
     """Rebuild workflow documents from node rows, with the flow from node references.
 
     A workflow is one document, or several parts of at most ``size`` nodes;
-    flattening the parts gives the same nodes again.
+    flattening the parts gives the same nodes again.  Of nodes with one id in a
+    workflow the first in document order stays.  ``headers`` has one row per
+    workflow with ``workflow_id`` and any of ``workflow_name``, ``trigger`` and
+    ``variables``; they stand in every part, and what is missing is the name
+    ``workflow_<id>``, an empty trigger and no variables.
     """
-    parts = ordered_parts(nodes.select("workflow_id", *ORDER, "node"), "workflow_id", list(ORDER), size)
+    once = unique_nodes(nodes.select("workflow_id", *ORDER, "node"))
+    parts = ordered_parts(once, "workflow_id", list(ORDER), size, unique=True)
     listed = F.transform(F.sort_array(F.collect_list(F.struct("_rank", "node"))), lambda r: r["node"])
     grouped = parts.groupBy("workflow_id", "part").agg(listed.alias("nodes"))
     none = F.lit(None)
+    given = {"workflow_name": "string", "trigger": TRIGGER, "variables": f"array<{VARIABLE}>"}
+    if headers is None:
+        grouped = grouped.withColumns({c: none.cast(kind) for c, kind in given.items()})
+    else:
+        known = [F.col(c) if c in headers.columns else none.cast(k).alias(c) for c, k in given.items()]
+        grouped = grouped.join(headers.select("workflow_id", *known), "workflow_id", "left")
 
     def flow_of(node: Column) -> Column:
         refs = F.filter(
@@ -484,21 +495,42 @@ def renest(nodes: DataFrame, size: int) -> DataFrame:
         )
         return F.struct(node["id"].alias("nodeId"), depends.alias("depends"))
 
-    name = F.concat(F.lit("workflow_"), F.col("workflow_id"))
+    name = F.coalesce("workflow_name", F.concat(F.lit("workflow_"), F.col("workflow_id")))
+    empty = F.from_json(F.lit("{}"), TRIGGER)
     workflow = F.struct(
         F.col("workflow_id").alias("id"),
         name.alias("name"),
+        F.coalesce("trigger", empty).alias("trigger"),
+        F.coalesce("variables", F.array().cast(given["variables"])).alias("variables"),
         F.col("nodes").cast(f"array<{NODE}>").alias("nodes"),
         F.transform("nodes", flow_of).cast(f"array<{FLOW}>").alias("flow"),
     )
+    kind = F.lit("CycleWorkflow")
     return grouped.select(
         "workflow_id",
         "part",
         F.struct(F.col("workflow_id").alias("uuid")).alias("metadata"),
-        F.lit("CycleWorkflow").alias("kind"),
+        kind.alias("kind"),
         F.lit("1.1.0").alias("version"),
-        F.struct(name.alias("name"), F.col("workflow_id").alias("id"), F.array(workflow).alias("workflows")).alias("spec"),
+        F.struct(
+            name.alias("name"), F.col("workflow_id").alias("id"), kind.alias("type"), F.array(workflow).alias("workflows")
+        ).alias("spec"),
+    )
+
+
+def document_headers(cat: Catalogue) -> DataFrame:
+    """Headers for ``renest``: name, trigger and the first definition of each variable of a workflow."""
+    order = ["source_file", "workflow_pos", "variable_pos"]
+    first = first_per_key(cat.variables, ["workflow_id", "name"], order)
+    none = F.lit(None).cast("string")
+    variable = F.struct(none.alias("id"), "name", none.alias("scope"), "type", "value")
+    listed = F.transform(F.sort_array(F.collect_list(F.struct(*order, variable.alias("v")))), lambda r: r["v"])
+    variables = first.groupBy("workflow_id").agg(listed.cast(f"array<{VARIABLE}>").alias("variables"))
+    trigger = F.struct(
+        F.lit("Scheduler").alias("type"), "cron", none.alias("startTime"), none.alias("endTime"), "timezone"
     )
+    heads = cat.workflows.select("workflow_id", "workflow_name", trigger.cast(TRIGGER).alias("trigger"))
+    return heads.join(variables, "workflow_id", "left")
 
 
 def column_catalogue(metadata: DataFrame) -> DataFrame:
@@ -557,6 +589,34 @@ def workflow_parity(
     )
 
 
+def model_links(models: DataFrame, scope: Sequence[str] = ("workflow_id",)) -> DataFrame:
+    """Which deployed model reads which: ``node`` and ``upstream`` are output tables of one scope.
+
+    ``models`` comes from ``deployable_models``; what a body reads is found in its text.
+    """
+    reads = corpus.table_references(models, [*scope, F.col("table_name").alias("node")], F.col("body"))
+    edges = reads.withColumnRenamed("table_name", "upstream")
+    return prune_edges(models.select(*scope, F.col("table_name").alias("node")), edges, list(scope))
+
+
+def built_parity(cat: Catalogue, models: DataFrame, schedules: DataFrame) -> DataFrame:
+    """``workflow_parity`` of a catalogue with what was built from it.
+
+    ``models`` are its deployed models by workflow, ``schedules`` the schedules these
+    run by; the cycles are those of models that read each other's tables.
+    """
+    group = ["workflow_id"]
+    built = materialise(models.select(*group, "table_name", "body"), "models")
+    heads = cat.workflows.select("workflow_id", five_field_schedule(F.col("cron")).alias("schedule"))
+    sizes = cat.nodes.groupBy(*group).agg(F.count_if(F.col("command") != "VIRTUAL").alias("n_nodes"))
+    source = heads.join(sizes, group, "left").na.fill(0, ["n_nodes"])
+    counts = built.groupBy(*group).agg(F.count(F.lit(1)).alias("n_models"))
+    target = schedules.select("workflow_id", "schedule").join(counts, group, "left").na.fill(0, ["n_models"])
+    levels = topological_levels(built.select(*group, F.col("table_name").alias("node")), model_links(built), group)
+    outputs = cat.table_io.where("direction = 'write'").select(*group, "table_name")
+    return workflow_parity(source, target, outputs, built.select(*group, "table_name"), levels.where("level IS NULL"))
+
+
 def output_issues(source_outputs: DataFrame, built_outputs: DataFrame) -> DataFrame:
     """Each missing or extra output table of a workflow as a row."""
     sides = membership(source_outputs, built_outputs, ["workflow_id", "table_name"])

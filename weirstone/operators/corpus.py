@@ -164,7 +164,7 @@ def reviewed_calls(text: Column) -> Column:
     return F.array_union(F.array_intersect(called_names(text), wanted), lateral)
 
 
-def table_references(scripts: DataFrame, keys: Sequence[str], text: Column) -> DataFrame:
+def table_references(scripts: DataFrame, keys: Sequence[str | Column], text: Column) -> DataFrame:
     """Distinct tables read per script, by their last name part."""
     names = F.transform(
         F.regexp_extract_all(text, F.lit(TABLE_REFERENCE), F.lit(1)),

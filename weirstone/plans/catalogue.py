@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weirstone.functions.rules import HEAVY_MARKERS
 from weirstone.functions.rundate import five_field_schedule
-from weirstone.operators import catalogue, corpus, graph, ordering
+from weirstone.operators import catalogue, corpus, ordering
 from weirstone.plans.conversation_documents import TURNS_SQL, document_texts, documents, mixed_shape_texts, turns
 from weirstone.plans.registry import query, table
 from weirstone.session import fresh_path
@@ -324,62 +324,120 @@ def collect_children(spark, sf):
     return nested.withColumn("children", F.array_join("children", " | "))
 
 
+@query(
+    "renest_headers",
+    f"""{_TURNS}, v AS (SELECT workflow_id, custom, arg_min(node_id, source_file) AS first_use FROM t GROUP BY ALL)
+        SELECT t.workflow_id, 'conv_' || t.workflow_id AS workflow_name, MIN({_FIVE}) AS schedule, 'UTC' AS timezone,
+               COUNT(DISTINCT node_id) AS n_nodes, MIN(region) AS region,
+               (SELECT string_agg(custom || '=' || first_use, ',' ORDER BY custom) FROM v WHERE v.workflow_id = t.workflow_id) AS custom
+        FROM t GROUP BY t.workflow_id""",
+)
+def renest_headers(spark, sf):
+    # Documents rebuilt with name, trigger and variables from nodes that are all there twice.
+    cat = _catalogue(spark, sf)
+    nested = catalogue.renest(cat.nodes.unionByName(cat.nodes), 500, catalogue.document_headers(cat))
+    texts = nested.select(
+        F.concat_ws("_", "workflow_id", "part").alias("source_file"),
+        F.to_json(F.struct("metadata", "kind", "version", "spec")).alias("value"),
+    )
+    again = catalogue.build_catalogue(parse_documents(texts, "value", "source_file"))
+    sizes = again.nodes.groupBy("workflow_id").agg(F.count(F.lit(1)).alias("n_nodes"))
+    own = again.variables.select("workflow_id", "name", "value").distinct()
+    region = own.where("name = 'region'").select("workflow_id", F.col("value").alias("region"))
+    pairs = own.where("name LIKE 'k%'").groupBy("workflow_id").agg(
+        F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "name", "value"))), ",").alias("custom")
+    )
+    heads = again.workflows.select("workflow_id", "workflow_name", five_field_schedule(F.col("cron")).alias("schedule"), "timezone")
+    return heads.join(sizes, "workflow_id").join(region, "workflow_id").join(pairs, "workflow_id")
+
+
+_BUILT = f"""{_ROUTED.replace("WITH", "WITH RECURSIVE", 1)},
+    m AS (SELECT workflow_id, out_table, turn FROM (
+            SELECT *, row_number() OVER (PARTITION BY workflow_id, out_table ORDER BY turn, source_file) AS k FROM n
+            WHERE NOT skipped AND target = 'Dataform .sqlx' AND body <> '' AND output_guid IS NOT NULL) WHERE k = 1),
+    s AS (SELECT DISTINCT workflow_id, out_table AS x FROM n WHERE output_guid IS NOT NULL),
+    e AS (SELECT a.workflow_id, a.out_table AS node, b.out_table AS upstream FROM m a JOIN m b
+          ON a.workflow_id = b.workflow_id AND b.out_table = 't_' || ((a.turn + 4) % 5)),
+    p AS (SELECT workflow_id, node, upstream FROM e
+          UNION SELECT p.workflow_id, p.node, e.upstream FROM p JOIN e ON p.workflow_id = e.workflow_id AND p.upstream = e.node)"""
+
+
 @query(
     "workflow_parity",
-    f"""{_TURNS}, s AS (SELECT DISTINCT workflow_id, split_part(output_guid, '.', -1) AS x FROM t WHERE output_guid IS NOT NULL),
-        g AS (SELECT workflow_id, x FROM s WHERE NOT (CAST(workflow_id AS BIGINT) % 11 = 0 AND x = 't_1')
-              UNION SELECT DISTINCT workflow_id, 't_extra' FROM t WHERE conv_id % 9 = 0),
-        c AS (SELECT COALESCE(s.workflow_id, g.workflow_id) AS workflow_id, COUNT(*) FILTER (WHERE g.x IS NULL) AS n_missing,
-                     COUNT(*) FILTER (WHERE s.x IS NULL) AS n_extra
-              FROM s FULL JOIN g ON s.workflow_id = g.workflow_id AND s.x = g.x GROUP BY 1),
-        w AS (SELECT workflow_id, MIN(conv_id) AS conv_id, MIN({_FIVE}) AS f, CAST(COUNT(*) FILTER (WHERE command <> 'VIRTUAL') AS BIGINT) AS n_nodes,
-                     COUNT(*) > 1 AND MIN(conv_id) % 14 = 0 AS cyclic
-              FROM t GROUP BY workflow_id),
-        j AS (SELECT w.*, CASE WHEN conv_id % 12 = 0 THEN '0 0 * * *' ELSE f END AS b, COALESCE(n_missing, 0) AS n_missing,
-                     COALESCE(n_extra, 0) AS n_extra FROM w LEFT JOIN c ON w.workflow_id = c.workflow_id),
+    f"""{_BUILT}, c AS (SELECT s.workflow_id, COUNT(*) AS n_missing FROM s LEFT JOIN m ON s.workflow_id = m.workflow_id AND s.x = m.out_table
+                        WHERE m.out_table IS NULL GROUP BY 1),
+        z AS (SELECT DISTINCT workflow_id FROM p WHERE node = upstream),
+        h AS (SELECT CAST(conv_id AS STRING) || '_' || turn AS node_id, turn, schedule FROM ({_SCHEDULES.replace('{conversations}', 'conversations')})),
+        g AS (SELECT t.workflow_id, arg_min(trim(h.schedule), h.turn) AS given FROM t JOIN h ON t.node_id = h.node_id
+              WHERE trim(h.schedule) <> '' GROUP BY t.workflow_id),
+        w AS (SELECT workflow_id, MIN({_FIVE}) AS f, CAST(COUNT(*) FILTER (WHERE command <> 'VIRTUAL') AS BIGINT) AS n_nodes FROM t GROUP BY workflow_id),
+        j AS (SELECT w.*, COALESCE(given, f) AS b, COALESCE(n_missing, 0) AS n_missing, z.workflow_id IS NOT NULL AS cyclic,
+                     (SELECT COUNT(*) FROM m WHERE m.workflow_id = w.workflow_id) AS n_models
+              FROM w LEFT JOIN c ON w.workflow_id = c.workflow_id LEFT JOIN z ON w.workflow_id = z.workflow_id
+              LEFT JOIN g ON w.workflow_id = g.workflow_id),
         d AS (SELECT *, concat_ws(', ', CASE WHEN f <> b THEN 'schedule differs' END,
                      CASE WHEN n_missing > 0 THEN n_missing || ' outputs not built' END,
-                     CASE WHEN n_extra > 0 THEN n_extra || ' outputs without source' END,
                      CASE WHEN cyclic THEN 'models depend on each other in a circle' END) AS issues FROM j)
-        SELECT workflow_id, n_nodes, n_missing, n_extra, cyclic, issues = '' AS ok,
+        SELECT workflow_id, n_nodes, n_models, n_missing, 0::BIGINT AS n_extra, cyclic, issues = '' AS ok,
                CASE WHEN issues = '' THEN 'no difference' ELSE issues END AS detail FROM d""",
 )
 def workflow_parity(spark, sf):
-    rows = turns(spark, sf)
-    cat = _catalogue(spark, sf)
-    schedule = five_field_schedule(F.col("cron")).alias("schedule")
-    heads = cat.workflows.select("workflow_id", schedule)
-    sizes = cat.nodes.groupBy("workflow_id").agg(F.count_if(F.col("command") != "VIRTUAL").alias("n_nodes"))
-    source = heads.join(sizes, "workflow_id")
-    number = F.col("workflow_id").cast("bigint")
-    built = heads.select(
-        "workflow_id", F.when(number % 12 == 0, "0 0 * * *").otherwise(F.col("schedule")).alias("schedule"),
-        F.lit(1).cast("bigint").alias("n_models"),
-    )
-    outputs = cat.table_io.where("direction = 'write'").select("workflow_id", "table_name")
-    kept = outputs.where(~((number % 11 == 0) & (F.col("table_name") == "t_1")))
-    added = heads.where(number % 9 == 0).select("workflow_id", F.lit("t_extra").alias("table_name"))
-    nodes = rows.select("workflow_id", F.col("node_id").alias("node"))
-    edges = cat.edges.select("workflow_id", F.col("node_id").alias("node"), F.col("upstream_id").alias("upstream"))
-    back = rows.where("conv_id % 14 = 0 AND turn = 0").select(
-        "workflow_id", F.col("node_id").alias("node"), F.concat("workflow_id", F.lit("_1")).alias("upstream")
-    )
-    levels = graph.topological_levels(nodes, edges.unionByName(back), ["workflow_id"])
-    cyclic = levels.where(F.col("level").isNull())
-    result = catalogue.workflow_parity(source, built, outputs, kept.unionByName(added), cyclic)
-    return result.select("workflow_id", "n_nodes", "n_missing", "n_extra", "cyclic", "ok", "detail")
+    cat, models = _built(spark, sf)
+    overrides = spark.sql(_SCHEDULES, conversations=table(spark, sf, "conversations"))
+    schedules = catalogue.workflow_schedules(cat, overrides, ["conv_id", "turn"])
+    result = catalogue.built_parity(cat, models, schedules)
+    return result.select("workflow_id", "n_nodes", "n_models", "n_missing", "n_extra", "cyclic", "ok", "detail")
+
+
+def _built(spark, sf):
+    cat = _catalogue(spark, sf).stored()
+    routed = catalogue.routed_nodes(catalogue.in_run_order(cat), _overrides(spark, sf), ["line"])
+    return cat, catalogue.deployable_models(routed)
+
+
+@query("model_links", f"{_BUILT} SELECT workflow_id, node, upstream FROM e")
+def model_links(spark, sf):
+    return catalogue.model_links(_built(spark, sf)[1]).select("workflow_id", "node", "upstream")
 
 
 @query(
     "output_issues",
-    f"""{_TURNS} SELECT DISTINCT workflow_id, 't_1' AS table_name, 'missing' AS kind FROM t
-        WHERE conv_id % 11 = 0 AND output_guid = 'odps.p.t_1'""",
+    f"""{_BUILT} SELECT s.workflow_id, x AS table_name, 'missing' AS kind FROM s LEFT JOIN m ON s.workflow_id = m.workflow_id AND s.x = m.out_table
+        WHERE m.out_table IS NULL""",
 )
 def output_issues(spark, sf):
-    outputs = _catalogue(spark, sf).table_io.where("direction = 'write'").select("workflow_id", "table_name")
-    number = F.col("workflow_id").cast("bigint")
-    kept = outputs.where(~((number % 11 == 0) & (F.col("table_name") == "t_1")))
-    return catalogue.output_issues(outputs, kept)
+    cat, models = _built(spark, sf)
+    outputs = cat.table_io.where("direction = 'write'").select("workflow_id", "table_name")
+    return catalogue.output_issues(outputs, models.select("workflow_id", "table_name"))
+
+
+# Nodes without an id, and documents that hold a node list beside their workflows.
+@query(
+    "normalise_union",
+    f"""{_TURNS}, k AS (SELECT workflow_id, node_id, 'flow' AS part FROM t WHERE turn % 4 <> 1
+          UNION ALL SELECT workflow_id, 'own_' || node_id, 'list' FROM t WHERE turn % 4 <> 2)
+        SELECT * FROM k""",
+)
+def normalise_union(spark, sf):
+    docs = documents(spark, sf)
+    turn = F.regexp_extract("source_file", r"_(\d+)\.json$", 1).cast("bigint")
+
+    def renamed(node, ident):
+        return node.withField("id", ident)
+
+    flows = F.transform(
+        "spec.workflows",
+        lambda wf: wf.withField(
+            "nodes", F.transform(wf["nodes"], lambda n: renamed(n, F.when(turn % 4 == 1, F.lit("")).otherwise(n["id"])))
+        ),
+    )
+    own = F.transform(
+        F.col("spec.workflows")[0]["nodes"],
+        lambda n: renamed(n, F.when(turn % 4 != 2, F.concat(F.lit("own_"), n["id"]))),
+    )
+    both = docs.withColumn("spec", F.col("spec").withField("workflows", flows).withField("nodes", own))
+    part = F.when(F.startswith("node.id", F.lit("own_")), "list").otherwise("flow")
+    return normalise(both, "union").select("workflow_id", F.col("node.id").alias("node_id"), part.alias("part"))
 
 
 # Test column types, spread over the documents by key: text, collapsed type, Spark type, flagged.
