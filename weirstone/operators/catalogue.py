@@ -596,7 +596,8 @@ def model_links(models: DataFrame, scope: Sequence[str] = ("workflow_id",)) -> D
     """
     reads = corpus.table_references(models, [*scope, F.col("table_name").alias("node")], F.col("body"))
     edges = reads.withColumnRenamed("table_name", "upstream")
-    return prune_edges(models.select(*scope, F.col("table_name").alias("node")), edges, list(scope))
+    known = prune_edges(models.select(*scope, F.col("table_name").alias("node")), edges, list(scope))
+    return known.select(*scope, "node", "upstream")
 
 
 def built_parity(cat: Catalogue, models: DataFrame, schedules: DataFrame) -> DataFrame:
