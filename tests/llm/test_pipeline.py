@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers as public
 
 import corpus_pipeline
-from cases import frame, hard_texts, prose
+from cases import clashing, frame, hard_texts, prose
 from test_jaccard import brute as groups
 from test_jaccard import edited
 from test_quality_rules import brute as rules
@@ -64,3 +64,43 @@ def test_stages_against_brute_force(spark, tmp_path):
 
     whole = corpus_pipeline.run(spark, sf).collect()
     assert Counter((r.doc_id, bytes(r.ids)) for r in whole) == Counter((r.doc_id, bytes(r.ids)) for r in coded)
+
+
+def _tables(spark, docs, path, labels=()):
+    docs.write.parquet(str(path / "documents.parquet"))
+    spark.createDataFrame(list(labels), "doc_id bigint, quality int, toxic int").write.parquet(str(path / "labels.parquet"))
+    return str(path)
+
+
+def test_empty_tables(spark, tmp_path):
+    sf = _tables(spark, frame(spark, corpus()).limit(0), tmp_path)
+    assert corpus_pipeline.run(spark, sf).count() == 0
+
+
+def test_repeated_ids_and_clashing_columns(spark, tmp_path):
+    # without a trusted text every ratio is 0, and only the base rules reject
+    texts = [prose(800 + k, 90) for k in range(12)] + [None, "", "few words"]
+    docs = clashing(frame(spark, texts))
+    twice = docs.unionByName(docs.where("doc_id = 1")).unionByName(docs.where("doc_id = 2").withColumn("text", docs.lang))
+    sf = _tables(spark, twice, tmp_path)
+    steps = dict(corpus_pipeline.STAGES)
+    kept = steps["quality_rules"](spark, twice, sf)
+    assert kept.columns == twice.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 1, *range(2, 13)]
+    single = steps["jaccard_join"](spark, steps["line_templates"](spark, kept, sf), sf)
+    assert single.columns == twice.columns and {r.doc_id for r in single.collect()} == set(range(1, 13))
+    assert corpus_pipeline.run(spark, sf).where("n_tokens > 0").count() > 0
+
+
+def test_near_copies_reach_the_near_duplicate_stage(spark, tmp_path):
+    base = [prose(900 + k, 300) for k in range(8)]
+    near = [edited(t, 6, k) for k, t in enumerate(base)]  # most lines equal, some edited
+    passage = prose(950, 24, line=24)
+    shared = [f"{prose(960 + k, 200)}\n{passage}" for k in range(4)]
+    docs = frame(spark, base + near + shared)
+    sf = _tables(spark, docs, tmp_path)
+    steps = dict(corpus_pipeline.STAGES)
+    lined = steps["line_templates"](spark, docs, sf)
+    after = {r.doc_id: r.text for r in lined.collect()}
+    assert [i for i in range(17, 21) if passage in after[i]] == [17]  # a shared passage stays in its first text
+    assert {r.doc_id for r in steps["jaccard_join"](spark, lined, sf).collect()} == {*range(1, 9), *range(17, 21)}

@@ -37,6 +37,7 @@ DEPTH = 3
 MIN_DOCS = 10
 EXACT_DOCS = 2  # for lines that are equal word for word
 EXACT_WORDS = 10  # shorter ones may be equal by chance
+EXACT_SHARE = 60  # a text of which more percent of the words are such lines, but not all, is a near copy
 SIMILARITY = 75  # per cent of the words without digits
 FIELD = "<*>"
 SALTS = 16
@@ -98,8 +99,8 @@ def _repeats(rows: DataFrame) -> DataFrame:
     return out.select("_id", "_mark", "_pos")
 
 
-def _dropped(rows: DataFrame, exact: bool) -> DataFrame:
-    """Places of the lines to drop, by document."""
+def _dropped(rows: DataFrame) -> DataFrame:
+    """Places of the lines of recurring templates to drop, by document."""
     leaves = F.transform(F.split("_text", "\n"), lambda x: let(_words(x), _leaf))
     each = rows.select(F.explode(F.array_distinct(leaves)).alias("_leaf"))
     hot = stored(each.groupBy("_leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_DOCS).select("_leaf"), "leaves")
@@ -116,10 +117,21 @@ def _dropped(rows: DataFrame, exact: bool) -> DataFrame:
     first = F.struct("_id", "_mark", "_pos")
     recurring = once.groupBy(*template).agg(F.count(F.lit(1)).alias("_docs"), F.min(first).alias("_first"))
     out = placed.join(recurring.where(F.col("_docs") >= MIN_DOCS), template).where(~first.eqNullSafe(F.col("_first")))
-    out = out.select("_id", "_mark", "_pos")
-    if exact:
-        out = out.unionByName(_repeats(rows))
-    return out.groupBy("_id", "_mark").agg(F.array_sort(F.collect_set("_pos")).alias("_drop"))
+    return _listed(out.select("_id", "_mark", "_pos"), "_drop")
+
+
+def _listed(places: DataFrame, name: str) -> DataFrame:
+    return places.groupBy("_id", "_mark").agg(F.array_sort(F.collect_set("_pos")).alias(name))
+
+
+def _near_copy(lines: Column, places: Column) -> Column:
+    """True if the lines at ``places`` hold more than ``EXACT_SHARE`` percent of all words, but not all."""
+    sizes = F.transform(lines, lambda x: F.size(F.regexp_extract_all(x, F.lit(WORD), F.lit(0))))
+    total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + x)
+    shares = let(
+        sizes, lambda n: F.struct(total(F.transform(places, lambda i: F.get(n, i))).alias("gone"), total(n).alias("all"))
+    )
+    return let(shares, lambda s: (100 * s["gone"] > EXACT_SHARE * s["all"]) & (s["gone"] < s["all"]))
 
 
 def drop_templates(
@@ -127,14 +139,23 @@ def drop_templates(
 ) -> DataFrame:
     """``row`` (all columns of ``docs``), ``text`` without the dropped lines, ``n_lines``, ``n_dropped``.
 
-    ``exact``: drop long lines that are repeated word for word from ``EXACT_DOCS`` documents on.
+    ``exact``: drop long lines that are repeated word for word from ``EXACT_DOCS`` documents on.  A
+    text of which they are more than ``EXACT_SHARE`` percent of the words, but not all, keeps them:
+    it is a near copy, which a search for near duplicates must see whole.
     """
     text = F.col(text_col).cast("string")
     keys = (F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_mark"), text.alias("_text"))
-    dropped = stored(_dropped(docs.select(*keys), exact), "dropped")
+    dropped = stored(_dropped(docs.select(*keys)), "dropped")
     rows = docs.select(F.struct("*").alias("row"), *keys).alias("d")
     same = F.expr("d._id <=> x._id AND d._mark = x._mark")
-    joined = rows.join(dropped.alias("x"), same, "left").select("row", "_text", "_drop")
+    joined = rows.join(dropped.alias("x"), same, "left").select("row", "d._id", "d._mark", "_text", "_drop")
+    if exact:
+        repeats = stored(_listed(_repeats(docs.select(*keys)), "_exact"), "repeats")
+        joined = joined.alias("d").join(repeats.alias("x"), same, "left").select("row", "_text", "_drop", "_exact")
+        line = F.split("_text", "\n")
+        own = F.when(~_near_copy(line, F.col("_exact")), F.col("_exact"))
+        both = F.array_union(F.coalesce("_drop", F.array().cast("array<int>")), own)
+        joined = joined.withColumn("_drop", F.coalesce(F.when(F.col("_exact").isNotNull(), both), "_drop"))
     lines = joined.select("row", "_text", "_drop", F.split("_text", "\n").alias("_lines"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
     return lines.select(
