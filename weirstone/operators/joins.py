@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from weirstone.functions.names import blank_to_null
 from weirstone.operators.keyed import last_per_key
 
-# Bytes that a side sent to every task may have, by the optimizer's estimate.
+# Bytes that a side sent to every task may have in memory, and how much larger than its files' share
+# of the optimizer's estimate it is taken to be there (compressed columns, row overhead).
 BROADCAST_BYTES = 64 << 20
+EXPANSION = 10
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -27,13 +29,13 @@ def estimated_bytes(df: DataFrame) -> int:
 def map_side_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Join with the small side sent to every task if it is estimated at ``max_bytes`` at most.
+    """Join with the small side sent to every task if ``EXPANSION`` times its estimate is ``max_bytes`` at most.
 
-    The estimate is an upper bound for scans and filters and grows with the
-    width of the rows; beyond it this is an ordinary join that Spark plans by
-    its own threshold and at run time.
+    The estimate of a scan is the size of its compressed files, so it is no
+    upper bound by itself.  Beyond the bound this is an ordinary join that
+    Spark plans by its own threshold and at run time.
     """
-    side = F.broadcast(small) if estimated_bytes(small) <= max_bytes else small
+    side = F.broadcast(small) if EXPANSION * estimated_bytes(small) <= max_bytes else small
     return big.join(side, list(on), how)
 
 
