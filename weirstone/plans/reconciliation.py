@@ -325,3 +325,14 @@ def assertion_report(spark, sf):
             quality.assert_table(table(spark, sf, "lineitem"), "lineitem", conditions={"tax < 0.08": F.col("l_tax") < 0.08}),
         ]
     )
+
+
+@query(
+    "missing_tables",
+    """SELECT 'weirstone_orders' AS table_name, COUNT(*) AS row_count, COUNT(*) > 0 AS ok, '' AS detail FROM orders
+       UNION ALL SELECT 'weirstone_no_such_table', NULL, FALSE, 'table not found'""",
+)
+def missing_tables(spark, sf):
+    # A name that is in no catalog is a failed row beside the counts of the others.
+    table(spark, sf, "orders").createOrReplaceTempView("weirstone_orders")
+    return quality.catalog_tables_non_empty(spark, ["weirstone_orders", "weirstone_no_such_table"])
