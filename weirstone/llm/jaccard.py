@@ -12,11 +12,14 @@ Jaccard distance is a metric, and the join divides its space by pivots, twice.
 * **Inner pivots are documents.**  In each region the most typical document
   (the largest part of its window shared with others) is the pivot, and all
   members are measured against it: members within the threshold link to it, and
-  so to each other, without any pair among them.  What is not in one component
-  afterwards is divided again: two members are measured against each other only
-  if they are in different components, their sizes allow a link, and the
-  triangle inequality does, ``|d(x, p) - d(y, p)| <= 0.2``,
-  and they have as many regions in common as a link of their sizes takes.
+  so to each other, without any pair among them.  What is not one component
+  afterwards is divided again, by cell of pivot and not by region: up to
+  ``PIVOTS`` further members of each cell, typical ones apart from the pivot's
+  component, are measured against the cell, as long as that takes away half of
+  what is left.  Then the members of a cell meet, but only those in different
+  components whose sizes allow a link, whose distances to the pivot differ by
+  0.2 at most, and whose marked regions leave room for as many in common as a
+  link of their sizes takes.
 
 Every distance is computed on the whole sets, so links are exact.  Equal sets
 are one class from the start; a large group of copies is one row.  Rare means
@@ -49,6 +52,10 @@ from weirstone.llm.links import components
 SHINGLE = 5
 PERCENT = 80
 COUNT_BITS = 18
+# Words of 64 bits that mark the regions of a set.
+MARKS = 4
+# Pivots that a cell is divided by at a time.
+PIVOTS = 8
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (1 << 64) - 1 | 1 for i in range(SHINGLE + 1)], np.uint64)
 
 
@@ -205,37 +212,76 @@ def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pivots, pairs.where(4 * F.col("k") >= _common("a_n", "b_n")).drop("k")
 
 
-def _second_pairs(members: DataFrame, pivots: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
-    """Distinct pairs of regions that are not yet one component, as far as the windows allow a link."""
-    placed = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "root", F.coalesce("root", "cid")
-    )
-    mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    distances = known.select(F.col("a").alias("cid"), "b", "d").union(
-        known.select(F.col("b").alias("cid"), "b", F.lit(0.0).alias("d")).distinct()
-    )
-    away = (
-        placed.join(mixed.where("lo <> hi").select("h"), "h", "left_semi")
-        .join(pivots, "h")
-        .join(distances, ["cid", "b"], "left")
-        .select(
-            *("h", "cid", "n", "root"),
-            F.coalesce("d", 1 - F.least("n", "b_n") / F.greatest("n", "b_n")).alias("low"),
-            F.coalesce("d", F.lit(1.0)).alias("high"),
-        )
+def _cells(members: DataFrame, pivots: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
+    """The cells of document pivots: ``p``, ``cid``, ``n``, ``c``, ``root``, bounds ``low``, ``high`` and ``m0``...
+
+    A cell holds the members of all regions that have its pivot and are not one
+    component yet; any two that may still link are in a cell together.  The bounds
+    are those of the distance to the pivot, ``c`` counts the regions of a member
+    that are in some cell, and the ``m`` columns mark them in ``MARKS`` words of 64 bits.
+    """
+    placed = members.select("h", "cid", "n").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "cid"))
+    mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    away = stored(placed.join(mixed.select("h"), "h", "left_semi"), "away")
+    marks = [
+        F.coalesce(F.expr(f"bit_or(if(h & {MARKS - 1} = {i}, shiftleft(1L, cast(shiftright(h, 8) & 63 as int)), 0L))"), F.lit(0)).alias(f"m{i}")
+        for i in range(MARKS)
+    ]
+    sided = away.groupBy("cid", "n", "root").agg(F.count(F.lit(1)).alias("c"), *marks)
+    distances = known.select(F.col("a").alias("cid"), F.col("b").alias("p"), "d").union(
+        known.select(F.col("b").alias("cid"), F.col("b").alias("p"), F.lit(0.0).alias("d")).distinct()
     )
-    away = stored(away, "away")
-    # what two components share lies in regions of several components, so only these count
-    sided = away.join(away.groupBy("cid").agg(F.count(F.lit(1)).alias("c")), "cid")
-    sides = ("cid", "n", "c", "root", "low", "high")
-    x, y = (sided.select("h", *(F.col(c).alias(f"{s}_{c}") for c in sides)) for s in "ab")
+    centres = pivots.select("h", F.col("b").alias("p"), F.col("b_n").alias("p_n"))
+    places = away.select("h", "cid").join(centres, "h").select("p", "p_n", "cid").distinct()
+    met = places.join(sided, "cid").join(distances, ["cid", "p"], "left")
+    low = F.coalesce("d", 1 - F.least("n", "p_n") / F.greatest("n", "p_n")).alias("low")
+    return met.select("p", "cid", "n", "c", "root", low, F.coalesce("d", F.lit(1.0)).alias("high"), *(f"m{i}" for i in range(MARKS)))
+
+
+def _met(cells: DataFrame, others: DataFrame) -> DataFrame:
+    """Distinct pairs of ``cells`` and ``others`` that are not one component, as far as the windows allow a link.
+
+    Two sets differ in as many regions as their marks do, at least.
+    """
+    sides = ("cid", "n", "c", "root", "low", "high", *(f"m{i}" for i in range(MARKS)))
+    x, y = (t.select("p", *(F.col(c).alias(f"{s}_{c}") for c in sides)) for t, s in ((cells, "a"), (others, "b")))
     reach = F.lit(1 - PERCENT / 100 + 1e-9)
     near = (F.col("a_low") - F.col("b_high") <= reach) & (F.col("b_low") - F.col("a_high") <= reach)
-    fits = near & (F.col("a_cid") < F.col("b_cid")) & (F.col("a_root") != F.col("b_root")) & _may_link("a", "b")
-    met = x.join(y, "h").where(fits).groupBy(F.col("a_cid").alias("a"), F.col("b_cid").alias("b"), "a_n", "b_n")
-    enough = met.agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= _common("a_n", "b_n")).drop("k")
-    done = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return enough.join(done, ["a", "b"], "left_anti")
+    differ = sum((F.bit_count(F.col(f"a_m{i}").bitwiseXOR(F.col(f"b_m{i}"))) for i in range(MARKS)), F.lit(0))
+    common = F.col("a_c") + F.col("b_c") - differ >= 2 * _common("a_n", "b_n")
+    order = F.col("a_cid") < F.col("b_cid")
+    fits = near & common & (F.col("a_root") != F.col("b_root")) & _may_link("a", "b")
+    found = x.join(y, "p").where(fits & (order if others is cells else F.col("a_cid") != F.col("b_cid")))
+    sizes = [F.when(order, F.col(m)).otherwise(F.col(o)) for m, o in (("a_n", "b_n"), ("b_n", "a_n"))]
+    ends = [F.least("a_cid", "b_cid").alias("a"), F.greatest("a_cid", "b_cid").alias("b")]
+    return found.select(*ends, sizes[0].alias("a_n"), sizes[1].alias("b_n")).distinct()
+
+
+def _open(cells: DataFrame, roots: DataFrame) -> DataFrame:
+    """``cells`` with the components of ``roots``, without the cells that are one component."""
+    placed = cells.withColumnRenamed("root", "_old").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "_old")).drop("_old")
+    mixed = placed.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    return placed.join(mixed.select("p"), "p", "left_semi")
+
+
+def _further(cells: DataFrame) -> DataFrame:
+    """Rows of up to ``PIVOTS`` members of each cell, the most typical ones apart from the pivot's component."""
+    centre = cells.where("cid = p").select("p", F.col("root").alias("_at"))
+    apart = cells.join(centre, "p", "left").where("_at IS NULL OR root <> _at").drop("_at")
+    rest = [c for c in apart.columns if c != "p"]
+    rank = F.struct((F.col("c") / F.col("n")).alias("_r"), F.xxhash64("cid").alias("_x"), *rest)
+    best = apart.groupBy("p", F.pmod(F.xxhash64("cid"), F.lit(PIVOTS)).alias("_slot")).agg(F.max(rank).alias("_best"))
+    return best.select("p", *(f"_best.{c}" for c in rest))
+
+
+def _size(cells: DataFrame) -> tuple[int, int]:
+    """Rows of ``cells``, and pairs of their members that are in different components."""
+    parts = cells.groupBy("p", "root").agg(F.count(F.lit(1)).alias("k"))
+    both = parts.groupBy("p").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("same"))
+    row = both.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
+    return int(row["n"] or 0), int(row["pairs"] or 0)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,11 +298,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = stored(measured(pairs, rows, classes), "distances")
     links = known.where("linked").select("a", "b")
     roots = stored(components(links), "roots")
-    pairs = stored(_second_pairs(members, pivots, known, roots), "pairs")
-    if not pairs.isEmpty():
-        later = stored(measured(pairs, rows, classes), "distances").where("linked").select("a", "b")
-        # the stars found so far stand for the links that made them
-        roots = stored(components(roots.select("node", "root").where("node <> root").union(later)), "roots")
+    cells = stored(_open(_cells(members, pivots, known, roots), roots), "cells")
+    done = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    n, left = _size(cells)
+    while left:
+        # cells are divided by further pivots while that takes away half of what is left; then the rest is met
+        last = left <= PIVOTS * n
+        pairs = stored(_met(cells, cells if last else _further(cells)).join(done, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            known = stored(measured(pairs, rows, classes), "distances")
+            done = done.union(known.select("a", "b"))
+            later = known.where("linked").select("a", "b")
+            # the stars found so far stand for the links that made them
+            roots = stored(components(roots.select("node", "root").where("node <> root").union(later)), "roots")
+        if last:
+            break
+        cells = stored(_open(cells, roots), "cells")
+        before, (n, left) = left, _size(cells)
+        if 2 * left > before:
+            n = left
     named = classes.join(roots, classes.cid == roots.node, "left").select("digest", "_id", F.coalesce("root", "cid").alias("root"))
     least = named.groupBy("root").agg(F.min("_id").alias("component_id"))
     by_set = named.join(least, "root").select("digest", "component_id")
