@@ -24,6 +24,12 @@ def test_round_trip_of_hostile_texts(spark):
     assert got[1].formatted.count(chat.START) == 7
 
 
+def test_ties_go_by_the_plain_text(spark):
+    rows = [(1, 0, "user", t) for t in ("<x", "[z", "(y", "&w", None, "a")] + [(1, 0, "assistant", "<")]
+    got = read(spark.createDataFrame(rows, TURNS)).collect()[0]
+    assert [(t.role, t.text) for t in got.turns] == [("assistant", "<")] + [("user", t) for t in ("", "&w", "(y", "<x", "[z", "a")]
+
+
 def test_typed_parts(spark):
     df = spark.sql(
         """SELECT 1L AS conv_id, 0L AS turn, 'user' AS role, array(

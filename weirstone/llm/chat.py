@@ -14,11 +14,14 @@ control string of this or of a bracketed template survives in a text, and
 The loss mask is a list of spans of UTF-8 bytes of the formatted text: the
 content of each assistant turn, without its markers.
 
-Defined results: turns go by number, null first, ties by role and content; a
-null role or text is empty; a null or empty list of parts is an empty text; a
-part of unknown type is text if it has text, else a file placeholder of one
-token; sizes that are null count as the smallest; a null conversation id is a
-conversation of its own; rows that repeat are turns of their own.
+Defined results: turns go by number, null first, ties by role and parts as they
+are given, before escapes; a null role or text is empty; a null or empty list of
+parts is an empty text; a part of unknown type is text if it has text, else a
+file placeholder of one token; sizes that are null count as the smallest; a null
+conversation id is a conversation of its own; rows that repeat are turns of
+their own; an empty table gives no rows; other columns are ignored, whatever
+their names.  A conversation is one row of the result, so the bound of a row, 2
+GB, holds for its formatted text.
 """
 
 from __future__ import annotations
@@ -105,8 +108,7 @@ def format_chats(
         F.struct(
             F.col(turn_col).alias("turn"),
             role.alias("role"),
-            F.array_join(F.transform(parts, visit_text), "").alias("body"),
-            attachments(parts).alias("files"),
+            parts.alias("parts"),
         ).alias("_turn"),
     )
     ordered = rows.groupBy("_conv").agg(F.array_sort(F.collect_list("_turn")).alias("_turns"))
@@ -117,7 +119,10 @@ def format_chats(
         F.transform(
             "_turns",
             lambda t: F.struct(
-                head(t).alias("head"), t["body"].alias("body"), (t["role"] == "assistant").alias("loss"), t["files"].alias("files")
+                head(t).alias("head"),
+                F.array_join(F.transform(t["parts"], visit_text), "").alias("body"),
+                (t["role"] == "assistant").alias("loss"),
+                attachments(t["parts"]).alias("files"),
             ),
         ).alias("_pieces"),
     )
