@@ -71,3 +71,12 @@ def test_repeated_and_null_ids(spark):
 def test_table_against_brute_force(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     assert run(df) == brute([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
+
+
+def test_texts_under_one_id_are_counted(spark):
+    df = spark.createDataFrame([(1, t) for t in ("a", "b", "c", "c", None)] + [(None, "d"), (None, "e"), (2, "f")], "doc_id bigint, text string")
+    rows = suffixes._numbered(df, "doc_id", "text", 4).collect()
+    assert sorted(r._variant for r in rows if r._id == 1) in ([0, 1, 2, 3, 3], [0, 1, 2, 2, 3], [0, 1, 1, 2, 3], [0, 0, 1, 2, 3])
+    assert all(r._variant == 0 for r in rows if r._id != 1)
+    with pytest.raises(Exception, match="too many different texts under id 1"):
+        suffixes._numbered(df, "doc_id", "text", 3)

@@ -32,9 +32,10 @@ hold does not meet in one task.  Rows hold names and places only; the few
 rounds that need bytes again read the texts again.
 
 Defined results: a null text is empty; a text under 50 bytes loses nothing;
-rows that repeat an id take nothing from each other; a row without id neither
-loses anything nor makes others lose; an empty table gives no rows; other
-columns are ignored.
+rows that repeat an id take nothing from each other; more than ``MAX_VARIANTS``
+different texts under one id are refused with an error that names the id; a row
+without id neither loses anything nor makes others lose; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -59,7 +60,8 @@ _PLACE_BITS = 21
 _NAMES = np.random.default_rng(50).integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 # A run in one number: start, variant of a repeated id, anchor, last start, and what is known: nothing, shared, found.
-_START, _VARIANT, _ANCHOR, _LAST = 24, 12, 7, 2
+# A text of Spark is under 2^31 bytes, so a start takes 31 bits.
+_START, _VARIANT, _ANCHOR, _LAST = 32, 12, 7, 2
 SHARED, FOUND = 1, 2
 MAX_VARIANTS = 1 << (_START - _VARIANT)
 
@@ -304,13 +306,23 @@ def _ends(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return _sorted(named, "c", "_id").mapInArrow(later, "_id bigint, run bigint")
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _numbered(docs: DataFrame, id_col: str, text_col: str, max_variants: int = MAX_VARIANTS) -> DataFrame:
     """``_id``, ``_variant`` and ``_bytes``: texts that share an id are told apart by a variant number."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     marked = rows.withColumn("_mark", F.xxhash64("_text"))
     twice = marked.groupBy("_id").agg(F.min("_mark").alias("a"), F.max("_mark").alias("b")).where("a < b").select("_id")
-    marks = marked.select("_id", "_mark").join(twice, "_id", "left_semi").groupBy("_id").agg(F.array_sort(F.collect_set("_mark")).alias("m"))
-    marks = stored(marks.select("_id", F.posexplode("m").alias("_variant", "_mark")), "variants")
+    marks = marked.select("_id", "_mark").join(twice, "_id", "left_semi").distinct()
+    several = F.concat(F.lit("too many different texts under id "), F.col("_id"))
+    counts = marks.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+    refused = F.when(F.col("_n") > max_variants, F.raise_error(several)).otherwise(F.lit(0))
+    counted = counts.select("_id", refused.cast("int").alias("_zero"))
+    lists = marks.join(counted, "_id").groupBy("_id", "_zero").agg(F.array_sort(F.collect_list("_mark")).alias("m"))
+    marks = stored(
+        lists.select("_id", "_zero", F.posexplode("m").alias("_place", "_mark")).select(
+            "_id", "_mark", (F.col("_place") + F.col("_zero")).alias("_variant")
+        ),
+        "variants",
+    )
     joined = marked.join(marks, ["_id", "_mark"], "left")
     return joined.select("_id", F.coalesce("_variant", F.lit(0)).alias("_variant"), F.col("_text").cast("binary").alias("_bytes"))
 
