@@ -35,6 +35,45 @@ def test_finds_and_formats():
     assert re.search(r"AKIA[A-Z]{8}\d{8}", out)
 
 
+def test_names_are_found_again():
+    text = "Mr. John Smith called. Smith said John, not smith or Smithson, mailed Smith@x.com. SMITH. Prof. Dr. Ada Byron and Ada."
+    found = [(text[a:b], k) for a, b, k in s.find(text)]
+    assert found == [
+        ("John", "first_m"), ("Smith", "last"), ("Smith", "last"), ("John", "first_m"), ("Smith@x.com", "email"),
+        ("Ada", "first_n"), ("Byron", "last"), ("Ada", "first_n"),
+    ]
+    out, n = s.replace(text, KEY)
+    words = out.replace(".", "").split()
+    assert n == 8 and words[2] == words[4] != "Smith" and words[1] == words[6].strip(",") and words[-1] == words[-4]
+    both = "Dr. Mary Smith, that is Mrs. Mary Smith"
+    assert [k for _, _, k in s.find(both)] == ["first_f", "last"] * 2
+    assert [k for _, _, k in s.find("Mr. T and T, Dr. who, Doctor")] == ["last"]
+
+
+def test_accounts_and_addresses():
+    out, n = s.replace("GB82 WEST 1234 5698 7654 32 and DE89370400440532013000", KEY)
+    accounts = [s.normal("iban", out[a:b]) for a, b, k in s.find(out) if k == "iban"]
+    assert n == len(accounts) == 2 and [a[:2] for a in accounts] == ["GB", "DE"]
+    assert all(int("".join(str(int(c, 36)) for c in a[4:] + a[:4])) % 97 == 1 for a in accounts)
+    assert s.check_number("GB82WEST12345698765432") == "82"
+    text = "2001:db8::8a2e:370:7334 or 2001:DB8:0:0:0:8A2E:370:7334, not std::vec, be::add, ::1 or 12:30:45"
+    out, n = s.replace(text, KEY)
+    first, second = (out[a:b] for a, b, k in s.find(out) if k == "ipv6")
+    assert n == 2 and first.lower() == second.lower() != "2001:db8::8a2e:370:7334" and second.isupper()
+    assert out.endswith("not std::vec, be::add, ::1 or 12:30:45")
+    for attempt in range(9):
+        parts = s.surrogate("ipv4", "10.0.0.1", KEY, attempt).split(".")
+        assert len(parts) == 4 and all(0 <= int(p) <= 255 for p in parts)
+        assert s.ipaddress.IPv6Address(s.surrogate("ipv6", "fe80::1", KEY, attempt))
+
+
+def test_names_of_all_kinds_are_distinct(spark):
+    values = [(k, f"{c}{d}") for k in s.NAMES for c in "aeiou" for d in "bcd"]
+    rows = s.assign(spark.createDataFrame(values, "_kind string, _value string"), KEY).collect()
+    made = [r._surrogate for r in rows]
+    assert len(rows) == len(values) == len(set(made)) and not set(made) & {v for _, v in values}
+
+
 def test_keyed_and_repeatable():
     assert s.replace(TEXT, KEY) == s.replace(TEXT, KEY)
     assert s.replace(TEXT, KEY) != s.replace(TEXT, b"other")
