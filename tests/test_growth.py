@@ -190,6 +190,18 @@ def test_rule_table_takes_the_first_match(spark):
     assert routing.route(nodes, table.limit(0), "command", "body").where("target IS NOT NULL").count() == 0
 
 
+def test_routing_does_not_shuffle_nodes(spark):
+    # the size of frames made from Python rows is not known to the optimizer, as that of a large table
+    rules_ = spark.createDataFrame(
+        [(2, "PY", "holds", "x", "own"), (1, None, "holds", "y", "any"), (3, None, None, None, "rest")],
+        "priority int, command string, test string, marker string, target string",
+    ).withColumn("reason", F.lit(None).cast("string"))
+    nodes = spark.createDataFrame([(1, "PY", "x y"), (2, "PY", "x"), (3, "PY", ""), (4, "SH", "x")], "n int, command string, body string")
+    found = routing.route(nodes, rules_, "command", "body")
+    assert "hashpartitioning" not in plan_of(found) and "SortMergeJoin" not in plan_of(found)
+    assert rows(found.select("n", "target")) == [(1, "any"), (2, "own"), (3, "rest"), (4, "rest")]
+
+
 def test_backfill_computes_what_changed(spark, tmp_path):
     source, mart, manifest = (str(tmp_path / n) for n in ("s", "m", "f"))
     roll = lambda d: d.groupBy("pt").agg(F.sum("v").alias("v"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirstone.operators.joins import map_side_join
+from weirstone.session import materialise
 
 TESTS = ("head", "holds", "nocase head", "nocase holds")
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -26,24 +27,24 @@ def unknown_tests(rules: DataFrame) -> DataFrame:
 def route(nodes: DataFrame, rules: DataFrame, command: str, text: str) -> DataFrame:
     """``nodes`` with ``target`` and ``reason`` of the first rule that holds, null where none does.
 
-    Of the rules of one priority the first by marker counts; a null text is empty.  The rules of a
-    command, with those for any command, become one ordered list, so a node is
-    joined with one row and never copied; the lists are sent to every task if
-    they are small, and joined by command if not.
+    Of the rules of one priority the first by marker counts; a null text is empty, and a null command
+    has no rule.  The rules of a command become one ordered list, those for any command another.  The
+    lists are made from the rules alone and stored, so their size is known: they are sent to every task if they
+    are small, and nodes are neither copied nor shuffled; larger ones are joined by command.
     """
-    own = nodes.select(F.col(command).alias("_command")).distinct()
-    rule = F.struct("priority", "marker", "test", "target", "reason").alias("rule")
-    named = rules.where("command IS NOT NULL").select(F.col("command").alias("_command"), rule)
-    exact = own.join(named, "_command")
-    # rules for any command go to each command: as many rows as commands by such rules
-    anywhere = rules.where("command IS NULL").select(F.pmod(F.xxhash64("priority"), F.lit(1)).alias("_any"), rule)
-    general = own.withColumn("_any", F.pmod(F.xxhash64("_command"), F.lit(1))).join(anywhere, "_any")
-    general = general.select("_command", "rule")
-    lists = exact.unionByName(general).groupBy("_command").agg(F.sort_array(F.collect_list("rule")).alias("_rules"))
-    joined = map_side_join(nodes.withColumn("_command", F.col(command)), lists, ["_command"], "left")
+    texts = [F.col(c).cast("string").alias(c) for c in ("marker", "test")]
+    rule = F.struct("priority", *texts, "target", "reason")
+    ordered = F.sort_array(F.collect_list(rule)).alias("_rules")
+    lists = materialise(rules.groupBy(F.col("command").cast("string").alias("_command")).agg(ordered), "rules")
+    named = lists.where("_command IS NOT NULL")
+    # one row, which every task needs whole
+    general = lists.where("_command IS NULL").agg(F.flatten(F.collect_list("_rules")).alias("_general"))
+    own = nodes.withColumn("_command", F.col(command).cast("string"))
+    joined = map_side_join(own, named, ["_command"], "left").crossJoin(F.broadcast(general))
     body = F.coalesce(F.col(text), F.lit(""))
-    held = F.get(F.filter("_rules", lambda r: _holds(r, body)), 0)
-    return joined.withColumns({"target": held["target"], "reason": held["reason"]}).drop("_command", "_rules")
+    first = [F.get(F.filter(c, lambda r: _holds(r, body)), 0) for c in ("_rules", "_general")]
+    held = F.when(F.col("_command").isNotNull(), F.least(*first))  # in the order of the lists; nulls are skipped
+    return joined.withColumns({"target": held["target"], "reason": held["reason"]}).drop("_command", "_rules", "_general")
 
 
 def _holds(rule: Column, body: Column) -> Column:
