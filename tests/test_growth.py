@@ -75,6 +75,20 @@ def test_a_node_between_two_cycles_is_on_none(spark):
     assert graph.cycle_components(df, ed.limit(0)).count() == 0
 
 
+def test_graph_tables_are_not_broadcast_and_cycles_cost_no_rounds(spark, monkeypatch):
+    # 64 cycles of two nodes beside a chain of nine: before, rounds went on until they passed the number of nodes on cycles
+    labels, store = [], graph.materialise
+    monkeypatch.setattr(graph, "materialise", lambda df, label: (labels.append((label, plan_of(df))), store(df, label))[1])
+    pairs = [(100 + i, 100 + (i ^ 1)) for i in range(128)] + [(i, i - 1) for i in range(1, 10)]
+    df = spark.createDataFrame([(n,) for n, _ in pairs] + [(0,)], "node int")
+    ed = spark.createDataFrame(pairs, "node int, upstream int")
+    levels = graph.topological_levels(df, ed)
+    assert dict(rows(levels)) == {n: n if n < 10 else None for n in [0, *[n for n, _ in pairs]]}
+    assert [name for name, _ in labels].count("anchors") <= 6  # the start, four rounds for nine steps, one that settles none
+    assert len(rows(graph.cycle_components(df, ed))) == 128
+    assert not [name for name, plan in labels if "Broadcast" in plan] and "Broadcast" not in plan_of(levels)
+
+
 @pytest.mark.parametrize("limit", [0, 30, 512])
 def test_levels_do_not_depend_on_the_row_limit(spark, limit):
     rng = random.Random(3)

@@ -19,6 +19,15 @@ from weirstone.session import materialise
 ROW_LIMIT = 512
 
 
+def _merged(side: DataFrame) -> DataFrame:
+    """``side`` for a join by sorting both sides.
+
+    Tables of a graph grow with it and are joined round by round; left to
+    Spark's threshold, each of them would pass through the driver to be sent to every task.
+    """
+    return side.hint("merge")
+
+
 def edges_from_refs(nodes: DataFrame, group: Sequence[str], node: str, refs: Column) -> DataFrame:
     """Edges (node, upstream) from a list of upstream ids per node; blanks are no edge."""
     pairs = nodes.select(*group, F.col(node).alias("node"), F.explode(refs).alias("upstream"))
@@ -30,7 +39,7 @@ def prune_edges(nodes: DataFrame, edges: DataFrame, group: Sequence[str]) -> Dat
     ids = nodes.select(*group, "node").distinct()
     ups = ids.withColumnRenamed("node", "upstream")
     plain = edges.select(*group, "node", "upstream").distinct()
-    return plain.join(ids, [*group, "node"], "left_semi").join(ups, [*group, "upstream"], "left_semi")
+    return plain.join(_merged(ids), [*group, "node"], "left_semi").join(_merged(ups), [*group, "upstream"], "left_semi")
 
 
 def degrees(nodes: DataFrame, edges: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -124,16 +133,16 @@ def _levels_in_rows(both: DataFrame, group: list[str]) -> DataFrame:
 def _levels(ids: DataFrame, known: DataFrame, group: list[str]) -> DataFrame:
     key = [*group, "node"]
     shape = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("upstream").alias("_up"))
-    anchored = _anchors(ids.join(shape, key, "left"), group)
+    anchored = _anchors(ids.join(_merged(shape), key, "left"), group)
     many = shape.where("_n > 1").select(*key)
     ends = anchored.select(*group, F.col("node").alias("upstream"), "anchor", "dist", "lost")
     # an edge of a node with several upstreams reaches the anchor of each
-    links = known.join(many, key, "left_semi").join(ends, [*group, "upstream"]).select(
+    links = known.join(_merged(many), key, "left_semi").join(_merged(ends), [*group, "upstream"]).select(
         *key, F.col("anchor").alias("upstream"), (F.col("dist") + 1).alias("weight"), "lost"
     )
-    solved = _peel(anchored.where("node = anchor").join(many, key, "left_anti").select(*key), links, group)
+    solved = _peel(anchored.where("node = anchor").join(_merged(many), key, "left_anti").select(*key), links, group)
     tops = solved.select(*group, F.col("node").alias("anchor"), F.col("level").alias("_top"))
-    placed = anchored.join(tops, [*group, "anchor"], "left")
+    placed = anchored.join(_merged(tops), [*group, "anchor"], "left")
     level = F.when(~F.col("lost"), F.col("_top") + F.col("dist"))
     return placed.select(*key, level.alias("level"))
 
@@ -144,6 +153,10 @@ def _anchors(shaped: DataFrame, group: list[str]) -> DataFrame:
     ``dist`` steps lie between; a node whose run ends in a cycle has no such
     node and is ``lost``.  Settled nodes are written once; only open ones are
     carried from round to round, and they look up in what is settled and open.
+
+    Round r settles the nodes of 2^(r-1) to 2^r - 1 steps, and a run that ends
+    has nodes of every number of steps up to its length.  So the first round that
+    settles none is the last: all that is open runs into cycles.
     """
     single = F.coalesce(F.col("_n") == 1, F.lit(False))
     start = shaped.select(
@@ -155,31 +168,23 @@ def _anchors(shaped: DataFrame, group: list[str]) -> DataFrame:
     )
     state = materialise(start, "anchors")
     done, open_ = [state.where("NOT open")], state.where("open")
-    steps, bound = 1, _widest(open_, group)
-    while bound and steps <= bound:
+    while not open_.isEmpty():
         there = reduce(DataFrame.unionByName, [*done, open_]).select(
             *group, F.col("node").alias("anchor"), F.col("anchor").alias("_a"), F.col("dist").alias("_d"), F.col("open").alias("_o")
         )
-        moved = open_.join(there, [*group, "anchor"]).select(
+        moved = open_.join(_merged(there), [*group, "anchor"]).select(
             *group, "node", F.col("_a").alias("anchor"), (F.col("dist") + F.col("_d")).alias("dist"), F.col("_o").alias("open")
         )
         state = materialise(moved, "anchors")
-        done.append(state.where("NOT open"))
-        open_ = state.where("open")
-        steps *= 2
-        # an open node outside cycles has fewer steps to go than its group has open nodes
-        left = _widest(open_, group)
-        bound = min(bound, steps + left - 1) if left else 0
+        settled, open_ = state.where("NOT open"), state.where("open")
+        if settled.isEmpty():
+            break
+        done.append(settled)
     every = reduce(DataFrame.unionByName, done).withColumn("lost", F.lit(False))
     lost = open_.withColumn("lost", F.lit(True))
     return every.unionByName(lost).drop("open")
 
 
-def _widest(rows: DataFrame, group: list[str]) -> int:
-    """Rows of the group that has most."""
-    return int(rows.groupBy(*group).count().agg(F.max("count")).first()[0] or 0)
-
-
 def _peel(roots: DataFrame, links: DataFrame, group: list[str]) -> DataFrame:
     """Levels of roots and of the nodes of weighted links that hang on no cycle.
 
@@ -194,7 +199,7 @@ def _peel(roots: DataFrame, links: DataFrame, group: list[str]) -> DataFrame:
     fresh = solved[0]
     while True:
         upper = fresh.select(*group, F.col("node").alias("upstream"), F.col("level").alias("_l"))
-        joined = rest.join(upper, [*group, "upstream"], "left")
+        joined = rest.join(_merged(upper), [*group, "upstream"], "left")
         marked = joined.withColumn("value", F.coalesce("value", F.when(~F.col("lost"), F.col("_l") + F.col("weight")))).drop("_l")
         marked = materialise(marked, "links")
         total = marked.groupBy(*key).agg(F.bool_and(F.col("value").isNotNull()).alias("_free"), F.max("value").alias("level"))
@@ -202,7 +207,7 @@ def _peel(roots: DataFrame, links: DataFrame, group: list[str]) -> DataFrame:
         if fresh.isEmpty():
             return reduce(DataFrame.unionByName, solved)
         solved.append(fresh)
-        rest = marked.join(fresh.select(*key), key, "left_anti")
+        rest = marked.join(_merged(fresh.select(*key)), key, "left_anti")
 
 
 def topological_order(
@@ -230,7 +235,7 @@ def cyclic_nodes(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = ())
     key = [*group, "node"]
     stuck, known = _stuck(nodes, edges, group)
     found = _components(stuck, known, group).select(*key, F.lit(True).alias("on_cycle"))
-    return stuck.join(found, key, "left").withColumn("on_cycle", F.coalesce("on_cycle", F.lit(False)))
+    return stuck.join(_merged(found), key, "left").withColumn("on_cycle", F.coalesce("on_cycle", F.lit(False)))
 
 
 def cycle_components(nodes: DataFrame, edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -266,19 +271,19 @@ def _components(nodes: DataFrame, links: DataFrame, group: list[str]) -> DataFra
         coloured = _spread_colours(nodes.select(*key), links, group)
         ends = coloured.select(*key, "colour")
         upper = ends.withColumnRenamed("node", "upstream")
-        inner = materialise(links.join(ends, key).join(upper, [*group, "upstream", "colour"]), "inner")
+        inner = materialise(links.join(_merged(ends), key).join(_merged(upper), [*group, "upstream", "colour"]), "inner")
         members = _reach_back(ends.where("colour.node = node"), inner, group)
         found.append(members)
         open_ends = members.select(*key)
-        links = inner.select(*key, "upstream").join(open_ends, key, "left_anti")
-        links = links.join(open_ends.withColumnRenamed("node", "upstream"), [*group, "upstream"], "left_anti")
+        links = inner.select(*key, "upstream").join(_merged(open_ends), key, "left_anti")
+        links = links.join(_merged(open_ends.withColumnRenamed("node", "upstream")), [*group, "upstream"], "left_anti")
         links = materialise(_inner_links(links, group), "links")
         nodes = links.select(*key).distinct()
     if not found:
         return nodes.select(*key, F.col("node").alias("component")).limit(0)
     every = reduce(DataFrame.unionByName, found)
     parts = every.groupBy(*group, "colour").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("_n"))
-    named = every.join(parts, [*group, "colour"])
+    named = every.join(_merged(parts), [*group, "colour"])
     return named.where("_n > 1 OR own").select(*key, "component")
 
 
@@ -286,7 +291,7 @@ def _inner_links(links: DataFrame, group: list[str]) -> DataFrame:
     """Links whose lower end has a link below it and whose upper end has one above it: others are on no cycle."""
     lower = links.select(*group, F.col("upstream").alias("node")).distinct()
     upper = links.select(*group, F.col("node").alias("upstream")).distinct()
-    return links.join(lower, [*group, "node"], "left_semi").join(upper, [*group, "upstream"], "left_semi")
+    return links.join(_merged(lower), [*group, "node"], "left_semi").join(_merged(upper), [*group, "upstream"], "left_semi")
 
 
 def _spread_colours(nodes: DataFrame, links: DataFrame, group: list[str]) -> DataFrame:
@@ -296,9 +301,9 @@ def _spread_colours(nodes: DataFrame, links: DataFrame, group: list[str]) -> Dat
     state = materialise(nodes.select(*key, colour.alias("colour"), F.lit(True).alias("fresh")), "colours")
     while True:
         moved = state.where("fresh").select(*group, F.col("node").alias("upstream"), "colour")
-        best = links.join(moved, [*group, "upstream"]).groupBy(*key).agg(F.min("colour").alias("_new"))
+        best = links.join(_merged(moved), [*group, "upstream"]).groupBy(*key).agg(F.min("colour").alias("_new"))
         less = F.coalesce(F.col("_new") < F.col("colour"), F.lit(False))
-        after = state.join(best, key, "left").select(
+        after = state.join(_merged(best), key, "left").select(
             *key, F.when(less, F.col("_new")).otherwise(F.col("colour")).alias("colour"), less.alias("fresh")
         )
         state = materialise(after, "colours")
@@ -313,12 +318,12 @@ def _reach_back(starts: DataFrame, inner: DataFrame, group: list[str]) -> DataFr
     fresh = materialise(starts.select(*key, "colour"), "members")
     done = [fresh]
     while not fresh.isEmpty():
-        above = inner.join(fresh.select(*key), key, "left_semi").select(*group, F.col("upstream").alias("node"), "colour").distinct()
+        above = inner.join(_merged(fresh.select(*key)), key, "left_semi").select(*group, F.col("upstream").alias("node"), "colour").distinct()
         known = reduce(DataFrame.unionByName, done).select(*key)
-        fresh = materialise(above.join(known, key, "left_anti"), "members")
+        fresh = materialise(above.join(_merged(known), key, "left_anti"), "members")
         done.append(fresh)
     every = reduce(DataFrame.unionByName, done)
-    return materialise(every.join(own, key, "left").withColumn("own", F.coalesce("own", F.lit(False))), "members")
+    return materialise(every.join(_merged(own), key, "left").withColumn("own", F.coalesce("own", F.lit(False))), "members")
 
 
 def cross_group_edges(pairs: DataFrame, left: str, right: str) -> DataFrame:
