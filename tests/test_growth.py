@@ -134,6 +134,20 @@ def test_complete_groups_come_once(spark, tmp_path):
     assert rows(done) == [("a", 2, 2), ("b", 1, 1)]
 
 
+def test_complete_groups_keep_children_in_a_table(spark, tmp_path):
+    source, path, mark = (str(tmp_path / n) for n in ("in", "full", "c"))
+    schema = "p string, c int"
+    early = spark.createDataFrame([("a", 1)], schema)
+    late = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("n", 1), ("n", None), (None, 1)], schema)
+    # b's second child lands before it is expected; a null child never lands
+    for batch, expected in (([("a", 1), ("b", 2)], early), ([("b", 1), ("n", 1), ("n", None), (None, 1), ("a", 1)], late)):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        ingest.run_complete_groups(ingest.landed(spark, source, early.schema), expected, path, mark, "p", ["c"])
+    done = spark.read.schema("p string, n_expected bigint, n_stored bigint").parquet(path).select("p", "n_expected", "n_stored")
+    assert rows(done) == [("a", 1, 1), ("b", 2, 2)]
+    assert not (tmp_path / "c" / "state").exists()
+
+
 def test_chain_rollup_counts_like_count_distinct(spark):
     df = spark.range(4000).selectExpr(
         "id % 3 AS k", "IF(id % 50 = 0, NULL, id % 500) AS o", "IF(id % 50 = 0, NULL, id % 500 % 40) AS u",

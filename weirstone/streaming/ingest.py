@@ -129,24 +129,44 @@ def run_complete_groups(
     """Append each parent once, when the last of its expected children has landed.
 
     ``expected`` is a table of (parent, child): children that are not in it do
-    not count, and a child counts once however often it lands.  Both the
-    children seen and the counts by parent are state (in RocksDB), so a parent may
-    fill up over any number of runs.  Rows are ``parent, n_expected, n_stored``.
+    not count, and a child counts once however often it lands.  It is read anew in each batch.
+    The children seen are a table below the checkpoint, one folder per batch,
+    so a parent may fill up over any number of runs.  A batch is two jobs of plain
+    aggregates: what it has that was not seen is stored, then expected and seen
+    children are counted together by parent.  A batch that is repeated leaves its own
+    folders out and replaces them.  Rows are ``parent, n_expected, n_stored``.
     """
-    known = expected.select(parent, *child).distinct()
-    sizes = known.groupBy(parent).agg(F.count(F.lit(1)).alias("n_expected"))
-    once = landed_rows.select(parent, *child).dropDuplicates([parent, *child])
-    matched = once.join(known.join(sizes, parent), [parent, *child]).select(parent, "n_expected")
-    counts = matched.groupBy(parent, "n_expected").agg(F.count(F.lit(1)).alias("n_stored"))
-    full = counts.where("n_stored = n_expected")
+    pair = [parent, *child]
+    children = landed_rows.select(*pair)
+    folder = f"{checkpoint}/seen"
+    full_schema = T.StructType([*children.schema.fields, T.StructField("batch", T.LongType())])
+
+    def seen(spark: SparkSession, batches: Column) -> DataFrame:
+        return spark.read.schema(full_schema).parquet(folder).where(batches)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        before = seen(batch.sparkSession, F.col("batch") < batch_id).select(*pair, F.lit(True).alias("_old"))
+        both = before.unionByName(batch.dropna(subset=pair).select(*pair, F.lit(False).alias("_old")))
+        fresh = both.groupBy(*pair).agg(F.max("_old").alias("_old")).where("NOT _old").select(*pair)
+        fresh.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        yes, no = F.lit(True), F.lit(False)
+        wanted = expected.where(F.col(parent).isNotNull()).select(*pair, yes.alias("_due"), no.alias("_here"), no.alias("_new"))
+        landed_ = seen(expected.sparkSession, F.col("batch") <= batch_id).select(
+            *pair, no.alias("_due"), yes.alias("_here"), (F.col("batch") == batch_id).alias("_new")
+        )
+        marks = [F.max(c).alias(c) for c in ("_due", "_here", "_new")]
+        each = wanted.unionByName(landed_).groupBy(*pair).agg(*marks).where("_due")
+        counts = each.groupBy(parent).agg(
+            F.count(F.lit(1)).alias("n_expected"), F.count_if("_here").alias("n_stored"), F.max("_new").alias("_new")
+        )
+        done = counts.where("_new AND n_stored = n_expected").select(parent, "n_expected", "n_stored")
         # a batch that is repeated replaces its own folder
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        done.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = full.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
-    with _rocksdb(landed_rows.sparkSession):
-        return _run(writer, landed_rows.sparkSession)
+    spark = landed_rows.sparkSession
+    # an empty folder before the first batch, so that there always is something to read
+    spark.createDataFrame([], children.schema).write.mode("ignore").parquet(f"{folder}/batch=-1")
+    return _run(children.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), spark)
 
 
 @contextmanager
