@@ -37,14 +37,16 @@ def route(nodes: DataFrame, rules: DataFrame, command: str, text: str) -> DataFr
     ordered = F.sort_array(F.collect_list(rule)).alias("_rules")
     lists = materialise(rules.groupBy(F.col("command").cast("string").alias("_command")).agg(ordered), "rules")
     named = lists.where("_command IS NOT NULL")
-    # one row, which every task needs whole
     general = lists.where("_command IS NULL").agg(F.flatten(F.collect_list("_rules")).alias("_general"))
+    # one row, which every task needs whole; its key is 0, as that of every node
+    general = general.withColumn("_any", F.pmod(F.size("_general").cast("bigint"), F.lit(1)))
     own = nodes.withColumn("_command", F.col(command).cast("string"))
-    joined = map_side_join(own, named, ["_command"], "left").crossJoin(F.broadcast(general))
+    keyed = map_side_join(own, named, ["_command"], "left").withColumn("_any", F.pmod(F.xxhash64("_command"), F.lit(1)))
+    joined = keyed.join(F.broadcast(general), "_any", "left")
     body = F.coalesce(F.col(text), F.lit(""))
     first = [F.get(F.filter(c, lambda r: _holds(r, body)), 0) for c in ("_rules", "_general")]
     held = F.when(F.col("_command").isNotNull(), F.least(*first))  # in the order of the lists; nulls are skipped
-    return joined.withColumns({"target": held["target"], "reason": held["reason"]}).drop("_command", "_rules", "_general")
+    return joined.withColumns({"target": held["target"], "reason": held["reason"]}).drop("_command", "_any", "_rules", "_general")
 
 
 def _holds(rule: Column, body: Column) -> Column:
