@@ -69,6 +69,30 @@ def test_against_brute_force(spark, monkeypatch, chunk, top):
     assert len({r[0] for r in expected}) == 3
 
 
+def test_many_small_buckets(spark, monkeypatch):
+    for name, many in (("CHUNK_BYTES", 500), ("BUCKET_ROOT", 1), ("BUCKET_LEAST", 4), ("BUCKET_MOST", 16)):
+        monkeypatch.setattr(phrases, name, many)
+    df = langs(frame(spark, texts(3, 40)))
+    assert run(df, min_count=3) == brute([(r.lang, r.text) for r in df.collect()], 3)
+
+
+def test_a_phrase_of_a_chunk_is_moved_once_in_few_bytes(spark, monkeypatch):
+    """Rows of chunk, place and parts, moved for the count and again for the join, took 20 bytes and more."""
+    rng, found = random.Random(5), {}
+    keep = phrases.stored
+    monkeypatch.setattr(phrases, "stored", lambda df, label: found.setdefault(label, keep(df, label)))
+    words = [f"w{k}" for k in range(400)]
+    df = frame(spark, [" ".join(rng.choices(words, k=20_000)) for _ in range(8)], ("a",)).coalesce(1)
+    phrases.mine(df, 2, 2)
+    pairs = found["occurrences-2"]
+    listed = pairs.selectExpr("sum(listed)").first()[0]
+    assert listed > 50_000
+    counted = phrases._count(pairs, 2, 2)
+    assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    blocks = pairs.select("chunk", "lang", "words", "phrases").mapInArrow(phrases._dealt(2, 4), phrases._BLOCK)
+    assert blocks.selectExpr("sum(length(block))").first()[0] < 8 * listed
+
+
 def test_repeated_rows_and_a_minimum_nothing_reaches(spark):
     df = langs(frame(spark, texts(2, 20)))
     twice = df.unionByName(df)
