@@ -12,10 +12,12 @@ the words taken miss the target by a few documents at most.
 
 The order is a range sort (source, size, id): a source that holds most rows is
 cut into many ranges, and only the row count of each range meets in one place.
+Whole rows are not sorted or stored: ids, sizes and hashes of texts are ranked,
+and the rows, shuffled once, get their ranks by a join.
 
 Defined results: a null or empty text has size 0; null is a source of its own;
 a source without words has target 0 and gives no documents; rows that repeat
-count as documents of their own; an empty table gives no rows; other columns
+count as documents of their own, numbered where they meet their first rank; an empty table gives no rows; other columns
 travel with their row, whatever their names.
 """
 
@@ -71,38 +73,59 @@ def targets(sized: DataFrame) -> DataFrame:
     )
 
 
-def allot(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", whole: bool = False
-) -> DataFrame:
-    """Copies of each document: ``id``, ``size``, ``source_size``, ``target``, ``copies``, and ``row`` if ``whole``."""
-    sized = docs.select(
-        F.col(id_col).alias("_id"),
-        F.col(source_col).cast("string").alias("_source"),
-        word_count(F.col(text_col)).alias("_size"),
-        *([F.struct("*").alias("_row")] if whole else []),
-    )
-    if not whole:
-        sized = stored(sized, "sizes")
+def _copies(place: Column, rate: Column, offset: Column) -> Column:
+    steps = F.floor(place * rate + offset) - F.floor((place - 1) * rate + offset)
+    # the bound holds by itself but for the last bit of a product
+    return F.least(steps, F.lit(MAX_EPOCHS)).cast("bigint").alias("copies")
+
+
+def _placed(sized: DataFrame, order: list[Column]) -> DataFrame:
+    """The rows of ``sized`` with their place in their source, from 1, and the columns of ``targets``."""
     sources = stored(targets(sized), "targets")
-    order = [F.col("_source").asc_nulls_last(), F.col("_size"), F.col("_id")]
     ranked = global_rank(sized, order, "_rank", unique=True)
-    rows = ranked.alias("r").join(sources.alias("s"), F.expr("r._source <=> s._source"))
-    place = F.col("_rank") - F.col("_before")
-    steps = F.floor(place * F.col("_rate") + F.col("_offset")) - F.floor(
-        (place - 1) * F.col("_rate") + F.col("_offset")
-    )
+    named = sources.withColumnRenamed("_source", "_of")
+    rows = ranked.join(named, F.col("_source").eqNullSafe(F.col("_of")))
+    return rows.withColumn("_place", F.col("_rank") - F.col("_before"))
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+    return [
+        F.col(source_col).cast("string").alias("_source"),
+        word_count(F.col(text_col)).alias("_size"),
+        F.col(id_col).alias("_id"),
+    ]
+
+
+def allot(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Copies of each document: ``id``, ``size``, ``source_size``, ``target``, ``copies``."""
+    sized = stored(docs.select(*_sized(docs, id_col, text_col, source_col)), "sizes")
+    rows = _placed(sized, [F.col("_source").asc_nulls_last(), F.col("_size"), F.col("_id")])
     return rows.select(
         F.col("_id").alias("id"),
         F.col("_size").alias("size"),
         "source_size",
         "target",
-        # the bound holds by itself but for the last bit of a product
-        F.least(steps, F.lit(MAX_EPOCHS)).cast("bigint").alias("copies"),
-        *([F.col("_row").alias("row")] if whole else []),
+        _copies(F.col("_place"), F.col("_rate"), F.col("_offset")),
     )
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mixed rows, with all columns of ``docs``; a document taken twice is there twice."""
-    taken = allot(docs, id_col, text_col, source_col, whole=True).where("copies > 0")
+    """The mixed rows, with all columns of ``docs``; a document taken twice is there twice.
+
+    Rows with one id, source, size and text have neighbouring places; the join
+    brings the first of these, and the rows are numbered from it.
+    """
+    # one column that is never null; the window goes by that of the stored side, which the join needs not cast, and so by its shuffle
+    key = F.struct(*_sized(docs, id_col, text_col, source_col), F.xxhash64(F.col(text_col)).alias("_mark")).alias("_key")
+    keyed = docs.select(key, F.struct("*").alias("row"))
+    sized = stored(keyed.select("_key.*"), "sizes")
+    placed = _placed(sized, [F.col("_source").asc_nulls_last(), F.col("_size"), F.col("_id"), F.col("_mark")])
+    first = placed.groupBy(F.struct("_source", "_size", "_id", "_mark").alias("_of")).agg(
+        F.min("_place").alias("_first"), F.first("_rate").alias("_rate"), F.first("_offset").alias("_offset")
+    )
+    # always merged: what it moves is in proportion to the rows, at every size
+    rows = keyed.join(first.hint("merge"), F.col("_key") == F.col("_of"))
+    number = F.row_number().over(Window.partitionBy("_of").orderBy("_of"))
+    copies = _copies(F.col("_first") + number - 1, F.col("_rate"), F.col("_offset"))
+    taken = rows.select("row", copies).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
