@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from cases import clashing, frame, hard_texts, prose
@@ -60,6 +61,25 @@ def test_pieces(spark, monkeypatch, piece):
     assert starts == [(0, p) for p in range(151)] + [(1, p) for p in range(951)]
 
 
+def test_only_what_is_left_is_looked_at_again():
+    """The first of a task counted as shared even where all others were found, and every such start was compared alone."""
+    key, same = np.array([9, 5, 9, 7, 5, 5], np.uint64), np.array([1, 1, 1, 1, 2, 1], np.uint64)
+    doc, packed = np.array([4, 1, 3, 1, 2, 2]), np.arange(6) << 2
+    out, known = suffixes._folded(key, doc, packed, same)
+    assert known.tolist() == [suffixes.FOUND, suffixes.SHARED, 0, 0, suffixes.SHARED, suffixes.FOUND]
+    assert [int(k) for k in out[[1, 2, 3]]] == [5, 9, 7] and len(set(out.tolist())) == 6
+    assert [len(x) for x in suffixes._folded(key[:0], doc[:0], packed[:0], same[:0])] == [0, 0]
+
+
+def test_names_do_not_depend_on_blocks():
+    data = np.random.default_rng(4).integers(0, 4, 2 * suffixes.BLOCK + 40).astype(np.uint8)
+    gram, half = suffixes.names(data)
+    for size in (0, 19, 20, 31, 32, suffixes.BLOCK + 19, suffixes.BLOCK + 31, suffixes.BLOCK + 32):
+        ends = suffixes.names(data[len(data) - size :])
+        assert [len(e) for e in ends] == [max(0, size - 19), max(0, size - 31)]
+        assert all((e == whole[len(whole) - len(e) :]).all() for e, whole in zip(ends, (gram, half), strict=True))
+
+
 def test_repeated_and_null_ids(spark):
     a, b = prose(1, 40), prose(2, 40)
     rows = [(5, a + " one"), (5, b + " two"), (5, a + " one"), (7, a), (None, b), (9, b), (3, None)]
